@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational"]
+MODULES = ["relational", "modeling"]
 
 
 def load_queries() -> None:
