@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from larder.session import cut, parallelism
 
 BLOCK_ROWS = 2048
-MIN_BLOCK_ROWS = 256
+MIN_BLOCK_ROWS = 512
 SORT_AXES = 3
 
 
@@ -143,6 +143,11 @@ def join_blocks(pairs: DataFrame, blocks: DataFrame, cols: list[str]) -> DataFra
     return joined.repartition(4 * parallelism(blocks.sparkSession), "a", "b")
 
 
+def spread(blocks: DataFrame) -> DataFrame:
+    """Blocks dealt out to a fixed number of tasks: their rows are few and small, the work on each is not."""
+    return blocks.repartition(4 * parallelism(blocks.sparkSession), "block")
+
+
 def floats(data: bytes, width: int | None = None) -> np.ndarray:
     values = np.frombuffer(data, dtype=np.float64)
     return values if width is None else values.reshape(-1, width)

@@ -18,8 +18,8 @@ MIN_REFINED_KMEANS = 0.50
 NO_MODEL = -1.0
 
 
-def _pack_labelled(width: int, trials: int):
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _pack_labelled():
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(
             [
                 {
@@ -92,7 +92,7 @@ def silhouette_exact(
         points.withColumn("block", F.pmod(F.xxhash64("pid"), F.lit(n_blocks)))
         .groupBy("block")
         .applyInPandas(
-            _pack_labelled(width, trials),
+            _pack_labelled(),
             "block long, ids binary, weights binary, coords binary, labels binary",
         )
     )

@@ -514,20 +514,20 @@ def dbscan_sweep(spark, d):
 
 TRIALS = """trials AS (SELECT CAST(user_id AS BIGINT) AS trial_no,
     CASE user_id % 4 WHEN 0 THEN 'K-Means' WHEN 1 THEN 'DBSCAN' WHEN 2 THEN 'GMM' ELSE 'HDBSCAN' END AS paradigm,
-    'user=' || user_id AS params, round(avg(value) / 20.0e0, 3) AS silhouette, sum(value) AS metric,
+    'user=' || user_id AS params, round(avg(CASE WHEN event_type = 'purchase' THEN 1.0e0 ELSE 0.0e0 END), 6) AS silhouette, sum(value) AS metric,
     count(DISTINCT event_type) FILTER (WHERE event_type IN ('click', 'view')) AS n_clusters,
     round(avg(CASE WHEN event_type = 'error' THEN 1.0e0 ELSE 0.0e0 END), 6) AS noise_ratio FROM events GROUP BY user_id)"""
 TRIAL_COLS = "trial_no, paradigm, params, silhouette, round(metric, 4) AS metric, n_clusters, noise_ratio"
 
 
 def trials(spark: SparkSession, d: str) -> DataFrame:
-    """A results table to choose from: one made-up trial per user of the event stream."""
+    """A results table to choose from: one row per user of the event stream."""
     kind = F.element_at(
         F.array(*[F.lit(p) for p in ("K-Means", "DBSCAN", "GMM", "HDBSCAN")]), (F.col("user_id") % 4 + 1).cast("int")
     )
     event = F.col("event_type")
     per_user = B.table(spark, d, "events").groupBy("user_id").agg(
-        F.round(F.avg("value") / F.lit(20.0), 3).alias("silhouette"),
+        F.round(F.avg((event == "purchase").cast("double")), 6).alias("silhouette"),
         F.sum("value").alias("metric"),
         F.count_distinct(F.when(event.isin("click", "view"), event)).alias("n_clusters"),
         F.round(F.avg((event == "error").cast("double")), 6).alias("noise_ratio"),

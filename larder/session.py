@@ -32,8 +32,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         folder = tempfile.mkdtemp(prefix="larder-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -43,9 +41,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder and cut the lineage; survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and read back: the lineage is cut, and the result survives the loss of any executor.
+
+    A written table is preferred to a checkpoint because its size is known to the planner and because it does not carry
+    the plan's constraints along, which pile up over the rounds of an iterative job.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_within(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
