@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.evaluation import silhouette_exact, silhouette_fast
+from larder.operators.evaluation import mean_silhouettes
 
 # Fixed values.
 SEED = 42
@@ -27,10 +27,15 @@ MAX_ITER = 300
 TOLERANCE = 1e-4
 
 RESULT_SCHEMA = (
-    "trial_no int, paradigm string, params string, silhouette double, metric double, n_clusters bigint, noise_ratio double"
+    "trial_no int, paradigm string, params string, silhouette double, metric double, n_clusters bigint, noise_ratio double, "
+    "distance string"
 )
 
 
+def distance_name(exact: bool) -> str:
+    return "euclidean" if exact else "squared"
+
+
 @dataclass
 class Sweep:
     """Fitted models of a sweep, the labels of every row by trial, and one result row per trial."""
@@ -44,16 +49,6 @@ def _vectors(df: DataFrame, features: str) -> DataFrame:
     return df.select("row_id", F.col(features).alias("features"), array_to_vector(F.col(features)).alias("_v"))
 
 
-def _scores(labelled: DataFrame, n: int, exact: bool) -> list[float]:
-    if exact:
-        rows = silhouette_exact(labelled, "labels", "features").collect()
-        by_trial = {r["trial"]: r["silhouette"] for r in rows}
-        return [by_trial.get(i) for i in range(n)]
-    return [
-        silhouette_fast(labelled.withColumn("cluster_label", F.element_at("labels", i + 1))) for i in range(n)
-    ]
-
-
 def _label_all(vectors: DataFrame, models: list) -> DataFrame:
     """One scan adds the label of every model."""
     out = vectors
@@ -87,9 +82,9 @@ def kmeans_sweep(
     with ThreadPoolExecutor(threads) as pool:
         models = list(pool.map(lambda k: fit_kmeans(vectors, k, restarts), grid))
     labelled = _label_all(vectors, models)
-    scores = _scores(labelled, len(grid), exact)
+    scores = mean_silhouettes(labelled, len(grid), exact)
     rows = [
-        (i, "K-Means", f"k={k}", s, float(m.summary.trainingCost), k, 0.0)
+        (i, "K-Means", f"k={k}", s, float(m.summary.trainingCost), k, 0.0, distance_name(exact))
         for i, (k, m, s) in enumerate(zip(grid, models, scores))
     ]
     return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
@@ -123,9 +118,9 @@ def gmm_sweep(
     with ThreadPoolExecutor(threads) as pool:
         models = list(pool.map(fit, grid))
     labelled = _label_all(vectors, models)
-    scores = _scores(labelled, len(grid), exact)
+    scores = mean_silhouettes(labelled, len(grid), exact)
     rows = [
-        (i, "GMM", f"components={k}", s, mixture_bic(m.summary.logLikelihood, k, d, n), k, 0.0)
+        (i, "GMM", f"components={k}", s, mixture_bic(m.summary.logLikelihood, k, d, n), k, 0.0, distance_name(exact))
         for i, (k, m, s) in enumerate(zip(grid, models, scores))
     ]
     return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))

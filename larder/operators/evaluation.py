@@ -16,6 +16,8 @@ from larder.session import broadcast_if_within, cut, parallelism
 MAX_NOISE = {1: 0.60, 2: 0.20}
 MIN_REFINED_KMEANS = 0.50
 NO_MODEL = -1.0
+# Beyond this many rows model choice scores with squared distance, and says so in its result rows.
+EXACT_ROWS = 200_000
 
 
 def _pack_labelled():
@@ -141,6 +143,18 @@ def silhouette_exact(
     )
 
 
+def mean_silhouettes(labelled: DataFrame, n_labellings: int, exact: bool) -> list[float | None]:
+    """Score of every labelling in the ``labels`` array: exact, or with squared distance in linear time."""
+    if n_labellings == 0:
+        return []
+    if exact:
+        found = {r["trial"]: r["silhouette"] for r in silhouette_exact(labelled).collect()}
+        return [found.get(i) for i in range(n_labellings)]
+    # Spark's evaluator wants labels from 0.
+    shifted = lambda i: labelled.withColumn("cluster_label", F.element_at("labels", i + 1) + 1)
+    return [silhouette_fast(shifted(i)) for i in range(n_labellings)]
+
+
 def silhouette_fast(df: DataFrame, label: str = "cluster_label", features: str = "features") -> float:
     """Silhouette with squared Euclidean distance: one linear pass, another scale than the exact score."""
     vectors = df.select(array_to_vector(F.col(features)).alias("v"), F.col(label).cast("double").alias("l"))
@@ -194,7 +208,7 @@ def best_model(results: DataFrame) -> DataFrame:
 
 def best_per_paradigm(results: DataFrame) -> DataFrame:
     picked = F.struct(F.col("silhouette"), (-F.col("trial_no")).alias("order"))
-    row = F.struct("trial_no", "params", "silhouette", "metric", "n_clusters", "noise_ratio")
+    row = F.struct(*[c for c in results.columns if c != "paradigm"])
     return (
         results.filter(F.col("silhouette").isNotNull())
         .groupBy("paradigm")

@@ -12,9 +12,11 @@ from larder.operators import clustering as K
 from larder.operators import density as D
 from larder.operators import evaluation as E
 from larder.operators import features as FT
+from larder.operators import hierarchy as H
 from larder.operators import reduction as R
 from larder.operators.aggregates import matrix_range as matrix_range_of
 from larder.operators.aggregates import frequency_shares
+from larder.plans import pipeline as P
 from larder.plans.registry import query
 from larder.plans.relational import big, inventory, rounded
 from larder.plans.views import tokens_sql, with_views
@@ -510,6 +512,11 @@ def dbscan_sweep(spark, d):
     return rounded(big(E.cluster_quality(labelled, by=["trial"])), 6, "noise_ratio")
 
 
+@query("hdbscan_labels")
+def hdbscan_labels(spark, d):
+    return big(H.hdbscan(B.blobs(spark, d), 10))
+
+
 # --- model choice --------------------------------------------------------------------------------------------------
 
 TRIALS = """trials AS (SELECT CAST(user_id AS BIGINT) AS trial_no,
@@ -633,3 +640,26 @@ def _top(col: str, expr: str) -> str:
 def cluster_profile(spark, d):
     profile = E.cluster_profile(segmented(spark, d).filter("cluster_label IS NOT NULL"))
     return rounded(big(profile), 6, *[f"mean_{c}" for c in schemas.NUTRIENTS])
+
+
+RESULT_COLS = ["paradigm", "trial_no", "params", "silhouette", "metric", "n_clusters", "noise_ratio", "distance", "winner"]
+
+
+@query("model_selection")
+def model_selection(spark, d):
+    """Phase 1 end to end: three sweeps, gates, comparison."""
+    choice = P.choose_model(
+        B.blobs(spark, d), 1, kmeans_grid=(8, 10), dbscan_grid=[(0.6, 10), (0.8, 10), (1.0, 10)], gmm_grid=(3,), restarts=2
+    )
+    return rounded(big(choice.comparison.select(*RESULT_COLS)), 6, "silhouette", "metric", "noise_ratio")
+
+
+@query("model_selection_refined")
+def model_selection_refined(spark, d):
+    """Phase 2 end to end, down to the rows per label of the winner."""
+    choice = P.choose_model(
+        B.blobs(spark, d), 2, kmeans_grid=(10, 11), dbscan_grid=[(0.9, 10), (1.0, 10)], hdbscan_grid=(10,), restarts=2
+    )
+    winner = choice.comparison.filter("winner").first()
+    rows = choice.labels.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("n_rows"))
+    return big(rows.withColumns({"paradigm": F.lit(winner["paradigm"]), "params": F.lit(winner["params"])}))
