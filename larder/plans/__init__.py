@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational", "modeling"]
+MODULES = ["relational", "modeling", "streams"]
 
 
 def load_queries() -> None:

@@ -45,8 +45,20 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IN/OUT log from the event stream; the product key range bounds the broadcast side to 100 rows."""
-    events = table(spark, sf_dir, "events").select(
+    """IN/OUT log from the event table."""
+    return movements_from(table(spark, sf_dir, "events"), spark, sf_dir)
+
+
+def movement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as a stream of event files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return movements_from(events, spark, sf_dir)
+
+
+def movements_from(raw: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as movements; the product key range bounds the broadcast side to 100 rows."""
+    events = raw.select(
         F.col("event_id").alias("row_id"),
         F.col("event_id").cast("string").alias("event_id"),
         (F.col("user_id") % 10).cast("int").alias("household_id"),
