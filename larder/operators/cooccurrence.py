@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import lookup_constant
 from larder.operators.sessions import SESSION_GAP, micros
 from larder.session import broadcast_if_within, cut
 
 TILE_ITEMS = 1000
 HOT_PAIRS = 1_000_000
+BIN = ["event_type", "household_id", "bin"]
 
 
 def pairs_within(
@@ -26,12 +29,12 @@ def pairs_within(
     """
     carried = carried or []
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > tile_items)
-    large = cut(sizes.select(*keys, F.ceil(F.col("_n") / tile_items).cast("int").alias("_tiles")))
-    if large.isEmpty():
+    if sizes.isEmpty():
         left = rows.withColumnsRenamed({c: f"{c}_a" for c in [item, *carried]})
         right = rows.withColumnsRenamed({c: f"{c}_b" for c in [item, *carried]})
         joined = left.join(right, keys)
     else:
+        large = cut(sizes.select(*keys, F.ceil(F.col("_n") / tile_items).cast("int").alias("_tiles")))
         tiled = rows.join(broadcast_if_within(large), keys, "left").withColumn(
             "_tiles", F.coalesce("_tiles", F.lit(1))
         )
@@ -51,71 +54,50 @@ def _ordered(left: str, right: str) -> list[Column]:
     return [F.least(left, right).alias("product_a"), F.greatest(left, right).alias("product_b")]
 
 
-def proximity_pairs(movements: DataFrame, event_type: str, delta: int, hot_pairs: int = HOT_PAIRS) -> DataFrame:
-    """How many pairs of events of a household, of products a < b, lie at most ``delta`` seconds apart.
+def proximity_pairs(movements: DataFrame, deltas: Mapping[str, int] = SESSION_GAP, hot_pairs: int = HOT_PAIRS) -> DataFrame:
+    """How many pairs of events of a household and type, of products a < b, lie at most delta seconds apart.
 
-    With bins as long as delta, events of one bin are always close and events two bins apart never are. Pairs inside a
-    bin are counted from product totals. For neighbouring bins the later event must not have the larger offset: bins
-    of moderate size are joined directly, and where the two sizes multiply to more than ``hot_pairs`` the offsets are
-    compared digit by digit from product totals, so no event pair is ever formed there.
+    ``deltas`` gives the seconds by event type. With bins as long as delta, events of one bin are always close and
+    events two bins apart never are. Pairs inside a bin are counted from product totals. For neighbouring bins the
+    later event must not have the larger offset: bins of moderate size are joined directly, and where the two sizes
+    multiply to more than ``hot_pairs`` the offsets are compared digit by digit from product totals, so no event pair
+    is ever formed there.
     """
-    width = delta * 1_000_000
-    time = micros(F.col("timestamp"))
-    events = movements.filter((F.col("event_type") == event_type) & F.col("product_id").isNotNull()).select(
+    widths = {kind: delta * 1_000_000 for kind, delta in deltas.items()}
+    time, width = micros(F.col("timestamp")), lookup_constant(F.col("event_type"), widths)
+    events = movements.filter(F.col("event_type").isin(list(deltas)) & F.col("product_id").isNotNull()).select(
+        "event_type",
         "household_id",
         F.floor(time / width).cast("bigint").alias("bin"),
-        F.pmod(time, F.lit(width)).cast("bigint").alias("offset"),
+        F.pmod(time, width).cast("bigint").alias("offset"),
         F.col("product_id").alias("product"),
     )
     same = (
-        pairs_within(
-            events.groupBy("household_id", "bin", "product").agg(F.count(F.lit(1)).alias("n")),
-            ["household_id", "bin"],
-            "product",
-            ["n"],
-        )
-        .groupBy(*_ordered("product_a", "product_b"))
+        pairs_within(events.groupBy(*BIN, "product").agg(F.count(F.lit(1)).alias("n")), BIN, "product", ["n"])
+        .groupBy("event_type", *_ordered("product_a", "product_b"))
         .agg(F.sum(F.col("n_a") * F.col("n_b")).alias("n"))
     )
 
-    sizes = events.groupBy("household_id", "bin").agg(F.count(F.lit(1)).alias("n"))
-    after = sizes.select("household_id", (F.col("bin") - 1).alias("bin"), F.col("n").alias("n_after"))
-    hot = cut(
-        sizes.join(after, ["household_id", "bin"])
-        .filter(F.col("n") * F.col("n_after") > hot_pairs)
-        .select("household_id", "bin")
-    )
-    left = events
-    right = events.withColumn("bin", F.col("bin") - 1)
+    sizes = events.groupBy(*BIN).agg(F.count(F.lit(1)).alias("n"))
+    after = sizes.withColumn("bin", F.col("bin") - 1).withColumnRenamed("n", "n_after")
+    hot = sizes.join(after, BIN).filter(F.col("n") * F.col("n_after") > hot_pairs).select(*BIN)
+    left, right = events, events.withColumn("bin", F.col("bin") - 1)
     parts = [same]
-    if hot.isEmpty():
-        cold_left, cold_right = left, right
-    else:
-        marked = broadcast_if_within(hot)
-        cold_left = left.join(marked, ["household_id", "bin"], "left_anti")
-        cold_right = right.join(marked, ["household_id", "bin"], "left_anti")
-        parts.append(
-            _digit_pairs(
-                left.join(marked, ["household_id", "bin"], "left_semi"),
-                right.join(marked, ["household_id", "bin"], "left_semi"),
-                (width - 1).bit_length(),
-            )
-        )
-    near = (
-        cold_left.alias("l")
-        .join(cold_right.alias("r"), ["household_id", "bin"])
+    if not hot.isEmpty():
+        marked = broadcast_if_within(cut(hot))
+        bits = (max(widths.values()) - 1).bit_length()
+        parts.append(_digit_pairs(left.join(marked, BIN, "left_semi"), right.join(marked, BIN, "left_semi"), bits))
+        left, right = left.join(marked, BIN, "left_anti"), right.join(marked, BIN, "left_anti")
+    parts.append(
+        left.alias("l")
+        .join(right.alias("r"), BIN)
         .filter(F.col("r.offset") <= F.col("l.offset"))
         .filter(F.col("l.product") != F.col("r.product"))
-        .groupBy(*_ordered("l.product", "r.product"))
+        .groupBy("event_type", *_ordered("l.product", "r.product"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    parts.append(near)
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("product_a", "product_b")
-        .agg(F.sum("n").alias("n_pairs"))
-        .select(F.lit(event_type).alias("event_type"), "product_a", "product_b", "n_pairs")
-    )
+    totals = reduce(DataFrame.unionByName, parts).groupBy("event_type", "product_a", "product_b")
+    return totals.agg(F.sum("n").alias("n_pairs"))
 
 
 def _digit_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
@@ -125,14 +107,14 @@ def _digit_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
     under exactly one common prefix; equal offsets meet under the full number.
     """
     levels = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("level")
-    group = ["household_id", "bin", "level", "prefix"]
+    group = [*BIN, "level", "prefix"]
 
     def totals(side: DataFrame, digit: int, name: str) -> DataFrame:
         spread = side.select("*", levels)
         own = F.expr(f"shiftright(offset, CAST({bits - 1} - level AS INT)) & 1")
         kept = spread.filter((F.col("level") == bits) | (F.when(F.col("level") < bits, own) == digit))
         prefix = F.expr(f"shiftright(offset, CAST({bits} - level AS INT))")
-        return kept.groupBy("household_id", "bin", "level", prefix.alias("prefix"), F.col("product").alias(name)).agg(
+        return kept.groupBy(*BIN, "level", prefix.alias("prefix"), F.col("product").alias(name)).agg(
             F.count(F.lit(1)).alias(f"n_{name}")
         )
 
@@ -140,16 +122,11 @@ def _digit_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
         totals(left, 1, "p")
         .join(totals(right, 0, "q"), group)
         .filter(F.col("p") != F.col("q"))
-        .groupBy(*_ordered("p", "q"))
+        .groupBy("event_type", *_ordered("p", "q"))
         .agg(F.sum(F.col("n_p") * F.col("n_q")).alias("n"))
     )
 
 
-def cooccurrence_pairs(movements: DataFrame, deltas=SESSION_GAP, hot_pairs: int = HOT_PAIRS) -> DataFrame:
-    parts = [proximity_pairs(movements, kind, delta, hot_pairs) for kind, delta in deltas.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def pair_frequency(windows: DataFrame, keys: list[str], item: str) -> DataFrame:
     """Share of the windows in which both items appear; ``windows`` holds each (keys, item) once."""
     total = windows.select(*keys).distinct().agg(F.count(F.lit(1))).scalar()

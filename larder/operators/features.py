@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +20,27 @@ from larder.session import broadcast_if_within, cut
 MAX_FEATURES = 50
 
 
-def impute_category_mean(df: DataFrame, cols: Sequence[str] = tuple(schemas.NUTRIENTS), by: str = "category") -> DataFrame:
+def category_means(df: DataFrame, cols: Sequence[str], by: str, weight: Column | None = None) -> DataFrame:
+    """Mean of each column over the rows of a category; ``weight`` counts a row that stands for several."""
+    w = F.lit(1) if weight is None else weight
+
+    def mean(c: str) -> Column:
+        return (F.sum(F.col(c) * w) / F.sum(F.when(F.col(c).isNotNull(), w))).alias(f"_mean_{c}")
+
+    return df.filter(F.col(by).isNotNull()).groupBy(by).agg(*[mean(c) for c in cols])
+
+
+def impute_category_mean(
+    df: DataFrame,
+    cols: Sequence[str] = tuple(schemas.NUTRIENTS),
+    by: str = "category",
+    means: DataFrame | None = None,
+) -> DataFrame:
     """NULL -> mean over the rows of the category -> 0; a row without a category gets 0 even where it has a value.
 
     The means are added up map-side into one row per category and joined back, so the rows themselves do not move.
     """
-    means = cut(
-        df.filter(F.col(by).isNotNull()).groupBy(by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    )
+    means = cut(category_means(df, cols, by) if means is None else means)
     joined = df.join(broadcast_if_within(means), by, "left")
     filled = {
         c: F.when(F.col(by).isNull(), F.lit(0.0)).otherwise(F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(0.0)))
@@ -64,49 +79,50 @@ def fit_vocabulary(
     weight = F.lit(1) if weight is None else weight
     top = term_totals(docs, text, weight).orderBy(F.desc("total"), "term").limit(max_features).collect()
     terms = sorted(r["term"] for r in top)
-    kept = docs.select(F.array_distinct(S.tokens(F.col(text))).alias("t"), weight.cast("bigint").alias("w"))
-    seen = [F.sum(F.when(F.array_contains("t", t), F.col("w"))).alias(f"d{i}") for i, t in enumerate(terms)]
-    row = kept.agg(F.sum("w").alias("n"), *seen).first()
+    counted = term_counts(docs.withColumn("_weight", weight.cast("bigint")), text, terms, "_counts")
+    seen = [F.sum(F.when(F.col("_counts")[i] > 0, F.col("_weight"))).alias(f"d{i}") for i in range(len(terms))]
+    row = counted.agg(F.sum("_weight").alias("n"), *seen).first()
     n = row["n"] or 0
     idf = [math.log((1 + n) / (1 + row[f"d{i}"])) + 1.0 for i in range(len(terms))]
     return Vocabulary(terms, idf)
 
 
+def term_counts(docs: DataFrame, text: str, terms: list[str], out: str) -> DataFrame:
+    """``docs`` with the array of how often each term occurs; one look-up per token, no shuffle."""
+    if not terms:
+        return docs.withColumn(out, F.array().cast("array<double>"))
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="_tf")
+    counted = counter.transform(docs.withColumn("_tokens", S.tokens(F.col(text))))
+    return counted.withColumn(out, vector_to_array("_tf")).drop("_tokens", "_tf")
+
+
 def bind(value: Column, body) -> Column:
     """``body`` over a value that is computed once per row, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def tfidf(known: Column, vocabulary: Vocabulary) -> Column:
-    """Count times idf of every vocabulary term among the ``known`` tokens."""
-    pairs = F.arrays_zip(
-        F.array(*[F.lit(t) for t in vocabulary.terms]).alias("term"),
-        F.array(*[F.lit(v) for v in vocabulary.idf]).alias("idf"),
-    )
-    return F.transform(pairs, lambda p: F.size(F.filter(known, lambda t: t == p["term"])).cast("double") * p["idf"])
-
-
 def scaled_to_unit(weights: Column) -> Column:
     norm = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x * x))
     return bind(norm, lambda n: F.transform(weights, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))))
 
 
-def name_weights(inventory: DataFrame, max_features: int = MAX_FEATURES) -> tuple[DataFrame, Vocabulary]:
+def name_weights(
+    inventory: DataFrame, max_features: int = MAX_FEATURES, weight: Column | None = None
+) -> tuple[DataFrame, Vocabulary]:
     """Text weights once per distinct name (frequencies count the event rows), and the vocabulary."""
-    names = cut(
-        inventory.groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    )
+    w = F.lit(1) if weight is None else weight
+    names = cut(inventory.groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(F.sum(w).alias("n")))
     vocabulary = fit_vocabulary(names, "name", F.col("n"), max_features)
     return add_tfidf(names, "name", vocabulary, "txt"), vocabulary
 
 
 def add_tfidf(docs: DataFrame, text: str, vocabulary: Vocabulary, out: str) -> DataFrame:
-    """``docs`` with the unit-length weight array; a projection, no shuffle."""
-    if not vocabulary.terms:
-        return docs.withColumn(out, F.array().cast("array<double>"))
-    known = F.filter(S.tokens(F.col(text)), lambda t: t.isin(vocabulary.terms))
-    unit = bind(known, lambda k: bind(tfidf(k, vocabulary), scaled_to_unit))
-    return docs.withColumn(out, unit)
+    """``docs`` with the array of count times idf in vocabulary order, scaled to length 1 (all zero without a known
+    term); a projection, no shuffle."""
+    idf = F.array(*[F.lit(v) for v in vocabulary.idf]).cast("array<double>")
+    counted = term_counts(docs, text, vocabulary.terms, "_counts")
+    weighted = F.zip_with("_counts", idf, lambda n, w: n * w)
+    return counted.withColumn(out, bind(weighted, scaled_to_unit)).drop("_counts")
 
 
 def long_weights(docs: DataFrame, keys: list[str], col: str, vocabulary: Vocabulary) -> DataFrame:
@@ -127,10 +143,15 @@ def target_encode_ordered(
     row_id: str = "row_id",
     out: str = "category_encoded",
     hot_rows: int = HOT_ROWS,
+    prior: Column | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
-    """(target sum of earlier rows of the category + prior) / (their number + 1), prior = overall mean."""
+    """(target sum of earlier rows of the category + prior) / (their number + 1), prior = overall mean.
+
+    ``prior`` and the size of the largest category are worked out unless they are known already.
+    """
     target = S.out_indicator(F.col("event_type")) if target is None else target
-    prior = target_prior(df, target)
+    prior = target_prior(df, target) if prior is None else prior
     summed = running_sums(
         df,
         [by],
@@ -138,6 +159,7 @@ def target_encode_ordered(
         {"_sum": target.cast("bigint"), "_n": F.lit(1).cast("bigint")},
         include_current=False,
         hot_rows=hot_rows,
+        largest=largest,
     )
     return summed.withColumn(out, (F.col("_sum") + prior) / (F.col("_n") + 1)).drop("_sum", "_n")
 
@@ -184,9 +206,20 @@ def raw_feature_matrix(
 ) -> tuple[DataFrame, list[str]]:
     """(row_id, features) before scaling, and the feature names in order."""
     narrow = inventory.select("row_id", "event_type", "timestamp", "product_name", "category", *schemas.NUTRIENTS)
-    weights, vocabulary = name_weights(narrow, max_features)
-    imputed = impute_category_mean(narrow)
-    encoded = target_encode_ordered(imputed, hot_rows=hot_rows)
+    # One pass adds the rows up by product; name frequencies, category means and sizes and the prior follow from that.
+    profile = cut(
+        narrow.groupBy("product_name", "category", *schemas.NUTRIENTS, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    )
+    weights, vocabulary = name_weights(profile, max_features, F.col("n"))
+    target = S.out_indicator(F.col("event_type"))
+    totals = profile.agg((F.sum(target * F.col("n")) / F.sum("n")).alias("prior")).first()
+    largest = profile.groupBy("category").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    imputed = impute_category_mean(
+        narrow, means=category_means(profile, schemas.NUTRIENTS, "category", F.col("n"))
+    )
+    encoded = target_encode_ordered(
+        imputed, hot_rows=hot_rows, prior=F.lit(totals["prior"]).cast("double"), largest=largest
+    )
     named = encoded.withColumn("name", F.coalesce("product_name", F.lit("")))
     texted = named.join(broadcast_if_within(weights.select("name", "txt")), "name", "left")
     ts = F.col("timestamp")

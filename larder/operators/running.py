@@ -40,15 +40,17 @@ def running_sums(
     sums: Mapping[str, Column],
     include_current: bool = True,
     hot_rows: int = HOT_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add for every entry of ``sums`` its running sum per key (0 before the first row).
 
     ``order`` names columns that order the rows of a key totally. With ``include_current`` false the sum covers the
-    earlier rows only.
+    earlier rows only. ``largest`` is the size of the largest key, counted unless given.
     """
     valued = df.withColumns({f"_v_{name}": expr for name, expr in sums.items()})
     last = 0 if include_current else -1
-    if largest_group(df, keys) <= hot_rows:
+    largest = largest_group(df, keys) if largest is None else largest
+    if largest <= hot_rows:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
         out = valued.withColumns({n: F.coalesce(F.sum(f"_v_{n}").over(w), F.lit(0)) for n in sums})
         return out.drop(*[f"_v_{n}" for n in sums])

@@ -646,13 +646,13 @@ PAIRS = """SELECT a.event_type, a.product_id AS product_a, b.product_id AS produ
 
 @query("cooccurrence_pairs", with_views("movements", PAIRS))
 def cooccurrence_pairs(spark, d):
-    return C.cooccurrence_pairs(B.movements(spark, d))
+    return C.proximity_pairs(B.movements(spark, d))
 
 
 @query("cooccurrence_pairs_split", with_views("movements", PAIRS))
 def cooccurrence_pairs_split(spark, d):
     """The same counts with every neighbouring bin treated as hot."""
-    return C.cooccurrence_pairs(B.movements(spark, d), hot_pairs=0)
+    return C.proximity_pairs(B.movements(spark, d), hot_pairs=0)
 
 
 @query(
@@ -720,6 +720,9 @@ def fp_rules(spark, d):
     return rounded(rounded(rounded(rules, 6, "confidence"), 8, "lift"), 9, "support")
 
 
+RESTOCK = {"IN": SE.SESSION_GAP["IN"]}
+
+
 @query(
     "degree_centrality",
     with_views(
@@ -731,7 +734,7 @@ def fp_rules(spark, d):
     ),
 )
 def degree_centrality(spark, d):
-    return G.degree_centrality(C.proximity_pairs(B.movements(spark, d), "IN", SE.SESSION_GAP["IN"]))
+    return G.degree_centrality(C.proximity_pairs(B.movements(spark, d), RESTOCK))
 
 
 def _pagerank_sql(iterations: int) -> str:
@@ -755,7 +758,7 @@ def _pagerank_sql(iterations: int) -> str:
 
 @query("pagerank", _pagerank_sql(10))
 def pagerank(spark, d):
-    edges = C.proximity_pairs(B.movements(spark, d), "IN", SE.SESSION_GAP["IN"])
+    edges = C.proximity_pairs(B.movements(spark, d), RESTOCK)
     return rounded(G.pagerank(edges, iterations=10), 6, "rank")
 
 

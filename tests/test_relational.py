@@ -156,7 +156,7 @@ def test_proximity_pairs_equal_brute_force(spark):
             if a[2] == b[2] and a[4] < b[4] and abs((a[8] - b[8]).total_seconds()) <= 900:
                 want[a[4], b[4]] = want.get((a[4], b[4]), 0) + 1
     for hot in (10**6, 50, 0):
-        got = {(r["product_a"], r["product_b"]): r["n_pairs"] for r in C.proximity_pairs(log(spark, rows), "OUT", 900, hot).collect()}
+        got = {(r["product_a"], r["product_b"]): r["n_pairs"] for r in C.proximity_pairs(log(spark, rows), {"OUT": 900}, hot).collect()}
         assert got == want
 
 
