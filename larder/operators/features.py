@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larder import schemas
 from larder.functions import scalars as S
 from larder.operators.running import HOT_ROWS, running_sums
-from larder.session import broadcast_if_within, cut
+from larder.session import broadcast_if_within, cut, keep
 
 # Fixed value.
 MAX_FEATURES = 50
@@ -40,7 +40,7 @@ def impute_category_mean(
 
     The means are added up map-side into one row per category and joined back, so the rows themselves do not move.
     """
-    means = cut(category_means(df, cols, by) if means is None else means)
+    means = keep(category_means(df, cols, by) if means is None else means)
     joined = df.join(broadcast_if_within(means), by, "left")
     filled = {
         c: F.when(F.col(by).isNull(), F.lit(0.0)).otherwise(F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(0.0)))
@@ -111,7 +111,7 @@ def name_weights(
 ) -> tuple[DataFrame, Vocabulary]:
     """Text weights once per distinct name (frequencies count the event rows), and the vocabulary."""
     w = F.lit(1) if weight is None else weight
-    names = cut(inventory.groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(F.sum(w).alias("n")))
+    names = keep(inventory.groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(F.sum(w).alias("n")))
     vocabulary = fit_vocabulary(names, "name", F.col("n"), max_features)
     return add_tfidf(names, "name", vocabulary, "txt"), vocabulary
 
@@ -170,7 +170,7 @@ def target_encode_static(
     """Encoding of unseen rows: (target sum + prior) / (rows + 1) of the category, the prior for an unknown one."""
     target = S.out_indicator(F.col("event_type")) if target is None else target
     prior = target_prior(train, target)
-    level = cut(
+    level = keep(
         train.groupBy(F.col(by).alias("_level")).agg(
             F.sum(target.cast("bigint")).alias("_sum"), F.count(F.lit(1)).alias("_n")
         )
@@ -207,7 +207,7 @@ def raw_feature_matrix(
     """(row_id, features) before scaling, and the feature names in order."""
     narrow = inventory.select("row_id", "event_type", "timestamp", "product_name", "category", *schemas.NUTRIENTS)
     # One pass adds the rows up by product; name frequencies, category means and sizes and the prior follow from that.
-    profile = cut(
+    profile = keep(
         narrow.groupBy("product_name", "category", *schemas.NUTRIENTS, "event_type").agg(F.count(F.lit(1)).alias("n"))
     )
     weights, vocabulary = name_weights(profile, max_features, F.col("n"))

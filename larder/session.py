@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +52,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Hold a small aggregate that several later steps read; what an executor loses is worked out again."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def broadcast_if_within(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Hint a broadcast only after counting the rows; beyond ``max_rows`` the join stays a shuffled one.
 
-    ``df`` should be small to recompute (a dimension or an already cut aggregate): at most ``max_rows + 1`` rows
+    ``df`` should be small to recompute (a dimension or a kept aggregate): at most ``max_rows + 1`` rows
     are counted.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
