@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import lookup_constant
-from larder.operators.sessions import SESSION_GAP, micros
+from larder.operators.sessions import SESSION_GAP, micros, whole_bins
 from larder.session import broadcast_if_within, cut
 
 TILE_ITEMS = 1000
@@ -68,7 +68,7 @@ def proximity_pairs(movements: DataFrame, deltas: Mapping[str, int] = SESSION_GA
     events = movements.filter(F.col("event_type").isin(list(deltas)) & F.col("product_id").isNotNull()).select(
         "event_type",
         "household_id",
-        F.floor(time / width).cast("bigint").alias("bin"),
+        whole_bins(time, width).alias("bin"),
         F.pmod(time, width).cast("bigint").alias("offset"),
         F.col("product_id").alias("product"),
     )

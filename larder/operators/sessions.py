@@ -20,8 +20,13 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
+def whole_bins(value: Column, width: Column) -> Column:
+    """Number of the bin of a whole value; the division of a multiple is exact."""
+    return ((value - F.pmod(value, width)) / width).cast("bigint")
+
+
 def time_bin(ts: Column, seconds: int) -> Column:
-    return F.floor(micros(ts) / F.lit(1_000_000 * seconds)).cast("bigint")
+    return whole_bins(micros(ts), F.lit(1_000_000 * seconds))
 
 
 def session_bins(events: DataFrame, gap: int, key: str = "household_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.functions import scalars as S
+from larder.operators import blocks as BL
 from larder.operators import clustering as K
 from larder.operators import density as D
 from larder.operators import evaluation as E
@@ -512,6 +513,48 @@ def dbscan_sweep(spark, d):
     return rounded(big(E.cluster_quality(labelled, by=["trial"])), 6, "noise_ratio")
 
 
+CORE = """dist AS MATERIALIZED (SELECT a.row_id AS u, b.row_id AS v,
+    sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS d FROM blobs a JOIN blobs b ON true),
+  core AS (SELECT u, list_sort(list(d))[10] AS core FROM dist GROUP BY 1)"""
+
+
+@query(
+    "core_distances",
+    with_views("blobs", f"WITH {CORE} SELECT u AS row_id, round(core, 6) AS core FROM core"),
+)
+def core_distances(spark, d):
+    points = BL.distinct_points(B.blobs(spark, d))
+    cores, _, _ = H.core_distances(points, 10)
+    return rounded(points.to_rows(cores.select("pid", "core")), 6, "core")
+
+
+LEVELS = [0.6, 0.8, 1.0, 1.5]
+
+
+@query(
+    "reachability_components",
+    with_views(
+        "blobs",
+        f"""WITH RECURSIVE {CORE},
+          lev AS (SELECT * FROM (VALUES {', '.join(f'(CAST({t} AS DOUBLE))' for t in LEVELS)}) t(level)),
+          link AS MATERIALIZED (SELECT level, dist.u, dist.v FROM dist JOIN core a ON a.u = dist.u JOIN core b ON b.u = dist.v
+            JOIN lev ON greatest(d, a.core, b.core) <= level WHERE dist.u <> dist.v),
+          reach(level, root, u) AS (SELECT level, row_id, row_id FROM blobs CROSS JOIN lev
+            UNION SELECT r.level, r.root, l.v FROM reach r JOIN link l ON l.level = r.level AND l.u = r.u AND l.v > r.root)
+          SELECT level, count(DISTINCT root) AS n_components
+          FROM (SELECT level, u, min(root) AS root FROM reach GROUP BY 1, 2) GROUP BY 1""",
+    ),
+)
+def reachability_components(spark, d):
+    """Parts left at a level of mutual reachability: rows minus the spanning tree edges up to that level."""
+    points = BL.distinct_points(B.blobs(spark, d))
+    cores, packed, diameter = H.core_distances(points, 10)
+    tree = H.spanning_tree(points, cores, packed, diameter)
+    counts = tree.agg(*[F.count_if(F.col("w") <= t).alias(f"c{i}") for i, t in enumerate(LEVELS)])
+    rows = [F.struct(F.lit(t).alias("level"), (points.n_distinct - F.col(f"c{i}")).alias("n_components")) for i, t in enumerate(LEVELS)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 @query("hdbscan_labels")
 def hdbscan_labels(spark, d):
     return big(H.hdbscan(B.blobs(spark, d), 10))

@@ -363,19 +363,18 @@ def top_products_semi(spark, d):
     "catalog_lookup",
     with_views(
         "movements",
-        """WITH listed AS (SELECT product_id % 80 AS product_id, arg_max(product_name, product_id) AS product_name,
-               arg_max(department_id, product_id) AS department_id FROM products WHERE product_id % 80 <> 7 GROUP BY 1)
-           SELECT s.product_id, coalesce(l.product_name, 'Unknown Product') AS product_name,
-             CAST(coalesce(l.department_id, 0) AS BIGINT) AS department_id
-           FROM (SELECT DISTINCT product_id FROM movements) s LEFT JOIN listed l ON l.product_id = s.product_id""",
+        """WITH listed AS (SELECT product_name, max(product_id) AS last_id, arg_max(department_id, product_id) AS department_id
+             FROM products WHERE product_name NOT LIKE 'red%' GROUP BY 1)
+           SELECT s.product_name, coalesce(l.last_id, 0) AS last_id, CAST(coalesce(l.department_id, 0) AS BIGINT) AS department_id
+           FROM (SELECT DISTINCT product_name FROM movements) s LEFT JOIN listed l ON l.product_name = s.product_name""",
     ),
 )
 def catalog_lookup(spark, d):
-    listed = B.products(spark, d).filter("product_id % 80 <> 7").withColumn("seq", F.col("product_id"))
-    listed = listed.withColumn("product_id", F.col("product_id") % 80)
-    pool = J.last_by_key(listed, "product_id", "seq", ["product_name", "department_id"])
-    seen = B.movements(spark, d).select("product_id").distinct()
-    return big(J.lookup(seen, pool, "product_id", {"product_name": "Unknown Product", "department_id": 0}))
+    """Names are shared by several products; the last one listed wins, red products are not listed."""
+    listed = B.products(spark, d).filter("product_name NOT LIKE 'red%'").withColumn("last_id", F.col("product_id"))
+    pool = J.last_by_key(listed, "product_name", "product_id", ["last_id", "department_id"])
+    seen = B.movements(spark, d).select("product_name").distinct()
+    return big(J.lookup(seen, pool, "product_name", {"last_id": 0, "department_id": 0}))
 
 
 @query(

@@ -17,7 +17,7 @@ DEPARTMENT = (
 _VIEWS: dict[str, tuple[list[str], str]] = {
     "products": (
         [],
-        f"SELECT p_partkey AS product_id, p_name AS product_name, {DEPARTMENT} AS department_id, p_size AS size FROM part",
+        f"SELECT p_partkey AS product_id, p_name AS product_name, {DEPARTMENT} AS department_id, p_size AS size, p_brand AS brand FROM part",
     ),
     "catalog": (
         ["products"],
@@ -27,7 +27,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
                     CAST(product_id % 90 AS DOUBLE) AS carbs_100g,
                     CASE WHEN product_id % 10 = 3 THEN NULL ELSE product_id * 5.0e0 END AS calories_100g,
                     product_id, product_name, department_id AS category
-                  FROM products WHERE product_id < 100 AND product_id % 17 <> 5)""",
+                  FROM products WHERE brand <> 'Brand#3')""",
     ),
     "raw_movements": (
         [],
@@ -45,7 +45,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
             FROM (SELECT m.*, p.product_name,
                     CASE WHEN event_type = 'IN' THEN day + CAST({SHELF.format('c.category')} AS INTEGER)
                          ELSE day + CAST(row_id % 9 - 4 AS INTEGER) END AS expiry_date
-                  FROM raw_movements m LEFT JOIN products p ON p.product_id = m.product_id AND p.product_id < 100
+                  FROM raw_movements m LEFT JOIN products p ON p.product_id = m.product_id
                   LEFT JOIN catalog c ON c.product_id = m.product_id)""",
     ),
     "inventory": (
@@ -64,7 +64,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
     "nutrition": (
         ["products"],
         """SELECT trim(replace(product_name, 'Organic', '')) AS name_key, product_id AS rank, size FROM products
-           WHERE product_id % 5 <> 4""",
+           WHERE brand <> 'Brand#8'""",
     ),
     "baskets": ([], "SELECT DISTINCT l_orderkey AS basket, l_partkey AS item FROM lineitem"),
 }

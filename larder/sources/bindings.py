@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from larder.functions import scalars as S
 from larder.sources.tables import read_parquet
 
-# Products with a key below this bound appear in the event stream.
-PRODUCT_KEYS = 100
+# Brands without a catalog entry, and without a hit in the nutrition search.
+NOT_LISTED = "Brand#3"
+NOT_FOUND = "Brand#8"
 DEPARTMENT_BY_TYPE = {"STANDARD": 4, "ECONOMY": 16, "MEDIUM": 7, "PROMO": 13, "SMALL": 19}
 OTHER_DEPARTMENT = 20
 
@@ -19,18 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """product_id, product_name, department_id, size of every part."""
+    """product_id, product_name, department_id, size, brand of every part."""
     part = table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         S.lookup_constant(F.col("p_type"), DEPARTMENT_BY_TYPE, OTHER_DEPARTMENT).alias("department_id"),
         F.col("p_size").alias("size"),
+        F.col("p_brand").alias("brand"),
     )
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = products(spark, sf_dir).filter(f"product_id < {PRODUCT_KEYS} AND product_id % 17 <> 5")
+    p = products(spark, sf_dir).filter(F.col("brand") != NOT_LISTED)
     key = F.col("product_id")
     calories = F.when(key % 10 != 3, key * F.lit(5.0))
     return p.select(
@@ -57,7 +59,7 @@ def movement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movements_from(raw: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as movements; the product key range bounds the broadcast side to 100 rows."""
+    """Events as movements, named after their part."""
     events = raw.select(
         F.col("event_id").alias("row_id"),
         F.col("event_id").cast("string").alias("event_id"),
@@ -67,19 +69,13 @@ def movements_from(raw: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
         (1 + F.col("event_id") % 3).cast("int").alias("quantity"),
         F.col("ts").alias("timestamp"),
     )
-    names = (
-        products(spark, sf_dir)
-        .filter(f"product_id < {PRODUCT_KEYS}")
-        .select(
-            "product_id",
-            "product_name",
-            F.when(F.col("product_id") % 17 != 5, F.col("department_id")).alias("department"),
-        )
+    names = products(spark, sf_dir).select(
+        "product_id", "product_name", F.when(F.col("brand") != NOT_LISTED, F.col("department_id")).alias("department")
     )
     day = F.to_date("timestamp")
     out_expiry = F.date_add(day, (F.col("row_id") % 9 - 4).cast("int"))
     return (
-        events.join(F.broadcast(names), "product_id", "left")
+        events.join(names, "product_id", "left")
         .withColumn("stock_id", F.concat_ws("-", "household_id", "product_id"))
         .withColumn(
             "expiry_date",
@@ -135,7 +131,7 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nutrition_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offline answers of the nutrition search: ranked hits by name, each with a list of (nutrientId, value)."""
-    p = products(spark, sf_dir).filter("product_id % 5 <> 4")
+    p = products(spark, sf_dir).filter(F.col("brand") != NOT_FOUND)
     key = F.col("product_id")
     entry = lambda nid, value: F.struct(F.lit(nid).alias("nutrientId"), value.cast("double").alias("value"))
     return p.select(
