@@ -59,6 +59,14 @@ def scree(spark: SparkSession, c: Components) -> DataFrame:
     return table.withColumn("cumulative", F.sum("ratio").over(w))
 
 
+def energy_table(curve: DataFrame, first: int = 5) -> DataFrame:
+    """Variance kept by the leading components, in percent with two digits."""
+    percent = lambda c: F.bround(F.col(c) * 100, 2)
+    return curve.filter(F.col("pc") <= first).select(
+        "pc", percent("ratio").alias("variance_pct"), percent("cumulative").alias("cumulative_pct")
+    )
+
+
 def components_for(c: Components, share: float = VARIANCE_KEPT) -> int:
     """Fewest components that reach the share; fails when none does."""
     reached = np.nonzero(np.cumsum(c.ratio) >= share)[0]

@@ -21,7 +21,7 @@ from larder.plans import pipeline as P
 from larder.plans.registry import query
 from larder.plans.relational import big, inventory, rounded
 from larder.plans.views import tokens_sql, with_views
-from larder.session import scratch_path
+from larder.session import scratch_path, spread_scan
 from larder.sources import bindings as B
 from larder.sources import tables as T
 
@@ -30,13 +30,17 @@ MAX_TERMS = 8
 # --- text ----------------------------------------------------------------------------------------------------------
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread_scan(B.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query(
     "tokenize",
     f"""SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct,
           array_to_string(t, ' ') AS token_text FROM (SELECT doc_id, {tokens_sql('text')} AS t FROM documents)""",
 )
 def tokenize(spark, d):
-    docs = B.table(spark, d, "documents").select("doc_id", S.tokens(F.col("text")).alias("t"))
+    docs = _documents(spark, d).select("doc_id", S.tokens(F.col("text")).alias("t"))
     return big(
         docs.select(
             "doc_id",
@@ -89,7 +93,7 @@ def tfidf_vocab(spark, d):
         SELECT term, CAST(total AS BIGINT) AS total, round(idf, 6) AS idf FROM vocab""",
 )
 def tfidf_vocab_documents(spark, d):
-    return _vocabulary_rows(B.table(spark, d, "documents"), "text", F.lit(1), 50)
+    return _vocabulary_rows(_documents(spark, d), "text", F.lit(1), 50)
 
 
 @query(
@@ -111,7 +115,7 @@ def tfidf_weights(spark, d):
         SELECT k AS doc_id, term, round(weight, 6) AS weight FROM tfidf""",
 )
 def tfidf_weights_documents(spark, d):
-    docs = B.table(spark, d, "documents").select("doc_id", "text")
+    docs = _documents(spark, d)
     vocabulary = FT.fit_vocabulary(docs, "text")
     return rounded(FT.long_weights(FT.add_tfidf(docs, "text", vocabulary, "txt"), ["doc_id"], "txt", vocabulary), 6, "weight")
 
@@ -144,14 +148,14 @@ ENCODED = """encoded AS (SELECT row_id, category,
   FROM (SELECT row_id, category, CASE WHEN event_type = 'OUT' THEN 1 ELSE 0 END AS y FROM inventory)
   WINDOW w AS (PARTITION BY category ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 ENCODED_SQL = with_views(
-    "inventory", f"WITH {ENCODED} SELECT row_id, round(category_encoded, 6) AS category_encoded FROM encoded"
+    "inventory", f"WITH {ENCODED} SELECT row_id, round(category_encoded, 9) AS category_encoded FROM encoded"
 )
 
 
 @query("target_encode_ordered", ENCODED_SQL)
 def target_encode_ordered(spark, d):
     encoded = FT.target_encode_ordered(inventory(spark, d).select("row_id", "event_type", "category"))
-    return rounded(encoded.select("row_id", "category_encoded"), 6, "category_encoded")
+    return rounded(encoded.select("row_id", "category_encoded"), 9, "category_encoded")
 
 
 @query("target_encode_split", ENCODED_SQL)
@@ -159,7 +163,7 @@ def target_encode_split(spark, d):
     """The same encoding with every category treated as hot."""
     narrow = inventory(spark, d).select("row_id", "event_type", "category")
     encoded = FT.target_encode_ordered(narrow, hot_rows=0)
-    return rounded(encoded.select("row_id", "category_encoded"), 6, "category_encoded")
+    return rounded(encoded.select("row_id", "category_encoded"), 9, "category_encoded")
 
 
 @query(
@@ -170,13 +174,13 @@ def target_encode_split(spark, d):
           level AS (SELECT category, sum(CASE WHEN event_type = 'OUT' THEN 1 ELSE 0 END) AS s, count(*) AS n
             FROM inventory GROUP BY 1)
           SELECT q.product_id, CAST(q.department_id AS BIGINT) AS category,
-            round(coalesce((l.s + p) / (l.n + 1), p), 6) AS category_encoded
+            round(coalesce((l.s + p) / (l.n + 1), p), 9) AS category_encoded
           FROM products q CROSS JOIN prior LEFT JOIN level l ON l.category IS NOT DISTINCT FROM q.department_id""",
     ),
 )
 def target_encode_static(spark, d):
     products = B.products(spark, d).select("product_id", F.col("department_id").alias("category"))
-    return rounded(big(FT.target_encode_static(inventory(spark, d), products)), 6, "category_encoded")
+    return rounded(big(FT.target_encode_static(inventory(spark, d), products)), 9, "category_encoded")
 
 
 STANDARD_COLS = [*schemas.NUTRIENTS, "hour_of_day", "day_of_week"]
@@ -299,6 +303,11 @@ def pca_scree(spark, d):
     return R.scree(spark, reduced(spark, d)[1])
 
 
+@query("pca_energy_table")
+def pca_energy_table(spark, d):
+    return R.energy_table(R.scree(spark, reduced(spark, d)[1]))
+
+
 @query(
     "variance_threshold",
     """SELECT CAST(min(hour) AS BIGINT) AS n FROM (SELECT hour, sum(share) OVER (ORDER BY hour) AS c FROM (

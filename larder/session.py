@@ -66,5 +66,12 @@ def broadcast_if_within(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan in fewer parts than there are slots is dealt out, so that costly expressions use all of them; a scan of
+    many parts stays as it is."""
+    slots = parallelism(df.sparkSession)
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

@@ -14,7 +14,7 @@ from larder.plans import pipeline as P
 from larder.streaming.ledger import STATE_STORE, ledger_stream
 from larder.streaming.run import drain
 from tests.test_density import frame, groups, labels_of
-from tests.test_relational import SCHEMA, log, movement
+from tests.test_relational import log, movement
 
 
 def test_tokens(spark):
@@ -65,6 +65,8 @@ def test_components_equal_numpy_and_svd(spark):
     assert (c.directions[np.abs(c.directions).argmax(axis=0), range(5)] > 0).all()
     curve = [r["cumulative"] for r in R.scree(spark, c).orderBy("pc").collect()]
     assert curve[-1] == pytest.approx(1.0)
+    energy = R.energy_table(R.scree(spark, c), 2).orderBy("pc").collect()
+    assert [r["variance_pct"] for r in energy] == pytest.approx([round(v * 100, 2) for v in c.ratio[:2]], abs=0.011)
     names = [f"f{i}" for i in range(5)]
     load = {r["feature"]: r["norm"] for r in R.loadings(spark, c, names).collect()}
     assert sorted(load, key=load.get)[-1] == R.top_loadings(R.loadings(spark, c, names), 1).first()["feature"]
@@ -139,4 +141,3 @@ def test_stream_ledger_replay_equals_batch(spark, tmp_path):
     batch = {(r["stock_id"], r["day"], r["q"]) for r in ends.collect()}
     streamed = {(r["stock_id"], r["day"], r["quantity"]) for r in got.filter("kind = 'balance' AND stock_id NOT LIKE 'late%'").collect()}
     assert streamed == batch
-    assert SCHEMA

@@ -37,3 +37,16 @@ def test_query_equals_sql(spark, con, name):
     assert list(got.columns) == list(want.columns)
     assert len(got) == len(want)
     assert got.equals(want)
+
+
+@pytest.mark.parametrize("name", ["lot_ledger_split", "kitchen_sessions", "target_encode_split", "pair_rules", "dbscan_labels"])
+def test_result_does_not_depend_on_the_partitions(spark, name):
+    def run(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        return normal(entry.queries()[name](spark, SF_DIR).toPandas())
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert run("1").equals(run("7"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
