@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from functools import reduce
 
@@ -175,19 +176,24 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_count: int = 1) -
 
 
 def itemset_rules(
-    baskets: DataFrame, basket: str, item: str, min_support: float, min_confidence: float
+    baskets: DataFrame, basket: str, item: str, min_confidence: float, min_support: float = 0.0, min_count: int = 1
 ) -> DataFrame:
-    """Rules over itemsets of any size. Infrequent items leave first, which bounds the length of each basket by
-    mean basket length / min_support."""
+    """Rules over itemsets of any size, in at least ``min_count`` baskets and ``min_support`` of all baskets.
+
+    Infrequent items leave first, so a basket keeps at most as many items as reach that count.
+    """
     rows = baskets.select(basket, item).distinct()
     n_baskets = rows.select(basket).distinct().count()
-    items = frequent_items(rows, item, max(1, -int(-min_support * n_baskets // 1)))
+    least = max(1, min_count, math.ceil(min_support * n_baskets - 1e-9))
+    items = frequent_items(rows, item, least)
     sets = rows.join(items.select(item), item, "left_semi").groupBy(basket).agg(F.collect_list(item).alias("items"))
     # Baskets that lost all their items still count in the denominator.
-    adjusted = min_support * n_baskets / max(1, sets.count())
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, adjusted), minConfidence=min_confidence).fit(sets)
+    n_kept = sets.count()
+    model = FPGrowth(
+        itemsCol="items", minSupport=min(1.0, (least - 0.5) / max(1, n_kept)), minConfidence=min_confidence
+    ).fit(sets)
     joined = lambda c: F.concat_ws(",", F.transform(F.array_sort(c), lambda x: x.cast("string")))
-    kept = F.lit(float(sets.count()) / max(1, n_baskets))
+    kept = F.lit(n_kept / max(1, n_baskets))
     return model.associationRules.select(
         joined("antecedent").alias("antecedent"),
         joined("consequent").alias("consequent"),

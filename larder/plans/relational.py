@@ -697,25 +697,25 @@ def pair_rules(spark, d):
         "baskets",
         """WITH n AS (SELECT CAST(count(DISTINCT basket) AS DOUBLE) AS n FROM baskets),
           i AS (SELECT item, count(*) AS c FROM baskets GROUP BY 1),
-          f AS (SELECT item, c FROM i, n WHERE c >= 0.0001e0 * n.n),
+          f AS (SELECT item, c FROM i WHERE c >= 3),
           p AS (SELECT a.item AS a, b.item AS b, count(*) AS c FROM baskets a JOIN baskets b
             ON a.basket = b.basket AND a.item <> b.item GROUP BY 1, 2),
-          k AS (SELECT p.* FROM p, n WHERE p.c >= 0.0001e0 * n.n),
+          k AS (SELECT p.* FROM p WHERE p.c >= 3),
           t AS (SELECT x.item AS a, y.item AS b, z.item AS c3, count(*) AS c FROM baskets x
             JOIN baskets y ON x.basket = y.basket AND x.item < y.item
             JOIN baskets z ON z.basket = y.basket AND z.item <> y.item AND z.item <> x.item GROUP BY 1, 2, 3),
-          kt AS (SELECT t.* FROM t, n WHERE t.c >= 0.0001e0 * n.n),
+          kt AS (SELECT t.* FROM t WHERE t.c >= 3),
           r AS (SELECT CAST(k.a AS VARCHAR) AS antecedent, CAST(k.b AS VARCHAR) AS consequent, k.c, ia.c AS ca, ib.c AS cb
               FROM k JOIN i ia ON ia.item = k.a JOIN i ib ON ib.item = k.b
             UNION ALL SELECT kt.a || ',' || kt.b, CAST(kt.c3 AS VARCHAR), kt.c, kp.c, ib.c
               FROM kt JOIN k kp ON kp.a = kt.a AND kp.b = kt.b JOIN i ib ON ib.item = kt.c3)
           SELECT antecedent, consequent, round(r.c / CAST(ca AS DOUBLE), 6) AS confidence,
             round(r.c * n.n / (CAST(ca AS DOUBLE) * cb), 8) AS lift, round(r.c / n.n, 9) AS support
-          FROM r CROSS JOIN n WHERE r.c >= 0.05e0 * ca""",
+          FROM r CROSS JOIN n WHERE r.c >= 0.0501e0 * ca""",
     ),
 )
 def fp_rules(spark, d):
-    rules = C.itemset_rules(B.baskets(spark, d), "basket", "item", min_support=0.0001, min_confidence=0.05)
+    rules = C.itemset_rules(B.baskets(spark, d), "basket", "item", min_confidence=0.0501, min_count=3)
     return rounded(rounded(rounded(rules, 6, "confidence"), 8, "lift"), 9, "support")
 
 

@@ -223,6 +223,6 @@ def test_csv_round_trip_and_nan(spark, tmp_path):
 
 def test_itemset_rules_keep_the_full_denominator(spark):
     rows = [("t1", "a"), ("t1", "b"), ("t2", "a"), ("t2", "b"), ("t3", "a"), ("t4", "rare")]
-    got = {(r["antecedent"], r["consequent"]): r for r in C.itemset_rules(spark.createDataFrame(rows, "t string, i string"), "t", "i", 0.5, 0.1).collect()}
+    got = {(r["antecedent"], r["consequent"]): r for r in C.itemset_rules(spark.createDataFrame(rows, "t string, i string"), "t", "i", 0.1, min_support=0.5).collect()}
     rule = got["a", "b"]
     assert (rule["support"], rule["confidence"], rule["lift"]) == pytest.approx((0.5, 2 / 3, (2 / 3) / 0.5))
