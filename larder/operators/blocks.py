@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import cut, parallelism
+from larder.session import cut, parallelism, tasks_for
 
 BLOCK_ROWS = 2048
 MIN_BLOCK_ROWS = 512
@@ -136,16 +136,16 @@ def near_pairs(blocks: DataFrame, eps: float, width: int) -> DataFrame:
 
 
 def join_blocks(pairs: DataFrame, blocks: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairs with the packed columns of both blocks, spread over the tasks pair by pair."""
+    """Pairs (a written table) with the packed columns of both blocks, spread over the tasks pair by pair."""
     left = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
     right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
     joined = pairs.join(right, "b").join(left, "a")
-    return joined.repartition(4 * parallelism(blocks.sparkSession), "a", "b")
+    return joined.repartition(tasks_for(blocks.sparkSession, pairs.count()), "a", "b")
 
 
-def spread(blocks: DataFrame) -> DataFrame:
+def spread(blocks: DataFrame, n_blocks: int) -> DataFrame:
     """Blocks dealt out to a fixed number of tasks: their rows are few and small, the work on each is not."""
-    return blocks.repartition(4 * parallelism(blocks.sparkSession), "block")
+    return blocks.repartition(tasks_for(blocks.sparkSession, n_blocks), "block")
 
 
 def floats(data: bytes, width: int | None = None) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.blocks import block_size, floats, ints, squared_distances
-from larder.session import broadcast_if_within, cut, parallelism
+from larder.session import broadcast_if_within, cut, parallelism, tasks_for
 
 # Share of noise a density model may leave, by phase, and the least score of a refined k-means.
 MAX_NOISE = {1: 0.60, 2: 0.20}
@@ -105,9 +105,7 @@ def silhouette_exact(
         *[F.col(c).alias(f"{c}_a") for c in cols],
     )
     right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    pairs = left.join(right, "b").repartition(
-        min(n_blocks * (n_blocks + 1) // 2, 4 * parallelism(spark)), "a", "b"
-    )
+    pairs = left.join(right, "b").repartition(tasks_for(spark, n_blocks * (n_blocks + 1) // 2), "a", "b")
     sums = (
         pairs.mapInPandas(_distance_sums(width, trials), "pid long, trial int, own long, cluster long, total double")
         .groupBy("pid", "trial", "own", "cluster")

@@ -144,11 +144,11 @@ def target_encode_ordered(
     out: str = "category_encoded",
     hot_rows: int = HOT_ROWS,
     prior: Column | None = None,
-    largest: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """(target sum of earlier rows of the category + prior) / (their number + 1), prior = overall mean.
 
-    ``prior`` and the size of the largest category are worked out unless they are known already.
+    ``prior`` and ``sizes`` (rows of the largest category and of all) are worked out unless they are known already.
     """
     target = S.out_indicator(F.col("event_type")) if target is None else target
     prior = target_prior(df, target) if prior is None else prior
@@ -159,7 +159,7 @@ def target_encode_ordered(
         {"_sum": target.cast("bigint"), "_n": F.lit(1).cast("bigint")},
         include_current=False,
         hot_rows=hot_rows,
-        largest=largest,
+        sizes=sizes,
     )
     return summed.withColumn(out, (F.col("_sum") + prior) / (F.col("_n") + 1)).drop("_sum", "_n")
 
@@ -213,12 +213,12 @@ def raw_feature_matrix(
     weights, vocabulary = name_weights(profile, max_features, F.col("n"))
     target = S.out_indicator(F.col("event_type"))
     totals = profile.agg((F.sum(target * F.col("n")) / F.sum("n")).alias("prior")).first()
-    largest = profile.groupBy("category").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    rows = profile.groupBy("category").agg(F.sum("n").alias("n")).agg(F.max("n"), F.sum("n")).first()
     imputed = impute_category_mean(
         narrow, means=category_means(profile, schemas.NUTRIENTS, "category", F.col("n"))
     )
     encoded = target_encode_ordered(
-        imputed, hot_rows=hot_rows, prior=F.lit(totals["prior"]).cast("double"), largest=largest
+        imputed, hot_rows=hot_rows, prior=F.lit(totals["prior"]).cast("double"), sizes=(rows[0] or 0, rows[1] or 0)
     )
     named = encoded.withColumn("name", F.coalesce("product_name", F.lit("")))
     texted = named.join(broadcast_if_within(weights.select("name", "txt")), "name", "left")

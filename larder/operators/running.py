@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larder.session import cut, parallelism
+from larder.session import cut, tasks_for
 
 HOT_ROWS = 2_000_000
+SLICE_ROWS = 1_000
+MIN_SLICES = 4
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return row[0] or 0
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest key and of all keys."""
+    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
@@ -40,22 +43,22 @@ def running_sums(
     sums: Mapping[str, Column],
     include_current: bool = True,
     hot_rows: int = HOT_ROWS,
-    largest: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add for every entry of ``sums`` its running sum per key (0 before the first row).
 
     ``order`` names columns that order the rows of a key totally. With ``include_current`` false the sum covers the
-    earlier rows only. ``largest`` is the size of the largest key, counted unless given.
+    earlier rows only. ``sizes`` are the rows of the largest key and of all keys, counted unless given.
     """
     valued = df.withColumns({f"_v_{name}": expr for name, expr in sums.items()})
     last = 0 if include_current else -1
-    largest = largest_group(df, keys) if largest is None else largest
+    largest, total = group_sizes(df, keys) if sizes is None else sizes
     if largest <= hot_rows:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, last)
         out = valued.withColumns({n: F.coalesce(F.sum(f"_v_{n}").over(w), F.lit(0)) for n in sums})
         return out.drop(*[f"_v_{n}" for n in sums])
 
-    n_slices = 4 * parallelism(df.sparkSession)
+    n_slices = max(MIN_SLICES, tasks_for(df.sparkSession, total // max(SLICE_ROWS, hot_rows // 4)))
     sliced = cut(
         valued.repartitionByRange(n_slices, *keys, *order).withColumn("_slice", F.spark_partition_id())
     )

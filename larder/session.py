@@ -29,10 +29,10 @@ def build_session(app_name: str = "larder", master: str | None = None, **conf: s
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``; a local one only where it is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="larder-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="larder-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
@@ -75,3 +75,8 @@ def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
 
 def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def tasks_for(spark: SparkSession, pieces: int) -> int:
+    """Tasks for so many pieces of work: no more than there are pieces, a few per slot at most."""
+    return max(1, min(4 * parallelism(spark), pieces))
