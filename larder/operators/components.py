@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, by: list[str]) -> D
 
     Each round turns every edge towards the smallest neighbour (first of the larger ends, then of the smaller ones),
     so the graph shrinks to stars in few rounds whatever its diameter. Minima are added up map-side, and each round is
-    cut.
+    written and read back.
     """
     current = cut(
         edges.filter("u <> v")
@@ -22,13 +22,15 @@ def connected_components(edges: DataFrame, nodes: DataFrame, by: list[str]) -> D
     )
     while not _only_stars(current, by):
         both = current.unionByName(current.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy(*by, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        # Written out, so that both join sides are plain exchanges and adaptive execution can split a hub's edges.
+        lowest = cut(both.groupBy(*by, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
         large = (
             both.join(lowest, [*by, "u"])
             .filter("v > u AND v <> m")
             .select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
         )
-        lowest = large.groupBy(*by, "u").agg(F.min("v").alias("m"))
+        large = cut(large)
+        lowest = cut(large.groupBy(*by, "u").agg(F.min("v").alias("m")))
         linked = (
             large.join(lowest, [*by, "u"]).filter("v <> m").select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
         )
