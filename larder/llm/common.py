@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,23 +46,3 @@ def sequence_hashes(words: np.ndarray, n: int, multiplier: int = MULTIPLIERS[0])
         out *= np.uint64(multiplier)
         out += words[k : k + len(out)]
     return mixed(out)
-
-
-def in_batches(fn: Callable[[list[dict]], Iterator[dict] | list[dict]], schema) -> Callable:
-    """A ``mapInArrow`` function from one on lists of row dictionaries."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(schema)
-        for batch in batches:
-            rows: list[dict] = []
-            for row in fn(batch.to_pylist()):
-                rows.append(row)
-                if len(rows) >= 20_000:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
-
-    return run

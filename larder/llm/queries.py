@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, classifier, licenses, quality, sharding, simhash
+from larder.llm import chat, chunk_bpe, classifier, licenses, packing, quality, sharding, simhash
 from larder.llm.common import table
 from larder.plans.registry import query
 
 
+@query("op1_mixture_packing")
+def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 @query("op3_quality_ratio")
 def quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -30,6 +35,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("hits")
 
 
+@query("op8_chunk_reuse_bpe")
+def chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op9_sampled_splitters")
 def sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents")).drop("group")
