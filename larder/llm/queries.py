@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, chunk_bpe, classifier, licenses, packing, quality, sharding, simhash
+from larder.llm import chat, chunk_bpe, classifier, licenses, packing, quality, sharding, simhash, substrings
 from larder.llm.common import table
 from larder.plans.registry import query
 
@@ -25,6 +25,11 @@ def simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_fm_index_substrings")
+def fm_index_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op7_ftrl_classifier")
 def ftrl_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
