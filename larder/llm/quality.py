@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,12 @@ def base_counts(text: bytes) -> dict:
     }
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack.compress(t) for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "text"])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of all n-grams of a task's documents and of its trusted ones, one row for each slice of buckets."""
     total = np.zeros((2, 1 << BITS), np.uint32)
@@ -62,11 +69,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total[k] += np.bincount(np.concatenate(grams), minlength=1 << BITS).astype(np.uint32)
                 grams.clear()
 
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         held = 0
-        for text, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for data, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             seen = True
-            grams = hashed_ngrams(text, BITS)
+            grams = hashed_ngrams(unpack.decompress(data), BITS)
             held += len(grams)
             waiting[0].append(grams)
             if trusted:
@@ -96,8 +104,10 @@ def fit_ratio(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     A bucket that was never or rarely seen has a ratio near 0; without any trusted document all ratios are 0.
     """
     docs = only(documents, doc_id=doc_id, text=text).select("doc_id", utf8(F.col("text")).alias("text"))
+    docs = docs.mapInArrow(_packed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text binary")
     trusted = only(labels, doc_id=doc_id, quality=quality).filter("quality = 1").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    flagged = docs.join(trusted, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    # Labels grow with the corpus, so texts meet them in a shuffle at every size, compressed.
+    flagged = docs.join(trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counts = flagged.mapInArrow(_count, "slice int, counts binary").groupBy("slice").applyInPandas(_add, "slice int, counts binary")
     raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)
     width = (1 << BITS) // SLICES
