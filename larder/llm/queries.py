@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, chunk_bpe, classifier, licenses, packing, quality, sharding, simhash, substrings
+from larder.llm import chat, chunk_bpe, classifier, licenses, nn_descent, packing, quality, sharding, simhash, substrings
 from larder.llm.common import table
 from larder.plans.registry import query
 
@@ -15,6 +15,11 @@ def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+@query("op2_nn_descent")
+def nn_descent_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_quality_ratio")
 def quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
