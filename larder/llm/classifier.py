@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import only, utf8
+from larder.llm.common import filtered, only, utf8
 from larder.llm.tokens import hashed_ngrams
 
 BITS, THRESHOLD = 18, 0.7
@@ -79,6 +79,11 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np
     return np.frombuffer(bytes(found[0].w), np.float32) if found else np.zeros(SIZE, np.float32)
 
 
+def probability(text: bytes, weights: np.ndarray) -> float:
+    at, x = features(text)
+    return float(1.0 / (1.0 + np.exp(-np.clip(weights[at].astype(np.float64) @ x, -35.0, 35.0))))
+
+
 def score(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: label 1 likelier) and predicted of every document, from its whole text alone.
 
@@ -88,10 +93,7 @@ def score(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                at, x = features(text)
-                out.append(float(1.0 / (1.0 + np.exp(-np.clip(weights[at].astype(np.float64) @ x, -35.0, 35.0)))))
+            out = [probability(text, weights) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -103,3 +105,9 @@ def score(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOL
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return score(documents, fit(documents, labels))
+
+
+def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents`` that score at least ``threshold``, with all their columns."""
+    weights = fit(documents, labels)
+    return filtered(documents, lambda text: probability(text, weights) >= threshold)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Odd 64-bit multipliers for hashes of word sequences, all arithmetic modulo 2 ** 64.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -21,6 +25,14 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[source].alias(name) for name, source in columns.items()])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores in front, so that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(text: Column) -> Column:
     """The text's bytes for Python workers; a null text is empty."""
     return F.coalesce(text, F.lit("")).cast("binary")
@@ -46,3 +58,29 @@ def sequence_hashes(words: np.ndarray, n: int, multiplier: int = MULTIPLIERS[0])
         out *= np.uint64(multiplier)
         out += words[k : k + len(out)]
     return mixed(out)
+
+
+def filtered(documents: DataFrame, keep: Callable[[bytes], bool], text: str = "text") -> DataFrame:
+    """The rows whose text (its bytes; null: empty) ``keep`` accepts, with all their columns as they are."""
+    at = documents.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [keep((t or "").encode()) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def with_column(documents: DataFrame, name: str, kind: str, value: Callable[[bytes], object], text: str = "text") -> DataFrame:
+    """``documents`` and one more column, made from the bytes of its text (null: empty)."""
+    at = documents.columns.index(text)
+    added = documents.withColumn(name, F.lit(None).cast(kind))
+    arrow = to_arrow_schema(added.schema).field(name).type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([value((t or "").encode()) for t in batch.column(at).to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+    return documents.mapInArrow(run, added.schema)

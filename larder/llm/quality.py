@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import only, sequence_hashes, utf8, word_hashes
+from larder.llm.common import filtered, only, sequence_hashes, utf8, word_hashes
 from larder.llm.tokens import hashed_ngrams
 
 #: Buckets of the two multinomials (2 ** BITS), rows they are sent in, and pseudo-counts that pull rare buckets to a ratio of 1.
@@ -121,6 +121,12 @@ def fit_ratio(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     return np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype(np.float32)
 
 
+def mean_ratio(text: bytes, ratio: np.ndarray) -> float:
+    """The mean log ratio of a text's n-grams, to 6 digits; 0 without any."""
+    grams = hashed_ngrams(text, BITS)
+    return round(float(ratio[grams].sum(dtype=np.float64) / len(grams)), 6) if len(grams) else 0.0
+
+
 _SCORED = "doc_id {id}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double"
 
 
@@ -137,9 +143,7 @@ def score(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
         for batch in batches:
             rows = []
             for data in batch.column(1).to_pylist():
-                grams = hashed_ngrams(data, BITS)
-                mean = round(float(ratio[grams].sum(dtype=np.float64) / len(grams)), 6) if len(grams) else 0.0
-                rows.append(base_counts(data) | {"ratio": mean})
+                rows.append(base_counts(data) | {"ratio": mean_ratio(data, ratio)})
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             columns = [pa.array([r[n] for r in rows], pa.int64()) for n in names] + [pa.array([r["ratio"] for r in rows], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names, "ratio"])
@@ -152,3 +156,15 @@ def score(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
 
 def quality_rules(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return score(documents, fit_ratio(documents, labels), threshold)
+
+
+def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows of ``documents`` that the rules keep, with all their columns and without a shuffle of them."""
+    ratio = fit_ratio(documents, labels)
+
+    def good(data: bytes) -> bool:
+        counts = base_counts(data)
+        failed = counts["n_words"] < MIN_WORDS or 100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
+        return not failed and mean_ratio(data, ratio) >= threshold
+
+    return filtered(documents, good, text)

@@ -68,15 +68,21 @@ def range_shards(df: DataFrame, keys: list[str], size: str, shards: int = 8) ->
     their bytes and rows are known are sampled again on their own and subdivided. The shard of a row follows from the exact
     bytes before it, so shards differ by about one row's size; order inside and between shards is that of ``keys``.
 
-    ``keys`` should be as good as unique: rows alike in all of them, down to repeated rows, stay in one range, and are ordered by
-    all columns. A hot first key is no harm as the later ones split it. Null keys sort first; a null or negative size
-    counts as zero. An empty table gives no rows. Columns other than the keys and the size ride along, so pass only what is wanted.
+    ``keys`` should be as good as unique: rows alike in all of them, down to repeated rows, stay in one range in any order. A hot
+    first key is no harm as the later ones split it. Null keys sort first; a null or negative size counts as zero. An empty table
+    gives no rows. Other columns ride along whatever their names, so pass only what is wanted; old columns ``shard`` and ``slot`` are replaced.
     """
-    clean = df.withColumn("size", F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)))
-    rows = cut(clean)
+    carried = [c for c in df.columns if c.lower() not in ("shard", "slot")]
+    named = [f"k{i}" for i in range(len(keys))]
+    rows = cut(
+        df.select(
+            *[F.col(k).alias(n) for k, n in zip(keys, named, strict=True)],
+            F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.struct(*carried).alias("record"),
+        )
+    )
+    keys = named
     whole = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     total, wanted = max(1, whole.bytes), shards * RANGES_PER_SHARD
-    order = [c for c in rows.columns if c not in keys]
     bounds = _sampled_bounds(rows, keys, total, wanted)
     for attempt in range(ROUNDS + 1):
         ranged = rows.withColumn("_range", _position(rows, keys, bounds))
@@ -103,7 +109,7 @@ def range_shards(df: DataFrame, keys: list[str], size: str, shards: int = 8) ->
         b, n = b + sums[k][0], n + sums[k][1]
     # One row per range, bounded by the number of splitters.
     starts = F.broadcast(rows.sparkSession.createDataFrame(offsets, "_range int, _bytes long, _rows long"))
-    w = Window.partitionBy("_range").orderBy(*keys, *order)
+    w = Window.partitionBy("_range").orderBy(*keys, "size")
     placed = (
         ranged.withColumn("_n", F.row_number().over(w))
         .withColumn("_b", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -112,9 +118,9 @@ def range_shards(df: DataFrame, keys: list[str], size: str, shards: int = 8) ->
         .withColumn("_row", F.col("_rows") + F.col("_n") - 1)
         .withColumn("shard", F.least(F.floor(F.col("_before") * float(shards) / float(total)), F.lit(shards - 1)).cast("int"))
     )
-    placed = cut(placed.select(*rows.columns, "shard", "_row"))
+    placed = cut(placed.select("record", "shard", "_row"))
     firsts = F.broadcast(placed.groupBy("shard").agg(F.min("_row").alias("_first")))  # one row per shard
-    return placed.join(firsts, "shard").withColumn("slot", F.col("_row") - F.col("_first")).drop("_row", "_first")
+    return placed.join(firsts, "shard").select("record.*", "shard", (F.col("_row") - F.col("_first")).alias("slot"))
 
 
 def document_shards(documents: DataFrame, shards: int = 8, group: str = "source") -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import only, utf8
+from larder.llm.common import only, unused, utf8, with_column
 from larder.operators.components import connected_components
 from larder.session import cut
 
@@ -133,6 +133,12 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def _grouped(marks: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, node, component) of every distinct fingerprint in (doc_id, fp), written out."""
+    nodes = cut(marks.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")))
+    return cut(connected_components(links(nodes, max_bits), nodes, []).select("fp", "node", "component"))
+
+
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id: the smallest doc_id reachable by fingerprints at most ``max_bits`` apart.
 
@@ -141,7 +147,21 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     links with nothing and has a null component. Other columns are ignored.
     """
     marks = cut(fingerprints(documents, doc_id, text))
-    nodes = cut(marks.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")))
-    groups = cut(connected_components(links(nodes, max_bits), nodes, []))
+    groups = _grouped(marks, max_bits)
     found = marks.join(groups.select("fp", "component"), "fp", "left")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def kept_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``documents`` for each group of near-duplicates, that of the smallest doc_id, with all its columns.
+
+    Of repeated rows one stays. Rows of a null doc_id count as copies only by their fingerprint: one stays if no other row has it.
+    """
+    signed = lambda t: int(np.uint64(fingerprint(t)).view(np.int64))
+    fp = unused(documents, "fp")
+    marked = cut(with_column(documents, fp, "long", signed, text))
+    groups = _grouped(marked.select(F.col(doc_id).alias("doc_id"), F.col(fp).alias("fp")), max_bits)
+    first = groups.filter("node = component").select(F.col("fp").alias(fp), F.col("node").alias(doc_id))
+    named = marked.join(first, [fp, doc_id], "left_semi")
+    unnamed = marked.filter(F.col(doc_id).isNull()).join(groups.select(F.col("fp").alias(fp)), fp, "left_anti")
+    return named.unionByName(unnamed).dropDuplicates([fp, doc_id]).select(documents.columns)

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import MULTIPLIERS, mixed, only, sequence_hashes, utf8, word_hashes
+from larder.llm.common import MULTIPLIERS, mixed, only, sequence_hashes, unused, utf8, with_column, word_hashes
 from larder.llm.fm_index import FMIndex, matching_lengths
 from larder.session import cut
 
@@ -188,15 +188,8 @@ def repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     return marked.select("doc_id", "text_key", "n_words", "whole_sha256"), texts.select("text_key", "text"), cut(one)
 
 
-def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_sha256 of every document, and its kept words joined by one space as ``kept`` if asked for.
-
-    Every word covered by a window of ``window`` words that also starts anywhere else goes, in all its places; windows are
-    judged on the input. A null, empty or shorter text has no window and keeps its words. Repeated rows are
-    copies: all their windows go. Other columns are ignored, an empty table gives no rows. Windows are matched by 64-bit hashes only to bring
-    them together; what recurs is decided on the words themselves, except that passages equal in both of two 64-bit hashes are one.
-    """
-    marked, texts, marks = repeated_windows(documents, doc_id, text, window)
+def _changed(texts: DataFrame, marks: DataFrame, window: int, with_text: bool) -> DataFrame:
+    """(text_key, n_removed, kept_sha256 and, if asked for, kept) of every text that loses words, written out."""
     result = "text_key binary, n_removed long, kept_sha256 string" + (", kept string" if with_text else "")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +206,29 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
             columns = [batch.column(0), pa.array(removed, pa.int64()), pa.array(digests, pa.string())] + [pa.array(kept, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(columns, ["text_key", "n_removed", "kept_sha256"] + ["kept"] * with_text)
 
-    changed = cut(texts.join(marks, "text_key").select("text_key", "text", "marks").mapInArrow(keep, result).dropDuplicates(["text_key"]))
-    out = marked.join(changed, "text_key", "left")
-    columns = ["doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256")]
-    return out.select(*columns, *(["kept"] if with_text else []))
+    return cut(texts.join(marks, "text_key").select("text_key", "text", "marks").mapInArrow(keep, result).dropDuplicates(["text_key"]))
+
+
+def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by one space) of every document.
+
+    Every word covered by a window of ``window`` words that also starts anywhere else goes, in all its places; windows are
+    judged on the input. A null, empty or shorter text has no window and keeps its words. Repeated rows are
+    copies: all their windows go. Other columns are ignored, an empty table gives no rows. Windows are matched by 64-bit hashes only to bring
+    them together; what recurs is decided on the words themselves, except that passages equal in both of two 64-bit hashes are one.
+    """
+    marked, texts, marks = repeated_windows(documents, doc_id, text, window)
+    out = marked.join(_changed(texts, marks, window, False), "text_key", "left")
+    return out.select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
+def cleaned_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``documents`` with the kept words, joined by one space, as the text of those that lose words; no row and no other text changes."""
+    marked, texts, marks = repeated_windows(documents, doc_id, text, window)
+    key, kept = unused(documents, "text_key"), unused(documents, "kept")
+    changed = _changed(texts, marks, window, True).select(F.col("text_key").alias(key), F.col("kept").alias(kept))
+    joined = with_column(documents, key, "binary", _key, text).join(changed, key, "left")
+    return joined.withColumn(text, F.coalesce(kept, text)).select(documents.columns)
