@@ -20,7 +20,7 @@ BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general p
 GATES = ("licen", "copyright", "permission", "redistribut", "public domain", "warranty", "cc by", "creative commons", "copyleft", "unlicense")
 
 #: What stands between a name and a version: "version 2", "v 2", "v2" or nothing.
-V = r"(?: version | v ?| )"
+V = r" (?:version |v ?)?"
 
 #: label | level | keyword | regex. The gate is the first one that the keyword or the expression's fixed text holds.
 SIGNATURES = rf"""
