@@ -40,6 +40,11 @@ def lookup_constant(key: Column, table: Mapping, default=None) -> Column:
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
+def hour_share(hour: Column, shares: Mapping) -> Column:
+    """Share of the movements that fall in an hour; an hour that the shares do not list gets the default."""
+    return lookup_constant(hour, shares, DEFAULT_HOUR_SHARE)
+
+
 def nutriscore(calories: Column) -> Column:
     expr = F.when(calories.isNull() | F.isnan(calories), F.lit(MISSING_SCORE))
     for grade, bound in SCORE_UPPER_BOUNDS:
@@ -89,10 +94,9 @@ def end_of_day(day: Column) -> Column:
 
 
 def classify_movement(event_type: Column, day: Column, expiry: Column) -> Column:
-    """Purchase for IN; for OUT by calendar day: past the grace days, past the expiry, or in time."""
+    """Purchase for IN; for OUT by calendar day: past the expiry or in time. Only the expiry sweep writes Forced_Waste."""
     return (
         F.when(event_type == "IN", F.lit("Purchase"))
-        .when(day > F.date_add(expiry, GRACE_DAYS), F.lit("Forced_Waste"))
         .when(day > expiry, F.lit("Waste"))
         .otherwise(F.lit("Consumption"))
     )

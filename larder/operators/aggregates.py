@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -47,24 +46,25 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def column_types(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and columns of each table."""
+    """Rows, columns and column types of each table."""
     parts = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(name).alias("table_name"),
             "n_rows",
             F.lit(len(df.columns)).cast("bigint").alias("n_cols"),
             F.lit(",".join(df.columns)).alias("columns"),
+            F.lit(",".join(kind for _, kind in column_types(df))).alias("types"),
         )
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
 def matrix_range(df: DataFrame, features: str = "features") -> DataFrame:
     """Rows, width, smallest and largest entry of a keyed matrix (array column)."""
     return df.agg(
@@ -84,7 +84,3 @@ def waste_rate(df: DataFrame, *keys: str) -> DataFrame:
     )
     rate = F.when(F.col("in_qty") > 0, F.col("waste_qty").cast("double") / F.col("in_qty"))
     return totals.withColumn("waste_rate", rate)
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.evaluation import mean_silhouettes
+from larder.operators.evaluation import EUCLIDEAN, mean_silhouettes
 
 # Fixed values.
 SEED = 42
@@ -32,10 +32,6 @@ RESULT_SCHEMA = (
 )
 
 
-def distance_name(exact: bool) -> str:
-    return "euclidean" if exact else "squared"
-
-
 @dataclass
 class Sweep:
     """Fitted models of a sweep, the labels of every row by trial, and one result row per trial."""
@@ -72,7 +68,7 @@ def kmeans_sweep(
     grid: Iterable[int] = KMEANS_GRID,
     restarts: int = RESTARTS,
     features: str = "features",
-    exact: bool = True,
+    distance: str = EUCLIDEAN,
     threads: int = 4,
 ) -> Sweep:
     """K-Means for every k, scored by silhouette, with its inertia. The fits of a k share one cached input and are
@@ -82,9 +78,10 @@ def kmeans_sweep(
     with ThreadPoolExecutor(threads) as pool:
         models = list(pool.map(lambda k: fit_kmeans(vectors, k, restarts), grid))
     labelled = _label_all(vectors, models)
-    scores = mean_silhouettes(labelled, len(grid), exact)
+    scores = mean_silhouettes(labelled, len(grid), distance)
+    vectors.unpersist()
     rows = [
-        (i, "K-Means", f"k={k}", s, float(m.summary.trainingCost), k, 0.0, distance_name(exact))
+        (i, "K-Means", f"k={k}", s, float(m.summary.trainingCost), k, 0.0, distance)
         for i, (k, m, s) in enumerate(zip(grid, models, scores))
     ]
     return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
@@ -100,7 +97,7 @@ def gmm_sweep(
     df: DataFrame,
     grid: Iterable[int] = GMM_GRID,
     features: str = "features",
-    exact: bool = True,
+    distance: str = EUCLIDEAN,
     max_iter: int = 100,
     threads: int = 4,
 ) -> Sweep:
@@ -118,9 +115,10 @@ def gmm_sweep(
     with ThreadPoolExecutor(threads) as pool:
         models = list(pool.map(fit, grid))
     labelled = _label_all(vectors, models)
-    scores = mean_silhouettes(labelled, len(grid), exact)
+    scores = mean_silhouettes(labelled, len(grid), distance)
+    vectors.unpersist()
     rows = [
-        (i, "GMM", f"components={k}", s, mixture_bic(m.summary.logLikelihood, k, d, n), k, 0.0, distance_name(exact))
+        (i, "GMM", f"components={k}", s, mixture_bic(m.summary.logLikelihood, k, d, n), k, 0.0, distance)
         for i, (k, m, s) in enumerate(zip(grid, models, scores))
     ]
     return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))

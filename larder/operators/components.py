@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.session import cut
+from larder.session import cut, drop_cut
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame, by: list[str]) -> DataFrame:
@@ -23,9 +23,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, by: list[str]) -> D
     while not _only_stars(current, by):
         both = current.unionByName(current.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
         # Written out, so that both join sides are plain exchanges and adaptive execution can split a hub's edges.
-        lowest = cut(both.groupBy(*by, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
+        first_lowest = cut(both.groupBy(*by, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
         large = (
-            both.join(lowest, [*by, "u"])
+            both.join(first_lowest, [*by, "u"])
             .filter("v > u AND v <> m")
             .select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
         )
@@ -34,7 +34,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, by: list[str]) -> D
         linked = (
             large.join(lowest, [*by, "u"]).filter("v <> m").select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
         )
+        before = current
         current = cut(linked.unionByName(lowest.select(*by, "u", F.col("m").alias("v"))).distinct())
+        drop_cut(before, first_lowest, large, lowest)
     found = current.select(*by, F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(found, [*by, "node"], "left").withColumn("component", F.coalesce("component", "node"))
 

@@ -16,8 +16,8 @@ from larder.session import broadcast_if_within, cut, parallelism, tasks_for
 MAX_NOISE = {1: 0.60, 2: 0.20}
 MIN_REFINED_KMEANS = 0.50
 NO_MODEL = -1.0
-# Beyond this many rows model choice scores with squared distance, and says so in its result rows.
-EXACT_ROWS = 200_000
+# Distances that model choice can score with; the gates above are meant for the first.
+EUCLIDEAN, SQUARED = "euclidean", "squared"
 
 
 def _pack_labelled():
@@ -141,11 +141,13 @@ def silhouette_exact(
     )
 
 
-def mean_silhouettes(labelled: DataFrame, n_labellings: int, exact: bool) -> list[float | None]:
+def mean_silhouettes(labelled: DataFrame, n_labellings: int, distance: str = EUCLIDEAN) -> list[float | None]:
     """Score of every labelling in the ``labels`` array: exact, or with squared distance in linear time."""
+    if distance not in (EUCLIDEAN, SQUARED):
+        raise ValueError(f"no such distance: {distance}")
     if n_labellings == 0:
         return []
-    if exact:
+    if distance == EUCLIDEAN:
         found = {r["trial"]: r["silhouette"] for r in silhouette_exact(labelled).collect()}
         return [found.get(i) for i in range(n_labellings)]
     # Spark's evaluator wants labels from 0.
@@ -160,26 +162,18 @@ def silhouette_fast(df: DataFrame, label: str = "cluster_label", features: str =
 
 
 def inertia(df: DataFrame, label: str = "cluster_label", features: str = "features") -> DataFrame:
-    """Sum of squared distances to the mean of the own cluster, from per-cluster sums of x and x squared.
+    """Sum of squared distances to the mean of the own cluster.
 
-    sum |x - m|^2 = sum |x - c|^2 - n |m - c|^2 around any fixed point c, here the overall mean.
+    The means come first and the differences from them are squared, so that tight groups far from each other keep their digits.
     """
     width = len(df.select(features).first()[0])
-    centre = df.agg(F.array(*[F.avg(F.element_at(features, i + 1)) for i in range(width)]).alias("c")).first()["c"]
-    moved = df.select(
-        F.col(label).alias("label"),
-        F.zip_with(features, F.array(*[F.lit(c) for c in centre]), lambda x, c: x - c).alias("x"),
-    )
-    items = [F.element_at("x", i + 1) for i in range(width)]
-    per_cluster = moved.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.aggregate("x", F.lit(0.0), lambda acc, x: acc + x * x)).alias("sq"),
-        F.array(*[F.sum(x) for x in items]).alias("sums"),
-    )
-    mean_part = F.aggregate("sums", F.lit(0.0), lambda acc, x: acc + x * x) / F.col("n")
-    return per_cluster.agg(
-        F.sum(F.col("sq") - mean_part).alias("inertia"), F.count(F.lit(1)).alias("n_clusters")
-    )
+    rows = df.select(F.col(label).alias("label"), F.col(features).alias("x"))
+    means = cut(rows.groupBy("label").agg(F.array(*[F.avg(F.element_at("x", i + 1)) for i in range(width)]).alias("mean")))
+    # A missing label is a cluster of its own.
+    joined = rows.alias("r").join(broadcast_if_within(means).alias("m"), F.expr("r.label <=> m.label"))
+    apart = F.aggregate(F.zip_with("x", "mean", lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda acc, d: acc + d)
+    sums = joined.groupBy("r.label").agg(F.sum(apart).alias("sq"))
+    return sums.agg(F.sum("sq").alias("inertia"), F.count(F.lit(1)).alias("n_clusters"))
 
 
 def cluster_quality(df: DataFrame, label: str = "cluster_label", by: list[str] | None = None) -> DataFrame:

@@ -25,9 +25,18 @@ def cast_key(df: DataFrame, key: str = "product_id") -> DataFrame:
     return df.withColumn(key, F.col(key).cast("bigint"))
 
 
+def one_per_key(dim: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """The looked-up columns by key; fails the job when a key stands twice, as the join would repeat rows."""
+    twice = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))
+    found = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.first(F.struct(*cols)).alias("_d"), F.count(F.lit(1)).alias("_n"))
+    # A key column that the check decides keeps the check in the plan.
+    return found.select(F.when(F.col("_n") == 1, F.col(key)).otherwise(twice.cast(dim.schema[key].dataType)).alias(key), "_d.*")
+
+
 def enrich(movements: DataFrame, catalog: DataFrame) -> DataFrame:
     """Every movement with the nutrition columns of its product, NULL where the catalog has none."""
-    return cast_key(movements).join(cast_key(catalog_subset(catalog)), "product_id", "left")
+    dim = cast_key(catalog_subset(catalog))
+    return cast_key(movements).join(one_per_key(dim, "product_id", [c for c in dim.columns if c != "product_id"]), "product_id", "left")
 
 
 def keep_listed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -42,7 +51,7 @@ def last_by_key(df: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, defaults: Mapping[str, object]) -> DataFrame:
     """Left join on a unique key with a default for each looked-up column."""
-    found = df.join(dim.select(key, *defaults), key, "left")
+    found = df.join(one_per_key(dim, key, list(defaults)), key, "left")
     return found.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
@@ -79,9 +88,11 @@ def add_nutrition(products: DataFrame, reference: DataFrame) -> DataFrame:
 def build_catalog(movements: DataFrame, products: DataFrame, reference: DataFrame) -> DataFrame:
     """Catalog of the products seen in the log: default name and department, then nutrition and score."""
     seen = movements.select("product_id").distinct()
+    # Of repeated products the last one in the order of all columns wins, whatever the row order.
+    listed = products.select("product_id", "product_name", F.col("department_id").alias("category"))
     named = lookup(
         seen,
-        products.select("product_id", "product_name", F.col("department_id").alias("category")),
+        last_by_key(listed.withColumn("_seq", F.struct("product_name", "category")), "product_id", "_seq", ["product_name", "category"]),
         "product_id",
         {"product_name": "Unknown Product", "category": 0},
     )

@@ -85,7 +85,7 @@ def first_reaching(curve: DataFrame, order: str, value: str, threshold: float) -
 
 def project(df: DataFrame, c: Components, n: int, features: str = "features", out: str = "pca") -> DataFrame:
     """First n coordinates of every row. The model does not centre, so the input has to be centred."""
-    scored = c.model.setInputCol("_v").setOutputCol("_pc").transform(
+    scored = c.model.copy().setInputCol("_v").setOutputCol("_pc").transform(
         df.withColumn("_v", array_to_vector(F.col(features)))
     )
     signs = F.array(*[F.lit(float(s)) for s in c.signs[:n]])

@@ -57,9 +57,16 @@ def sessions(movements: DataFrame, event_type: str, gap: int | None = None) -> D
     kinds = (
         session_products(movements, event_type, gap)
         .groupBy("household_id", "session_no")
-        .agg(F.count(F.lit(1)).alias("n_products"))
+        .agg(F.count("product_id").alias("n_products"))
     )
-    return spans.join(kinds, ["household_id", "session_no"])
+    return _same(spans, kinds, ["household_id", "session_no"])
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where a missing household is a household like any other."""
+    named = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return left.join(named, on).drop(*[f"_{k}" for k in keys])
 
 
 def assign_sessions(movements: DataFrame, event_type: str, gap: int | None = None) -> DataFrame:
@@ -67,7 +74,7 @@ def assign_sessions(movements: DataFrame, event_type: str, gap: int | None = Non
     gap = SESSION_GAP[event_type] if gap is None else gap
     events = movements.filter(F.col("event_type") == event_type)
     numbered = session_bins(events, gap).select("household_id", "bin", "session_no")
-    return events.withColumn("bin", time_bin(F.col("timestamp"), gap)).join(numbered, ["household_id", "bin"]).drop("bin")
+    return _same(events.withColumn("bin", time_bin(F.col("timestamp"), gap)), numbered, ["household_id", "bin"]).drop("bin")
 
 
 def session_products(movements: DataFrame, event_type: str, gap: int | None = None) -> DataFrame:
@@ -79,5 +86,5 @@ def session_products(movements: DataFrame, event_type: str, gap: int | None = No
         "household_id", time_bin(F.col("timestamp"), gap).alias("bin"), "product_id"
     ).distinct()
     return (
-        per_bin.join(numbered, ["household_id", "bin"]).select("household_id", "session_no", "product_id").distinct()
+        _same(per_bin, numbered, ["household_id", "bin"]).select("household_id", "session_no", "product_id").distinct()
     )

@@ -25,7 +25,6 @@ from larder.session import scratch_path, spread_scan
 from larder.sources import bindings as B
 from larder.sources import tables as T
 
-MAX_TERMS = 8
 
 # --- text ----------------------------------------------------------------------------------------------------------
 
@@ -76,7 +75,7 @@ def _vocabulary_rows(docs: DataFrame, text: str, weight, k: int) -> DataFrame:
     "tfidf_vocab",
     with_views(
         "inventory",
-        f"WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', MAX_TERMS)} "
+        f"WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', FT.MAX_FEATURES)} "
         "SELECT term, CAST(total AS BIGINT) AS total, round(idf, 6) AS idf FROM vocab",
     ),
 )
@@ -84,7 +83,7 @@ def tfidf_vocab(spark, d):
     names = inventory(spark, d).groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return _vocabulary_rows(names, "name", F.col("n"), MAX_TERMS)
+    return _vocabulary_rows(names, "name", F.col("n"), FT.MAX_FEATURES)
 
 
 @query(
@@ -100,12 +99,12 @@ def tfidf_vocab_documents(spark, d):
     "tfidf_weights",
     with_views(
         "inventory",
-        f"WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', MAX_TERMS)} "
+        f"WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', FT.MAX_FEATURES)} "
         "SELECT k AS name, term, round(weight, 6) AS weight FROM tfidf",
     ),
 )
 def tfidf_weights(spark, d):
-    weights, vocabulary = FT.name_weights(inventory(spark, d), MAX_TERMS)
+    weights, vocabulary = FT.name_weights(inventory(spark, d), FT.MAX_FEATURES)
     return rounded(FT.long_weights(weights, ["name"], "txt", vocabulary), 6, "weight")
 
 
@@ -217,9 +216,7 @@ def standardize(spark, d):
     )
 
 
-N_FEATURES = 4 + MAX_TERMS + 2
-
-MATRIX = f"""WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', MAX_TERMS)}, {IMPUTED}, {ENCODED},
+MATRIX = f"""WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', FT.MAX_FEATURES)}, {IMPUTED}, {ENCODED},
   base AS (SELECT i.*, e.category_encoded, coalesce(i.product_name, '') AS name FROM imputed i JOIN encoded e USING (row_id)),
   raw AS (
     SELECT row_id, 1 AS pos, 'calories_100g' AS name, calories_100g AS x FROM base
@@ -228,8 +225,8 @@ MATRIX = f"""WITH {NAMES}, {_vocab_sql('names', 'name', 'name', 'n', MAX_TERMS)}
     UNION ALL SELECT row_id, 4, 'category_encoded', category_encoded FROM base
     UNION ALL SELECT b.row_id, 4 + v.pos, 'txt_' || v.term, coalesce(t.weight, 0.0e0)
       FROM base b CROSS JOIN vocab v LEFT JOIN tfidf t ON t.k = b.name AND t.term = v.term
-    UNION ALL SELECT row_id, {N_FEATURES - 1}, 'hour_of_day', CAST(hour(timestamp) AS DOUBLE) FROM base
-    UNION ALL SELECT row_id, {N_FEATURES}, 'day_of_week', CAST(isodow(timestamp) - 1 AS DOUBLE) FROM base),
+    UNION ALL SELECT row_id, 5 + (SELECT count(*) FROM vocab), 'hour_of_day', CAST(hour(timestamp) AS DOUBLE) FROM base
+    UNION ALL SELECT row_id, 6 + (SELECT count(*) FROM vocab), 'day_of_week', CAST(isodow(timestamp) - 1 AS DOUBLE) FROM base),
   fm AS (SELECT row_id, pos, r.name, CASE WHEN sd <= 1e-12 THEN 0.0e0 ELSE (x - mean) / sd END AS x
     FROM raw r JOIN (SELECT pos, avg(x) AS mean, stddev_pop(x) AS sd FROM raw GROUP BY 1) USING (pos))"""
 MATRIX_SQL = with_views(
@@ -244,13 +241,13 @@ def _long(matrix: DataFrame) -> DataFrame:
 
 @query("feature_matrix", MATRIX_SQL)
 def feature_matrix(spark, d):
-    return _long(FT.feature_matrix(inventory(spark, d), MAX_TERMS)[0])
+    return _long(FT.feature_matrix(inventory(spark, d), FT.MAX_FEATURES)[0])
 
 
 @query("roundtrip_features", MATRIX_SQL)
 def roundtrip_features(spark, d):
     path = scratch_path(spark, "features")
-    T.write_matrix(FT.feature_matrix(inventory(spark, d), MAX_TERMS)[0], path)
+    T.write_matrix(FT.feature_matrix(inventory(spark, d), FT.MAX_FEATURES)[0], path)
     return _long(T.read_matrix(spark, path))
 
 
@@ -259,7 +256,7 @@ def roundtrip_features(spark, d):
     with_views("inventory", MATRIX + " SELECT DISTINCT CAST(pos AS BIGINT) AS pos, name FROM fm"),
 )
 def feature_names(spark, d):
-    names = FT.feature_matrix(inventory(spark, d), MAX_TERMS)[1]
+    names = FT.feature_matrix(inventory(spark, d), FT.MAX_FEATURES)[1]
     return big(T.feature_names_table(spark, names))
 
 
@@ -273,7 +270,7 @@ def feature_names(spark, d):
     ),
 )
 def scaled_check(spark, d):
-    matrix, names = FT.feature_matrix(inventory(spark, d), MAX_TERMS)
+    matrix, names = FT.feature_matrix(inventory(spark, d), FT.MAX_FEATURES)
     spread = matrix.select(F.posexplode("features").alias("pos", "x"))
     return spread.groupBy((F.col("pos") + 1).cast("bigint").alias("pos")).agg(
         (F.round(F.avg("x"), 6) + 0.0).alias("mean"), (F.round(F.var_pop("x"), 6) + 0.0).alias("variance")
@@ -294,7 +291,7 @@ def matrix_range(spark, d):
 
 
 def reduced(spark: SparkSession, d: str) -> tuple[DataFrame, R.Components, list[str]]:
-    matrix, names = FT.feature_matrix(inventory(spark, d), MAX_TERMS)
+    matrix, names = FT.feature_matrix(inventory(spark, d), FT.MAX_FEATURES)
     return matrix, R.fit_components(matrix), names
 
 
@@ -446,12 +443,12 @@ def silhouette_fast(spark, d):
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, d):
-    return rounded(K.kmeans_sweep(B.blobs(spark, d), restarts=3).results, 6, "silhouette", "metric")
+    return rounded(K.kmeans_sweep(B.blobs(spark, d)).results, 6, "silhouette", "metric")
 
 
 @query("gmm_sweep")
 def gmm_sweep(spark, d):
-    return rounded(K.gmm_sweep(B.blobs(spark, d), grid=range(2, 7)).results, 6, "silhouette", "metric")
+    return rounded(K.gmm_sweep(B.blobs(spark, d)).results, 6, "silhouette", "metric")
 
 
 @query(
@@ -700,18 +697,14 @@ RESULT_COLS = ["paradigm", "trial_no", "params", "silhouette", "metric", "n_clus
 @query("model_selection")
 def model_selection(spark, d):
     """Phase 1 end to end: three sweeps, gates, comparison."""
-    choice = P.choose_model(
-        B.blobs(spark, d), 1, kmeans_grid=(8, 10), dbscan_grid=[(0.6, 10), (0.8, 10), (1.0, 10)], gmm_grid=(3,), restarts=2
-    )
+    choice = P.choose_model(B.blobs(spark, d), 1)
     return rounded(big(choice.comparison.select(*RESULT_COLS)), 6, "silhouette", "metric", "noise_ratio")
 
 
 @query("model_selection_refined")
 def model_selection_refined(spark, d):
     """Phase 2 end to end, down to the rows per label of the winner."""
-    choice = P.choose_model(
-        B.blobs(spark, d), 2, kmeans_grid=(10, 11), dbscan_grid=[(0.9, 10), (1.0, 10)], hdbscan_grid=(10,), restarts=2
-    )
+    choice = P.choose_model(B.blobs(spark, d), 2)
     winner = choice.comparison.filter("winner").first()
     rows = choice.labels.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("n_rows"))
     return big(rows.withColumns({"paradigm": F.lit(winner["paradigm"]), "params": F.lit(winner["params"])}))

@@ -213,13 +213,31 @@ def lookup_default(spark, d):
     return big(p.select("product_id", "department_id", S.shelf_life(F.col("department_id")).alias("shelf_life")))
 
 
+@query(
+    "hour_share",
+    with_views(
+        "movements",
+        """WITH h AS (SELECT row_id, event_type, CAST(hour(timestamp) AS BIGINT) AS hour FROM movements),
+          n AS (SELECT hour, count(*) AS n FROM h WHERE event_type = 'IN' AND hour % 5 <> 0 GROUP BY 1),
+          s AS (SELECT hour, round_even(n / CAST(sum(n) OVER () AS DOUBLE), 4) AS share FROM n)
+          SELECT row_id, h.hour, coalesce(share, 0.05e0) AS share FROM h LEFT JOIN s USING (hour)""",
+    ),
+)
+def hour_share(spark, d):
+    """The share of each movement's hour in a distribution that lists only some hours."""
+    hours = B.movements(spark, d).select("row_id", "event_type", S.hour_of_day(F.col("timestamp")).cast("bigint").alias("hour"))
+    listed = A.frequency_shares(hours.filter("event_type = 'IN' AND hour % 5 <> 0"), "hour")
+    shares = {r["hour"]: r["share"] for r in listed.collect()}  # 24 rows at most
+    return hours.select("row_id", "hour", S.hour_share(F.col("hour"), shares).alias("share"))
+
+
 @query(
     "map_values",
-    """SELECT event_id, CASE event_type WHEN 'click' THEN '#4ECDC4' WHEN 'purchase' THEN '#FF6B6B' END AS color
+    """SELECT event_id, CASE event_type WHEN 'click' THEN 'teal' WHEN 'purchase' THEN 'amber' END AS color
        FROM events""",
 )
 def map_values(spark, d):
-    colors = {"click": "#4ECDC4", "purchase": "#FF6B6B"}
+    colors = {"click": "teal", "purchase": "amber"}
     return B.table(spark, d, "events").select(
         "event_id", S.lookup_constant(F.col("event_type"), colors).alias("color")
     )
@@ -479,6 +497,8 @@ def null_profile(spark, d):
     return rounded(A.null_profile(inventory(spark, d)), 6, "null_share")
 
 
+_TYPE_NAMES = """CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  ELSE lower(column_type) END"""
 _PROFILED = {
     "events": "event_id,ts,user_id,event_type,value,props",
     "orders": "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority",
@@ -490,7 +510,7 @@ _PROFILED = {
     "table_profile",
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST({len(c.split(','))} AS BIGINT) AS n_cols, "
-        f"'{c}' AS columns FROM {t}"
+        f"'{c}' AS columns, (SELECT string_agg({_TYPE_NAMES}, ',') FROM (DESCRIBE {t})) AS types FROM {t}"
         for t, c in _PROFILED.items()
     ),
 )
@@ -560,7 +580,6 @@ def expiry_writeoff(spark, d):
         "movements",
         f"""WITH w AS ({WRITEOFFS}),
           u AS (SELECT household_id, stock_id, event_type, classification, quantity, day FROM movements
-            WHERE classification IN ('Purchase', 'Consumption', 'Waste')
             UNION ALL SELECT household_id, stock_id, 'OUT', 'Forced_Waste', quantity, CAST(timestamp AS DATE) FROM w)
           SELECT event_type, classification, day, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity
           FROM u GROUP BY 1, 2, 3""",
@@ -755,10 +774,10 @@ def _pagerank_sql(iterations: int) -> str:
     )
 
 
-@query("pagerank", _pagerank_sql(10))
+@query("pagerank", _pagerank_sql(20))
 def pagerank(spark, d):
     edges = C.proximity_pairs(B.movements(spark, d), RESTOCK)
-    return rounded(G.pagerank(edges, iterations=10), 6, "rank")
+    return rounded(G.pagerank(edges), 6, "rank")
 
 
 # --- checks --------------------------------------------------------------------------------------------------------

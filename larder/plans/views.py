@@ -40,7 +40,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
         ["products", "catalog", "raw_movements"],
         f"""SELECT row_id, event_id, household_id, household_id || '-' || product_id AS stock_id, product_id,
               product_name, event_type, quantity, timestamp, day, expiry_date,
-              CASE WHEN event_type = 'IN' THEN 'Purchase' WHEN day > expiry_date + 2 THEN 'Forced_Waste'
+              CASE WHEN event_type = 'IN' THEN 'Purchase' 
                    WHEN day > expiry_date THEN 'Waste' ELSE 'Consumption' END AS classification
             FROM (SELECT m.*, p.product_name,
                     CASE WHEN event_type = 'IN' THEN day + CAST({SHELF.format('c.category')} AS INTEGER)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names and types of the tables' columns, and the keys of the patterns document.
 MOVEMENTS = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -21,18 +22,6 @@ MOVEMENTS = T.StructType(
     ]
 )
 
-CATALOG = T.StructType(
-    [
-        T.StructField("proteins_100g", T.DoubleType()),
-        T.StructField("carbs_100g", T.DoubleType()),
-        T.StructField("calories_100g", T.DoubleType()),
-        T.StructField("product_id", T.LongType()),
-        T.StructField("product_name", T.StringType()),
-        T.StructField("category", T.IntegerType()),
-        T.StructField("nutriscore", T.StringType()),
-    ]
-)
-
 PATTERNS = T.StructType(
     [
         T.StructField("distribucion_horas", T.MapType(T.StringType(), T.DoubleType())),
@@ -51,21 +40,6 @@ PATTERNS = T.StructType(
     ]
 )
 
-NUTRITION_REF = T.StructType(
-    [
-        T.StructField("name_key", T.StringType()),
-        T.StructField("rank", T.IntegerType()),
-        T.StructField(
-            "nutrients",
-            T.ArrayType(
-                T.StructType(
-                    [T.StructField("nutrientId", T.IntegerType()), T.StructField("value", T.DoubleType())]
-                )
-            ),
-        ),
-    ]
-)
-
 CATALOG_SUBSET = ["product_id", "nutriscore", "calories_100g", "proteins_100g", "carbs_100g", "category"]
 NUTRIENTS = ["calories_100g", "proteins_100g", "carbs_100g"]
 

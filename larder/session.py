@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -28,12 +27,15 @@ def build_session(app_name: str = "larder", master: str | None = None, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; a local one only where it is unset (tests)."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Where it is unset, a local master uses the warehouse folder, and
+    a cluster is refused: its executors would each write to a disk of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="larder-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -49,7 +51,16 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop_cut(*tables: DataFrame) -> None:
+    """Remove what ``cut`` wrote, once nothing reads it any more: a round of an iteration whose successor is written."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def keep(df: DataFrame) -> DataFrame:
