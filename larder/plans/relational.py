@@ -554,15 +554,26 @@ def lot_ledger_split(spark, d):
     return big(L.lot_ledger(B.movements(spark, d), hot_rows=0).select("row_id", "household_id", "stock_id", "balance"))
 
 
-WRITEOFFS = """SELECT household_id, stock_id, product_id, product_name, quantity, day_due + INTERVAL '23 hours 59 minutes 59 seconds' AS timestamp,
-    expiry_date FROM (
-  SELECT m.household_id, m.stock_id, max(m.product_id) AS product_id, max(m.product_name) AS product_name, e.expiry_date, e.expiry_date + 3 AS day_due,
-    CAST(coalesce(sum(CASE WHEN event_type = 'IN' THEN quantity ELSE -quantity END)
-      FILTER (WHERE m.day <= e.expiry_date + 3), 0) AS BIGINT) AS quantity
-  FROM movements m JOIN (SELECT household_id, stock_id, max(expiry_date) AS expiry_date FROM movements
-    WHERE event_type = 'IN' GROUP BY 1, 2) e ON e.household_id = m.household_id AND e.stock_id = m.stock_id
-  GROUP BY m.household_id, m.stock_id, e.expiry_date)
-  WHERE quantity > 0 AND day_due <= (SELECT max(day) FROM movements)"""
+# The state of each lot, day by day: latest expiry and balance, and what is written off between two days or after the last one.
+LOT_STATES = """lot_days AS (SELECT *, row_number() OVER (PARTITION BY household_id, stock_id ORDER BY day) AS rn FROM (
+    SELECT household_id, stock_id, day, CAST(sum(CASE WHEN event_type = 'IN' THEN quantity ELSE -quantity END) AS BIGINT) AS net,
+      max(expiry_date) FILTER (WHERE event_type = 'IN') AS expiry, max(product_id) AS product_id, max(product_name) AS product_name
+    FROM movements GROUP BY 1, 2, 3)),
+  states AS (SELECT household_id, stock_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS DATE) AS day, CAST(NULL AS DATE) AS expiry, CAST(0 AS BIGINT) AS balance,
+      CAST(NULL AS DATE) AS gone_expiry, CAST(0 AS BIGINT) AS gone FROM lot_days WHERE rn = 1
+    UNION ALL SELECT d.household_id, d.stock_id, d.rn, d.day,
+      CASE WHEN s.expiry + 3 < d.day THEN d.expiry ELSE greatest(s.expiry, d.expiry) END,
+      CASE WHEN s.expiry + 3 < d.day THEN least(s.balance, 0) ELSE s.balance END + d.net,
+      s.expiry, CASE WHEN s.expiry + 3 < d.day THEN greatest(s.balance, 0) ELSE 0 END
+    FROM states s JOIN lot_days d ON d.household_id = s.household_id AND d.stock_id = s.stock_id AND d.rn = s.rn + 1),
+  last_states AS (SELECT *, expiry + 3 <= (SELECT max(day) FROM movements) AND balance > 0 AS ends FROM states
+    QUALIFY row_number() OVER (PARTITION BY household_id, stock_id ORDER BY rn DESC) = 1),
+  gone_rows AS (SELECT household_id, stock_id, gone_expiry AS expiry_date, gone AS quantity, rn - 1 AS upto FROM states WHERE gone > 0
+    UNION ALL SELECT household_id, stock_id, expiry, balance, rn FROM last_states WHERE ends),
+  w AS (SELECT household_id, stock_id, product_id, product_name, quantity, expiry_date + 3 + INTERVAL '23 hours 59 minutes 59 seconds' AS timestamp,
+      expiry_date, expiry_date + 3 AS due FROM gone_rows JOIN (SELECT DISTINCT household_id, stock_id, product_id, product_name FROM lot_days)
+      USING (household_id, stock_id))"""
+WRITEOFFS = f"""WITH RECURSIVE {LOT_STATES} SELECT household_id, stock_id, product_id, product_name, quantity, timestamp, expiry_date FROM w"""
 
 
 @query("expiry_writeoff", with_views("movements", WRITEOFFS))
@@ -578,7 +589,7 @@ def expiry_writeoff(spark, d):
     "movements_union",
     with_views(
         "movements",
-        f"""WITH w AS ({WRITEOFFS}),
+        f"""WITH RECURSIVE {LOT_STATES},
           u AS (SELECT household_id, stock_id, event_type, classification, quantity, day FROM movements
             UNION ALL SELECT household_id, stock_id, 'OUT', 'Forced_Waste', quantity, CAST(timestamp AS DATE) FROM w)
           SELECT event_type, classification, day, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity
@@ -601,15 +612,11 @@ def movements_union(spark, d):
     "open_lots",
     with_views(
         "movements",
-        f"""WITH w AS ({WRITEOFFS})
-          SELECT household_id, stock_id, balance, lot_expiry FROM (
-            SELECT household_id, stock_id,
-              CAST(sum(CASE WHEN event_type = 'IN' THEN quantity ELSE -quantity END) AS BIGINT) AS balance,
-              max(expiry_date) FILTER (WHERE event_type = 'IN') AS lot_expiry,
-              count(*) FILTER (WHERE event_type = 'IN') AS n_in
-            FROM movements GROUP BY 1, 2) b
-          WHERE n_in > 0 AND balance > 0
-            AND NOT EXISTS (SELECT 1 FROM w WHERE w.household_id = b.household_id AND w.stock_id = b.stock_id)""",
+        f"""WITH RECURSIVE {LOT_STATES}
+          SELECT household_id, stock_id, balance, lot_expiry FROM last_states JOIN (
+            SELECT household_id, stock_id, max(expiry_date) AS lot_expiry FROM movements WHERE event_type = 'IN' GROUP BY 1, 2)
+            USING (household_id, stock_id)
+          WHERE balance > 0 AND NOT coalesce(ends, false)""",
     ),
 )
 def open_lots(spark, d):

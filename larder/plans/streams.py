@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from larder.operators import ledger as L
 from larder.plans.registry import query
-from larder.plans.relational import _numbered, big
+from larder.plans.relational import LOT_STATES, _numbered, big
 from larder.plans.views import with_views
 from larder.sources import bindings as B
 from larder.streaming.ledger import STATE_STORE, ledger_stream
@@ -15,17 +18,32 @@ from larder.streaming.sessions import session_stream
     "stream_sessions",
     with_views(
         "movements",
-        f"""WITH {_numbered('OUT', 900)},
-          closed AS (SELECT household_id, min(timestamp) AS session_start, max(timestamp) AS session_end,
-            count(*) AS n_events, CAST(sum(quantity) AS BIGINT) AS quantity FROM numbered GROUP BY household_id, session_no)
-          SELECT * FROM closed WHERE session_end + INTERVAL '900 seconds' <=
-            (SELECT date_trunc('millisecond', max(timestamp)) - INTERVAL '1 day' FROM numbered)""",
+        f"""WITH {_numbered('OUT', 900)}
+          SELECT household_id, min(timestamp) AS session_start, max(timestamp) AS session_end,
+            count(*) AS n_events, CAST(sum(quantity) AS BIGINT) AS quantity FROM numbered GROUP BY household_id, session_no""",
     ),
 )
 def stream_sessions(spark, d):
-    return big(drain(session_stream(B.movement_stream(spark, d), "OUT"), "sessions"))
+    return big(B.without_closing(drain(session_stream(B.movement_stream(spark, d), "OUT"), "sessions")))
+
+
+LEDGER_ROWS = with_views(
+    "movements",
+    f"""WITH RECURSIVE {LOT_STATES}
+      SELECT household_id, stock_id, 'balance' AS kind, day, balance AS quantity FROM states WHERE rn > 0
+      UNION ALL SELECT household_id, stock_id, 'write_off', due, quantity FROM w""",
+)
 
 
-@query("stream_ledger")
+@query("stream_ledger", LEDGER_ROWS)
 def stream_ledger(spark, d):
-    return big(drain(ledger_stream(B.movement_stream(spark, d)), "ledger", STATE_STORE))
+    """Balances, and the write-offs up to the last day of the log."""
+    last = B.movements(spark, d).agg(F.max(F.to_date("timestamp"))).scalar()
+    rows = B.without_closing(drain(ledger_stream(B.movement_stream(spark, d)), "ledger", STATE_STORE))
+    return big(rows.filter((F.col("kind") == "balance") | (F.col("day") <= last)))
+
+
+@query("daily_ledger", LEDGER_ROWS)
+def daily_ledger(spark, d):
+    """The same rows from the table."""
+    return big(L.daily_ledger(B.movements(spark, d)))

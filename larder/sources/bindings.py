@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import scalars as S
+from larder.session import scratch_path
 from larder.sources.tables import read_parquet
 
 # Brands without a catalog entry, and without a hit in the nutrition search.
@@ -51,11 +52,30 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movements_from(table(spark, sf_dir, "events"), spark, sf_dir)
 
 
+# The household of the row that closes a replay.
+CLOSING = -1
+
+
 def movement_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same log as a stream of event files."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return movements_from(events, spark, sf_dir)
+    """The same log as a stream that replays a landed copy of it to its end.
+
+    One more movement, of the household ``CLOSING`` and years after the last one, moves the watermark behind every open session and write-off
+    day, so that what is still open comes out; ``without_closing`` removes what it leaves itself.
+    """
+    log = movements(spark, sf_dir)
+    closing = log.agg(F.max("timestamp").alias("timestamp")).select(
+        F.lit(-1).cast("bigint").alias("row_id"), F.lit(CLOSING).alias("household_id"), F.lit("closing").alias("stock_id"), F.lit("OUT").alias("event_type"),
+        F.lit(0).alias("quantity"), (F.col("timestamp") + F.expr("INTERVAL 1000 DAYS")).alias("timestamp"),
+    )
+    # Sessions of either type are closed by a row of their own type.
+    both = closing.unionByName(closing.withColumn("event_type", F.lit("IN")))
+    landed = scratch_path(spark, "landing")
+    log.unionByName(both, allowMissingColumns=True).write.parquet(landed)
+    return spark.readStream.schema(log.schema).parquet(landed)
+
+
+def without_closing(replayed: DataFrame) -> DataFrame:
+    return replayed.filter(F.col("household_id") != CLOSING)
 
 
 def movements_from(raw: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from larder.functions import scalars as S
 from larder.operators import components
 from larder.operators import evaluation as E
 from larder.operators import joins as J
+from larder.operators import ledger as L
 from larder.operators import reduction as R
 from larder.operators import sessions as SE
 from larder.plans import pipeline as P
@@ -97,3 +98,21 @@ def test_projection_leaves_the_model_as_it_was(spark):
     before = parts.model.getOutputCol()
     R.project(rows, parts, 1).count()
     assert parts.model.getOutputCol() == before
+
+
+def test_a_restocked_lot_is_written_off_once_per_term(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    rows = [
+        movement(1, "IN", 5, TS(2024, 1, 1, 9), day(3)),
+        movement(2, "OUT", 1, TS(2024, 1, 6, 9)),  # on the write-off day: still counts
+        movement(3, "IN", 2, TS(2024, 1, 10, 9), day(12)),
+        movement(4, "IN", 1, TS(2024, 1, 14, 9), day(20)),  # in time: the term goes on
+        movement(5, "OUT", 4, TS(2024, 1, 25, 9)),
+        movement(6, "IN", 6, TS(2024, 1, 26, 9), day(30)),
+    ]
+    m = log(spark, rows)
+    got = sorted((r.timestamp.day, r.quantity, r.expiry_date.day) for r in L.expiry_writeoffs(m).collect())
+    assert got == [(6, 4, 3), (23, 3, 20)]
+    assert [(r.stock_id, r.balance) for r in L.open_lots(m).collect()] == [("s", 2)]
+    daily = sorted((r.day.day, r.kind, r.quantity) for r in L.daily_ledger(m).collect())
+    assert daily == [(1, "balance", 5), (6, "balance", 4), (6, "write_off", 4), (10, "balance", 2), (14, "balance", 3), (23, "write_off", 3), (25, "balance", -4), (26, "balance", 2)]
