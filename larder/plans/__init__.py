@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["relational", "modeling", "streams"]
+MODULES = ["relational", "modeling", "streams", "checked"]
 
 
 def load_queries() -> None:

@@ -95,9 +95,28 @@ def _patterns_document(spark: SparkSession, d: str) -> DataFrame:
     return hour_map.select("distribucion_horas", top.scalar().alias("top_50_productos"))
 
 
-@query("patterns_document")
+TOP_ITEMS = "SELECT l_partkey FROM lineitem GROUP BY l_partkey ORDER BY count(*) DESC, l_partkey LIMIT 50"
+
+
+@query(
+    "patterns_document",
+    with_views(
+        "products",
+        f"""SELECT 'hour' AS section, CAST(hour(ts) AS VARCHAR) AS key, NULL AS label,
+             round_even(count(*) / CAST((SELECT count(*) FROM events) AS DOUBLE), 4) AS number FROM events GROUP BY 2
+           UNION ALL SELECT 'product', CAST(product_id AS VARCHAR), product_name, CAST(department_id AS DOUBLE) FROM products
+           WHERE product_id IN ({TOP_ITEMS})""",
+    ),
+)
 def patterns_document(spark, d):
-    return _patterns_document(spark, d).select(F.to_json(F.struct("*")).alias("document"))
+    """The document as JSON text, parsed again into its entries."""
+    text = _patterns_document(spark, d).select(F.to_json(F.struct("*")).alias("document"))
+    doc = text.select(F.from_json("document", schemas.PATTERNS).alias("doc")).select("doc.*")
+    hours = doc.select(F.explode("distribucion_horas").alias("key", "number")).select(F.lit("hour").alias("section"), "key", F.lit(None).cast("string").alias("label"), "number")
+    products = doc.select(F.inline("top_50_productos")).select(
+        F.lit("product").alias("section"), F.col("product_id").cast("string").alias("key"), F.col("product_name").alias("label"), F.col("department_id").cast("double").alias("number")
+    )
+    return hours.unionByName(products)
 
 
 def _patterns_round_trip(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -117,8 +136,6 @@ def patterns_hours(spark, d):
     return _patterns_round_trip(spark, d)[0]
 
 
-TOP_ITEMS = "SELECT l_partkey FROM lineitem GROUP BY l_partkey ORDER BY count(*) DESC, l_partkey LIMIT 50"
-
 
 @query(
     "patterns_products",
