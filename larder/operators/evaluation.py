@@ -18,6 +18,8 @@ MIN_REFINED_KMEANS = 0.50
 NO_MODEL = -1.0
 # Distances that model choice can score with; the gates above are meant for the first.
 EUCLIDEAN, SQUARED = "euclidean", "squared"
+# Blocks of one group in a task, which bounds its memory.
+GROUP_BLOCKS = 32
 
 
 def _pack_labelled():
@@ -37,32 +39,52 @@ def _pack_labelled():
     return pack
 
 
-def _distance_sums(width: int, trials: int):
-    def one_side(ids, labels, dist, other_labels, other_weights):
-        for t in range(trials):
-            clusters, pos = np.unique(other_labels[:, t], return_inverse=True)
-            member = np.zeros((len(pos), len(clusters)))
-            member[np.arange(len(pos)), pos] = other_weights
-            sums = dist @ member
-            yield pd.DataFrame(
-                {
-                    "pid": np.repeat(ids, len(clusters)),
-                    "trial": np.int32(t),
-                    "own": np.repeat(labels[:, t], len(clusters)),
-                    "cluster": np.tile(clusters, len(ids)),
-                    "total": sums.ravel(),
-                }
-            )
-
-    def compare(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                xa, xb = floats(r.coords_a, width), floats(r.coords_b, width)
-                la, lb = ints(r.labels_a, trials), ints(r.labels_b, trials)
-                dist = np.sqrt(squared_distances(xa, xb))
-                yield from one_side(ints(r.ids_a), la, dist, lb, floats(r.weights_b))
-                if r.a != r.b:
-                    yield from one_side(ints(r.ids_b), lb, dist.T, la, floats(r.weights_a))
+def _group_sums(width: int, trials: int):
+    """Distance sums by cluster for every point of two groups of blocks, against the other group; a group meets itself once."""
+
+    def onto(clusters, labels, weights):
+        """Weights of the points in each (trial, cluster) column."""
+        out = []
+        for t, known in enumerate(clusters):
+            member = np.zeros((len(labels), len(known)))
+            member[np.arange(len(labels)), np.searchsorted(known, labels[:, t])] = weights
+            out.append(member)
+        return np.concatenate(out, axis=1)
+
+    def compare(key, pdf):
+        sides = {int(g): part for g, part in pdf.groupby("own_group")}
+        unpacked = {
+            g: [(ints(r.ids), floats(r.coords, width), ints(r.labels, trials), floats(r.weights)) for r in part.itertuples(index=False)]
+            for g, part in sides.items()
+        }
+        found = []
+        for own, blocks in unpacked.items():
+            others = [x for g, part in unpacked.items() if g != own or key[0] == key[1] for x in part]
+            if not others:
+                continue
+            clusters = [np.unique(np.concatenate([labels[:, t] for _, _, labels, _ in others])) for t in range(trials)]
+            members = [onto(clusters, labels, weights) for _, _, labels, weights in others]
+            for ids, x, labels, _ in blocks:
+                sums = np.zeros((len(ids), sum(map(len, clusters))))
+                for (_, y, _, _), member in zip(others, members):
+                    sums += np.sqrt(squared_distances(x, y)) @ member
+                at = 0
+                for t, known in enumerate(clusters):
+                    part = sums[:, at : at + len(known)]
+                    at += len(known)
+                    found.append(
+                        pd.DataFrame(
+                            {
+                                "pid": np.repeat(ids, len(known)),
+                                "trial": np.int32(t),
+                                "own": np.repeat(labels[:, t], len(known)),
+                                "cluster": np.tile(known, len(ids)),
+                                "total": part.ravel(),
+                            }
+                        )
+                    )
+        empty = pd.DataFrame({"pid": [], "trial": [], "own": [], "cluster": [], "total": []})
+        return pd.concat(found) if found else empty
 
     return compare
 
@@ -72,8 +94,9 @@ def silhouette_exact(
 ) -> DataFrame:
     """Mean silhouette with Euclidean distance of every labelling in the ``labels`` array, in one distance pass.
 
-    All distances are needed, so the work is quadratic in the rows; what moves is linear in rows x clusters x blocks.
-    Points are hashed into blocks of bounded size and each pair of blocks gives per-point distance sums by cluster.
+    All distances are needed, so the work is quadratic in the rows. Points are hashed into blocks of bounded size and blocks into
+    groups; a task takes a pair of groups and adds up its distances by point and cluster. What moves is each point once per group, and
+    a row per point, cluster and group.
     Copies of a labelled point count by weight. Label -1 is a cluster like any other unless ``exclude_noise``.
     """
     spark = df.sparkSession
@@ -98,16 +121,16 @@ def silhouette_exact(
             "block long, ids binary, weights binary, coords binary, labels binary",
         )
     )
-    cols = ["ids", "weights", "coords", "labels"]
-    left = blocks.select(
-        F.col("block").alias("a"),
-        F.explode(F.sequence("block", F.lit(n_blocks - 1))).alias("b"),
-        *[F.col(c).alias(f"{c}_a") for c in cols],
-    )
-    right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    pairs = left.join(right, "b").repartition(tasks_for(spark, n_blocks * (n_blocks + 1) // 2), "a", "b")
+    # Enough pairs of groups to keep all tasks busy, and no more than GROUP_BLOCKS blocks of a group in a task.
+    n_groups = min(n_blocks, max(int(np.ceil(np.sqrt(2.0 * parallelism(spark)))), -(-n_blocks // GROUP_BLOCKS)))
+    own = F.pmod(F.col("block"), F.lit(n_groups))
+    met = F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))
+    listed = blocks.select(own.cast("int").alias("own_group"), met.alias("other"), "ids", "weights", "coords", "labels")
+    pairs = listed.withColumn("a", F.least("own_group", "other")).withColumn("b", F.greatest("own_group", "other"))
+    pairs = pairs.repartition(tasks_for(spark, n_groups * (n_groups + 1) // 2), "a", "b")
     sums = (
-        pairs.mapInPandas(_distance_sums(width, trials), "pid long, trial int, own long, cluster long, total double")
+        pairs.groupBy("a", "b")
+        .applyInPandas(_group_sums(width, trials), "pid long, trial int, own long, cluster long, total double")
         .groupBy("pid", "trial", "own", "cluster")
         .agg(F.sum("total").alias("total"))
     )
