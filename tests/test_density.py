@@ -56,6 +56,17 @@ def test_hdbscan_equals_brute_force(spark, copies, block_rows, mcs):
     assert (got == brute.hdbscan(x, mcs)).all()
 
 
+def test_hdbscan_tree_does_not_depend_on_the_bands(spark):
+    """A tree over many leaves, put together in one band and in many."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 0.05 + 0.02 * k, (14, 2)) for k, c in enumerate(rng.uniform(-6, 6, (9, 2)))])
+    want = brute.hdbscan(x, 5)
+    assert want.max() >= 3
+    for band in (100_000, 7):
+        assert (labels_of(H.hdbscan(frame(spark, x), 5, band_events=band), len(x)) == want).all()
+
+
+
 def test_core_distances(spark):
     x = groups(n=150, seed=5, copies=30)
     points = BL.distinct_points(frame(spark, x))
