@@ -16,7 +16,7 @@ GRACE_DAYS = 2
 SCORE_UPPER_BOUNDS = [("A", 50.0), ("B", 150.0), ("C", 300.0)]
 LAST_SCORE = "D"
 
-# English function words left out of the text features.
+# English words left out of the text features.
 STOP_WORDS = (
     "a about above after again against all also am an and another any are around as at be because been before being "
     "below between both but by can cannot could did do does doing done down due during each either else enough etc "
@@ -26,7 +26,10 @@ STOP_WORDS = (
     "own per please put rather same see seem she should since so some still such than that the their theirs them "
     "themselves then there these they this those though through thus to together too toward two under until up upon "
     "us very was we well were what when where which while who whole whom whose why will with within without would yet "
-    "you your yours yourself"
+    "you your yours yourself "
+    "bill bottom call cry describe detail eleven empty fifteen fifty fill find fire five forty found four front full give "
+    "hundred interest keep mill move name nine part show side sincere six sixty system ten thick thin third three top "
+    "twelve twenty"
 ).split()
 
 # Maximal runs of at least two letters, digits or underscores.
