@@ -17,8 +17,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on those still there, scores below its threshold go."""
-    return classifier.kept_documents(docs, table(spark, sf_dir, "labels"))
+    """Documents that the classifier scores below its threshold go. It learns from the whole documents table: the rules before it leave hardly
+    any example of label 0."""
+    return classifier.kept_documents(docs, table(spark, sf_dir, "labels"), training=table(spark, sf_dir, "documents"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,7 +107,10 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return score(documents, fit(documents, labels))
 
 
-def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents`` that score at least ``threshold``, with all their columns."""
-    weights = fit(documents, labels)
+def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, training: DataFrame | None = None) -> DataFrame:
+    """The rows of ``documents`` that score at least ``threshold``, with all their columns.
+
+    The fit uses ``training``, or ``documents`` themselves without it. Rows that an earlier rule has filtered hold few examples of label 0.
+    """
+    weights = fit(documents if training is None else training, labels)
     return filtered(documents, lambda text: probability(text, weights) >= threshold)

@@ -52,7 +52,7 @@ def test_stages_equal_brute_force(spark, folder, tmp_path):
             assert Counter(found) == Counter(want)
             assert {r.doc_id for r in found} <= set(range(good))
         elif name == "quality_classifier":
-            weights = classifier.fit(docs, labels)
+            weights = classifier.fit(spark.read.parquet(f"{d}/documents.parquet"), labels)
             assert Counter(found) == Counter(r for r in before if classifier.probability((r.text or "").encode(), weights) >= 0.7)
             assert len(found) >= 0.95 * len(before)
         elif name == "simhash_dedup":
@@ -81,9 +81,20 @@ def test_stages_equal_brute_force(spark, folder, tmp_path):
     assert sum(r.length for r in whole.collect()) == sum(r.length for r in kept["mixture_packing"])
 
 
+def test_classifier_stage_rejects_without_examples_of_label_0_in_its_input(spark, folder):
+    d, good = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet").filter("n_chars > 60")
+    # Clean documents and junk without a label: among these rows there is no example of label 0.
+    left = docs.filter((docs.doc_id < good) | (docs.doc_id % 3 == 0))
+    found = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, left, d).collect()}
+    clean, junk = ({r.doc_id for r in left.collect() if (r.doc_id < good) is side} for side in (True, False))
+    assert len(junk) > 10 and len(found & clean) >= 0.95 * len(clean) and len(found & junk) <= 0.1 * len(junk)
+
+
 def test_stages_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.createDataFrame([], DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, str(tmp_path))
         assert out.count() == 0
