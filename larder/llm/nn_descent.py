@@ -16,17 +16,21 @@ from larder.operators.components import connected_components
 from larder.session import cut
 
 THRESHOLD = 0.93
-#: Neighbours in a list before it is enlarged, and the cosine below which an edge is no use for finding links.
-LIST, FLOOR = 16, 0.6
+#: Neighbours in a list before it is enlarged.
+LIST = 16
 #: Hash tables that the first graph comes from, rows in one of their blocks, reverse neighbours in one group.
 TABLES, BLOCK, REVERSE = 6, 256, 64
 #: Rows in a tile of saturated vectors.
 TILE = 1024
 ROUNDS, MIN_CHANGE = 6, 0.001
-#: Vectors whose links are counted by brute force to measure recall, the recall asked for, and how often tables and lists are doubled for it.
+#: Vectors with links, counted by brute force, that recall is measured on, the recall asked for, and how often tables and lists are doubled for it.
 AUDIT, RECALL, ATTEMPTS = 256, 0.99, 3
+#: Vectors that one pass of the audit compares with all others.
+DRAW = 4096
+#: What stands for the worst cosine of a list that is not full: less than any cosine, more than that of a vector with itself in ``_best``.
+OPEN = -1.5
 
-_LIST = "array<struct<sim:double,other:long>>"
+_EDGE = "node long, other long, sim double"
 
 
 def _unit(rows: list[bytes], width: str) -> np.ndarray:
@@ -71,29 +75,28 @@ def _rows(out: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names)
 
 
-_LIST_TYPE = pa.list_(pa.struct([("sim", pa.float64()), ("other", pa.int64())]))
-
-
-def _best(sims: np.ndarray, nodes: np.ndarray, k: int, floor: float) -> list[tuple]:
-    """For each row of a block its ``k`` most similar others above ``floor``."""
+def _best(sims: np.ndarray, nodes: np.ndarray, k: int, worst: np.ndarray) -> pa.RecordBatch:
+    """(node, other, sim): for each row of a block its ``k`` most similar others, without those below ``worst`` of the row."""
     np.fill_diagonal(sims, -2.0)
     if sims.shape[1] > k:
         top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     else:
         top = np.broadcast_to(np.arange(sims.shape[1]), sims.shape)
     values = np.take_along_axis(sims, top, axis=1)
-    out = []
-    for row in np.flatnonzero((values >= floor).any(axis=1)):
-        good = values[row] >= floor
-        out.append((int(nodes[row]), [{"sim": s, "other": o} for s, o in zip(values[row][good].tolist(), nodes[top[row][good]].tolist(), strict=True)]))
-    return out
+    row, at = np.nonzero(values >= worst[:, None])
+    columns = [pa.array(nodes[row], pa.int64()), pa.array(nodes[top[row, at]], pa.int64()), pa.array(values[row, at], pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, ["node", "other", "sim"])
+
 
+def _flat(graph: DataFrame) -> DataFrame:
+    return graph.select("node", F.explode("near").alias("e")).select("node", F.col("e.other").alias("other"), F.col("e.sim").alias("sim"))
 
-def _merged(lists: DataFrame, k: int) -> DataFrame:
-    """(node, near): the ``k`` best of all lists of a node, most similar first, ties by the smaller other."""
+
+def _merged(edges: DataFrame, k: int) -> DataFrame:
+    """(node, near): the ``k`` best of all edges (node, other, sim) of a node, most similar first, ties by the smaller other."""
     order = lambda a, b: F.when(a.sim > b.sim, -1).when(a.sim < b.sim, 1).when(a.other < b.other, -1).when(a.other > b.other, 1).otherwise(0)
     # Two products of the same vectors may differ in their last digits; the others are made distinct by name.
-    best = lists.select("node", F.explode("near").alias("e")).groupBy("node", F.col("e.other").alias("other")).agg(F.max("e.sim").alias("sim"))
+    best = edges.groupBy("node", "other").agg(F.max("sim").alias("sim"))
     return best.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(F.struct("sim", "other")), order), 1, k).alias("near"))
 
 
@@ -151,20 +154,21 @@ def _blocks(nodes: DataFrame, width: str, tables: list[int], block: int) -> Data
     return coded.join(counts, ["table", "cell", "code"]).select("table", "cell", "code", F.pmod(F.xxhash64("node", "table"), parts).alias("part"), "node", "vec")
 
 
-def _first_graph(nodes: DataFrame, width: str, tables: list[int], k: int, floor: float) -> DataFrame:
+def _first_graph(nodes: DataFrame, width: str, tables: list[int], k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, 4):
             x, names = _unit(g["vec"], width), np.array(g["node"], np.int64)
-            yield _rows(_best(x @ x.T, names, k, floor), [pa.int64(), _LIST_TYPE], ["node", "near"])
+            yield _best(x @ x.T, names, k, np.full(len(names), OPEN))
 
     keys = ["table", "cell", "code", "part"]
     blocks = _blocks(nodes, width, tables, BLOCK).repartition(*keys).sortWithinPartitions(*keys)
-    return blocks.mapInArrow(run, f"node long, near {_LIST}")
+    return blocks.mapInArrow(run, _EDGE)
 
 
-def _descend(graph: DataFrame, nodes: DataFrame, width: str, k: int, floor: float) -> DataFrame:
-    """Lists of candidates from one round: all that are neighbours of one node, in either direction, are compared with each other."""
-    edges = graph.select("node", F.explode("near").alias("e")).select("node", F.col("e.other").alias("other"))
+def _descend(graph: DataFrame, nodes: DataFrame, width: str, k: int) -> DataFrame:
+    """Candidates (node, other, sim) from one round: all that are neighbours of one node, in either direction, are compared with each
+    other. What is less similar than all of a full list is left out, as merging would drop it."""
+    edges = _flat(graph).select("node", "other")
     back = edges.select(F.col("other").alias("pivot"), F.col("node").alias("member"))
     counts = cut(back.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")))
     parts = F.ceil(F.col("n") / float(REVERSE)).cast("int")
@@ -174,31 +178,32 @@ def _descend(graph: DataFrame, nodes: DataFrame, width: str, k: int, floor: floa
         F.col("node").alias("pivot"), F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1)).alias("part"), F.col("other").alias("member")
     )
     members = spread.union(own).distinct()
-    placed = members.join(nodes.select(F.col("node").alias("member"), "vec"), "member").select("pivot", "part", "member", "vec")
+    worst = graph.select("node", F.when(F.size("near") >= k, F.element_at("near", -1).sim).otherwise(OPEN).alias("worst"))
+    known = cut(nodes.select("node", "vec").join(worst, "node", "left").select(F.col("node").alias("member"), F.coalesce("worst", F.lit(OPEN)).alias("worst"), "vec"))
+    placed = members.join(known, "member").select("pivot", "part", "member", "worst", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        out: list[pa.RecordBatch] = []
         for g in _groups(batches, 2):
             if len(g["vec"]) > 1:
                 x = _unit(g["vec"], width)
-                out += _best(x @ x.T, np.array(g["member"], np.int64), k, floor)
-            if len(out) > 5000:
-                yield _rows(out, [pa.int64(), _LIST_TYPE], ["node", "near"])
+                out.append(_best(x @ x.T, np.array(g["member"], np.int64), k, np.array(g["worst"])))
+            if len(out) > 500:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
                 out = []
-        yield _rows(out, [pa.int64(), _LIST_TYPE], ["node", "near"])
+        yield from out
 
-    return placed.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "member").mapInArrow(run, f"node long, near {_LIST}")
+    return placed.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "member").mapInArrow(run, _EDGE)
 
 
-def neighbour_graph(nodes: DataFrame, width: str, tables: list[int], k: int, floor: float, start: DataFrame | None = None) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, width: str, tables: list[int], k: int, start: DataFrame | None = None) -> DataFrame:
     """(node, near) after as many rounds as change more than MIN_CHANGE of the lists' entries."""
-    first = _first_graph(nodes, width, tables, k, floor)
-    graph = cut(_merged(first if start is None else first.unionByName(start), k))
+    first = _first_graph(nodes, width, tables, k)
+    graph = cut(_merged(first if start is None else first.unionByName(_flat(start)), k))
     for _ in range(ROUNDS):
-        grown = cut(_merged(_descend(graph, nodes, width, k, floor).unionByName(graph), k))
-        flat = lambda g: g.select("node", F.explode("near").alias("e")).select("node", F.col("e.other").alias("other"))
-        size = flat(grown).count()
-        new = flat(grown).join(flat(graph), ["node", "other"], "left_anti").count()
+        grown = cut(_merged(_descend(graph, nodes, width, k).unionByName(_flat(graph)), k))
+        size = _flat(grown).count()
+        new = _flat(grown).join(_flat(graph), ["node", "other"], "left_anti").count()
         graph = grown
         if new <= MIN_CHANGE * size:
             break
@@ -292,8 +297,8 @@ def _saturated_links(saturated: DataFrame, pairs: DataFrame, width: str, thresho
         tried, found = cut(tried.union(todo)), cut(found.unionByName(_tile_links(tiles, todo, width, threshold)))
 
 
-def _links(graph: DataFrame, nodes: DataFrame, width: str, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
-    """(node, links) and edges (u, v), from the lists and, among saturated vectors, from their tiles."""
+def _links(graph: DataFrame, nodes: DataFrame, width: str, threshold: float, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, links), edges (u, v), from the lists and, among saturated vectors, from their tiles, and these saturated ones (node)."""
     near = graph.select("node", F.filter("near", lambda e: e.sim >= threshold).alias("near")).filter(F.size("near") > 0)
     full = cut(near.filter(F.size("near") >= k).select("node"))
     pairs = cut(
@@ -313,45 +318,74 @@ def _links(graph: DataFrame, nodes: DataFrame, width: str, threshold: float, k:
         tiled = _saturated_links(nodes.join(full, "node"), both.filter("dense").select("u", "v"), width, threshold)
         counted = counted.unionByName(tiled.select("node", "links"))
         edges = edges.union(tiled.select(F.greatest("node", "chain").alias("u"), F.least("node", "chain").alias("v")).distinct())
-    return cut(counted.groupBy("node").agg(F.sum("links").alias("links"))), cut(edges)
+    return cut(counted.groupBy("node").agg(F.sum("links").alias("links"))), cut(edges), full
 
 
-def _recall(counts: DataFrame, nodes: DataFrame, width: str, threshold: float) -> float:
-    """Links found over links there are, for AUDIT vectors compared with all others. What is broadcast has AUDIT rows."""
-    queries = [(r.cell, r.node, bytes(r.vec)) for r in nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()]
-    by_cell: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for cell in {q[0] for q in queries}:
-        own = [q for q in queries if q[0] == cell]
-        by_cell[cell] = (np.array([q[1] for q in own]), _unit([q[2] for q in own], width))
+def _there(drawn: list, nodes: DataFrame, width: str, threshold: float) -> DataFrame:
+    """(node, there): all links of the vectors ``drawn`` (node, cell, vec) that have any, by comparing them with all others."""
+    by_cell: dict[str, tuple[np.ndarray, list[bytes]]] = {}
+    for cell in {r.cell for r in drawn}:
+        own = [r for r in drawn if r.cell == cell]
+        by_cell[cell] = (np.array([r.node for r in own], np.int64), [bytes(r.vec) for r in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
+        units = {cell: _unit(data, width) for cell, (_, data) in by_cell.items()}
+        total = {cell: np.zeros(len(ids), np.int64) for cell, (ids, _) in by_cell.items()}
         for batch in batches:
             cells, names = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_numpy(zero_copy_only=False)
             mults, data = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_pylist()
             for cell in set(cells) & set(by_cell):
-                at = np.flatnonzero(cells == cell)
-                ids, x = by_cell[cell]
-                near = (x @ _unit([data[k] for k in at], width).T >= threshold) & (ids[:, None] != names[at][None, :])
-                for q, n in zip(ids.tolist(), (near @ mults[at]).tolist(), strict=True):
-                    total[q] = total.get(q, 0) + n
-        yield _rows(list(total.items()), [pa.int64(), pa.int64()], ["node", "there"])
+                of = np.flatnonzero(cells == cell)
+                for begin in range(0, len(of), TILE):
+                    at = of[begin : begin + TILE]
+                    near = units[cell] @ _unit([data[k] for k in at], width).T >= threshold
+                    near &= by_cell[cell][0][:, None] != names[at][None, :]
+                    total[cell] += near @ mults[at]
+        out = [(int(n), int(c)) for cell, (ids, _) in by_cell.items() for n, c in zip(ids, total[cell], strict=True) if c]
+        yield _rows(out, [pa.int64(), pa.int64()], ["node", "there"])
 
-    there = nodes.select("cell", "node", "mult", "vec").mapInArrow(run, "node long, there long").groupBy("node").agg(F.sum("there").alias("there"))
-    sums = there.join(counts, "node", "left").agg(F.sum("there").alias("there"), F.sum(F.least("there", F.coalesce("links", F.lit(0)))).alias("found")).first()
-    return sums.found / sums.there if sums.there else 1.0
+    return nodes.select("cell", "node", "mult", "vec").mapInArrow(run, "node long, there long").groupBy("node").agg(F.sum("there").alias("there"))
+
+
+def _recall(counts: DataFrame, nodes: DataFrame, width: str, threshold: float, full: DataFrame | None = None) -> float:
+    """Share of its links that a vector with links has in ``counts``: the mean over AUDIT such vectors, or all if there are fewer, of the
+    saturated ones (``full``) and of the others; the smaller of both.
+
+    Vectors are drawn by their hash, DRAW at a time, until AUDIT of them turn out to have links or none is left; so 1 without a link
+    means that all vectors were compared. What is broadcast has about DRAW rows.
+    """
+    names = nodes.select("node", "cell", "vec")
+    parts = [names] if full is None else [names.join(full, "node", "left_anti"), names.join(full, "node", "left_semi")]
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << 31)) / float(1 << 31)
+    shares = []
+    for part in parts:
+        rows, begin, size, linked, found = part.count(), 0.0, AUDIT, 0, 0.0
+        while rows and begin < 1.0 and linked < AUDIT:
+            end = begin + size / rows
+            drawn = part.filter((place >= begin) & (place < end)).collect()
+            if drawn:
+                there = _there(drawn, nodes, width, threshold).join(counts, "node", "left")
+                share = F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / F.col("there"))
+                got = there.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(share), F.lit(0.0)).alias("share")).first()
+                linked, found = linked + got.n, found + got.share
+            begin, size = end, min(4 * size, DRAW)
+        if linked:
+            shares.append(found / linked)
+    return min(shares, default=1.0)
 
 
 def near_duplicates(
     embeddings: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = THRESHOLD,
-    k: int = LIST, floor: float = FLOOR, tables: int = TABLES, recall: float = RECALL,
+    k: int = LIST, tables: int = TABLES, recall: float = RECALL,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept and audited_recall of every vector, linked at a cosine of ``threshold`` inside its label.
 
     Equal vectors of a label are one node. The first graph comes from blocks of equal projection signs; rounds of NN-descent refine it; lists
     hold ``k`` neighbours. A node whose list is full of links is saturated: its list is enlarged to all saturated vectors in tiles that touch
-    its own, so there is no cap on links. Edges below ``floor`` are not kept, as they lead to no link. The audit counts all links of
-    AUDIT vectors; while it finds less than ``recall`` of them, lists are doubled and tables added, ATTEMPTS times at most.
+    its own, so there is no cap on links. Lists hold the most similar vectors however far they are, as a way to what is close. The audit counts
+    all links of AUDIT saturated vectors and of AUDIT others that have any; while either group has less than ``recall`` of them, lists are
+    doubled and tables added. If that is not enough after ATTEMPTS times, it is an error: no incomplete links go out. Where hardly any vector
+    has a link the audit compares nearly all pairs of a cell.
 
     A vector that is null, empty, zero, or holds a null or a number that is not finite, or whose label is null, links with nothing: n_links
     0, its own component, kept. Vectors of unequal length do not link. Repeated rows are vectors of their own and equal. A null vec_id
@@ -362,11 +396,13 @@ def near_duplicates(
     nodes = cut(usable.groupBy("key").agg(F.min("vec_id").cast("long").alias("node"), F.count(F.lit(1)).alias("mult"), F.first("cell").alias("cell"), F.first("vec").alias("vec")))
     graph, used, share = None, 0, 0.0
     for attempt in range(ATTEMPTS + 1):
-        graph = neighbour_graph(nodes, width, list(range(used, tables)), k, floor, graph)
-        counts, edges = _links(graph, nodes, width, threshold, k)
-        share = _recall(counts, nodes, width, threshold)
-        if share >= recall or attempt == ATTEMPTS:
+        graph = neighbour_graph(nodes, width, list(range(used, tables)), k, graph)
+        counts, edges, full = _links(graph, nodes, width, threshold, k)
+        share = _recall(counts, nodes, width, threshold, full)
+        if share >= recall:
             break
+        if attempt == ATTEMPTS:
+            raise RuntimeError(f"the audit finds {share:.4f} of the links with {tables} tables and lists of {k}, less than {recall}")
         used, tables, k = tables, 2 * tables, 2 * k
     groups = connected_components(edges, nodes.select("node", "key", "mult"), [])
     found = cut(groups.join(counts, "node", "left").select("key", "component", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("links")))

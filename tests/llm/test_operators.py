@@ -177,6 +177,51 @@ def test_audit_sees_missing_links(spark):
     assert nn_descent._recall(all_found, nodes, width, 0.93) == 1.0
 
 
+def _nodes(spark, vectors):
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(vectors)]
+    table, width = nn_descent.vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), "vec_id", "embedding", "label")
+    return table.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("mult"), "cell", "vec"), width
+
+
+def test_audit_finds_rare_links(spark):
+    """One pair among 3,000 vectors: most likely neither is drawn first, and yet its loss is seen."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 32))
+    nodes, width = _nodes(spark, x)
+    none = spark.createDataFrame([], "node long, links long")
+    first = {r.node for r in nodes.orderBy(F.xxhash64("node"), "node").limit(nn_descent.AUDIT).collect()}
+    a, b = [k for k in range(3000) if k not in first][:2]
+    assert nn_descent._recall(none, nodes, width, 0.93) == 1.0  # all were compared
+    x[b] = x[a] + 0.01
+    nodes, width = _nodes(spark, x)
+    assert nn_descent._recall(none, nodes, width, 0.93) == 0.0
+
+
+def test_audit_is_not_outweighed_by_a_crowd(spark):
+    """A crowd that has all of its links does not hide pairs that have none."""
+    rng = np.random.default_rng(9)
+    crowd, pairs = rng.standard_normal(32) + rng.standard_normal((400, 32)) * 0.01, rng.standard_normal((100, 32))
+    nodes, width = _nodes(spark, np.concatenate([crowd, pairs, pairs + 0.01]))
+    found = nodes.filter("node < 400").select("node", F.lit(399).cast("long").alias("links"))
+    assert nn_descent._recall(found, nodes, width, 0.93, nodes.filter("node < 400").select("node")) == 0.0
+    assert nn_descent._recall(found, nodes, width, 0.93) < 0.99
+
+
+def test_lists_keep_far_neighbours(spark):
+    """Vectors without close company have full lists, by which a twin is found."""
+    x = np.random.default_rng(10).standard_normal((300, 32))
+    nodes, width = _nodes(spark, x)
+    graph = nn_descent.neighbour_graph(nodes, width, [0], 8).collect()
+    assert len(graph) == 300 and all(len(r.near) == 8 for r in graph)
+
+
+def test_missed_links_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_recall", lambda *_: 0.5)
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 0)
+    with pytest.raises(RuntimeError, match="0.5"):
+        nn_descent.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0], 1)], "vec_id long, embedding array<float>, label int"))
+
+
 def test_no_vectors(spark):
     assert nn_descent.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
