@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from re import _constants, _parser
 from typing import NamedTuple
 
 
@@ -9,20 +10,20 @@ class Rule(NamedTuple):
     label: str
     level: int  # smaller wins: 0 SPDX tags, 1 notices, 2 full names with version, 3 names, 4 bare references
     gate: str  # a coarse keyword, one of GATES
-    keyword: str  # what the text must hold before the expression is tried
+    keyword: str  # what the text must hold before the expression is tried; a part of every match
     regex: str  # over words of [0-9a-z] and non-ASCII characters with one space between
 
 
 #: The contract's phrases. They count wherever their words stand together, and no suppression removes their labels.
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
 
-#: Coarse keywords: a text with none of them is not looked at any further.
-GATES = ("licen", "copyright", "permission", "redistribut", "public domain", "warranty", "cc by", "creative commons", "copyleft", "unlicense")
+#: Coarse keywords. A rule whose matches need hold none of them has its keyword as its gate.
+COARSE = ("licen", "copyright", "permission", "redistribut", "public domain", "warranty", "cc by", "creative commons", "copyleft", "unlicense")
 
 #: What stands between a name and a version: "version 2", "v 2", "v2" or nothing.
 V = r" (?:version |v ?)?"
 
-#: label | level | keyword | regex. The gate is the first one that the keyword or the expression's fixed text holds.
+#: label | level | keyword | regex. Where a match need not hold the keyword, the nearest text that it must hold takes its place (see ``_keyword``).
 SIGNATURES = rf"""
 mit | 1 | hereby granted free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software
 mit | 1 | associated documentation files | this software and associated documentation files(?: the software)?
@@ -246,12 +247,39 @@ copyleft | 4 | copyleft | copyleft licen[sc]e
 TAGGED = sorted({line.split(" | ")[0].strip() for line in SIGNATURES.strip().splitlines()})
 
 
+def _fixed(regex: str) -> list[str]:
+    """The runs of characters that every match of an expression holds: what is optional, repeated or one of several ends a run."""
+    runs = [""]
+
+    def walk(items) -> None:
+        for kind, value in items:
+            if kind is _constants.LITERAL:
+                runs[-1] += chr(value)
+            elif kind is _constants.SUBPATTERN:
+                walk(value[-1])
+            else:
+                runs.append("")
+
+    walk(_parser.parse(regex))
+    return [r for r in runs if r.strip()]
+
+
+def _keyword(keyword: str, regex: str) -> str:
+    """``keyword`` if every match holds it; else the longest text that every match holds, of those with a word of it if there are any."""
+    runs = _fixed(regex)
+    if any(keyword in r for r in runs):
+        return keyword
+    near = [r for r in runs if set(r.split()) & set(keyword.split())]
+    return max(near or runs, key=len)
+
+
 def _gate(keyword: str, regex: str) -> str:
-    for text in (keyword, regex):
-        for gate in GATES:
+    """The first coarse keyword that every match holds, or else the rule's own keyword."""
+    for text in (keyword, *_fixed(regex)):
+        for gate in COARSE:
             if gate in text:
                 return gate
-    return "licen"
+    return keyword
 
 
 def rules() -> list[Rule]:
@@ -262,5 +290,10 @@ def rules() -> list[Rule]:
         out.append(Rule(label, 0, "licen", "spdx license identifier", f"spdx license identifier {words}"))
     for line in SIGNATURES.strip().splitlines():
         label, level, keyword, regex = (x.strip() for x in line.split(" | "))
+        keyword = _keyword(keyword, regex)
         out.append(Rule(label, int(level), _gate(keyword, regex), keyword, regex))
     return out
+
+
+#: All gates: a text with none of them is not looked at any further.
+GATES = tuple(dict.fromkeys([*COARSE, *(r.gate for r in rules())]))

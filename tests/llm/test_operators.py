@@ -380,6 +380,50 @@ def test_suppression_by_sweep_and_by_window_agree(spark):
         assert set(filter(None, r.labels.split(","))) == shown | set(filter(None, r.base_labels.split(",")))
 
 
+def _matching(items):
+    """Texts that an expression matches: all choices of alternatives, optional parts with and without, repeats at their fewest."""
+    from re import _constants as c
+
+    out = [""]
+    for kind, value in items:
+        if kind is c.LITERAL:
+            parts = [chr(value)]
+        elif kind is c.SUBPATTERN:
+            parts = _matching(value[-1])
+        elif kind is c.BRANCH:
+            parts = [t for branch in value[1] for t in _matching(branch)]
+        elif kind is c.MAX_REPEAT:
+            low, high, what = value
+            parts = [t * low for t in _matching(what)] + (_matching(what) if low == 0 else [])
+        elif kind is c.IN:
+            parts = [chr(v) for k, v in value if k is c.LITERAL] + [chr(v[0]) for k, v in value if k is c.RANGE] or ["x"]
+        else:
+            raise AssertionError(kind)
+        out = [a + b for a in out for b in dict.fromkeys(parts)]
+    return out
+
+
+def test_every_rule_fires_on_each_of_its_alternatives(spark):
+    from re import _parser
+
+    want = [(k, t) for k, r in enumerate(license_rules.rules()) for t in dict.fromkeys(_matching(_parser.parse(r.regex)))]
+    table = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(want)], "doc_id long, text string").repartition(4)
+    found = {r.doc_id: {h.rule for h in r.hits} for r in licenses.scan(table).select("doc_id", "hits").collect()}
+    assert [(license_rules.rules()[k].label, t) for i, (k, t) in enumerate(want) if k not in found[i]] == []
+
+
+def test_notices_without_the_word_licence(spark):
+    texts = {
+        "Neither the name of the Foo Project nor the names of its contributors may be used to endorse or promote products": "bsd-3-clause",
+        "All advertising materials mentioning features or use of this software must display the following": "bsd-4-clause",
+        "Unauthorized copying of this file, via any medium, is strictly prohibited": "proprietary",
+        "BSD 3-Clause": "bsd-3-clause", "two clause BSD": "bsd-2-clause", "Datenlizenz Deutschland Namensnennung 2.0": "dl-de-by-2.0",
+        "All rights reserved.": "all-rights-reserved", "licensed under Apache v2": "apache-2.0", "licensed under the Apache v 2.0": "apache-2.0",
+    }
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan(table).collect()} == dict(enumerate(texts.values()))
+
+
 def test_rules_compile_and_are_many():
     import re
 
