@@ -25,6 +25,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet: visible bytes stand for themselves, the others for the characters from 256 on."""
+    keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in keep]
+    return {b: chr(b) for b in keep} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Ids of texts by whitespace-separated words, each encoded once while it stays in the memo.
 
@@ -44,10 +51,7 @@ class WordEncoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        rest = [b for b in range(256) if b not in keep]
-        #: The byte-level alphabet: visible bytes stand for themselves, the others for the characters from 256 on.
-        self.alphabet = {b: chr(b) for b in keep} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.alphabet = byte_alphabet()
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,14 +61,39 @@ def sequence_hashes(words: np.ndarray, n: int, multiplier: int = MULTIPLIERS[0])
     return mixed(out)
 
 
+#: Bytes of text that a Python worker takes out of a batch at a time.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], *columns: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in stretches of rows whose ``columns`` (text, bytes) hold ``max_bytes`` at most, or of one row; what Arrow's pool
+    keeps free is given back when a task ends."""
+    for batch in batches:
+        sizes = np.full(batch.num_rows, 64, np.int64)
+        for name in columns:
+            sizes += pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(sizes)
+        start = 0
+        while start < batch.num_rows:
+            before = upto[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(upto, before + max_bytes, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+    pa.default_memory_pool().release_unused()
+
+
+def _encoded(text: pa.Array) -> list[bytes]:
+    return pc.fill_null(text.cast(pa.binary()), b"").to_pylist()
+
+
 def filtered(documents: DataFrame, keep: Callable[[bytes], bool], text: str = "text") -> DataFrame:
     """The rows whose text (its bytes; null: empty) ``keep`` accepts, with all their columns as they are."""
     at = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [keep((t or "").encode()) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(good, pa.bool_()))
+        for some in slices(batches, text):
+            good = [keep(t) for t in _encoded(some.column(at))]
+            yield some.filter(pa.array(good, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
@@ -79,8 +105,8 @@ def with_column(documents: DataFrame, name: str, kind: str, value: Callable[[byt
     arrow = to_arrow_schema(added.schema).field(name).type
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = pa.array([value((t or "").encode()) for t in batch.column(at).to_pylist()], arrow)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+        for some in slices(batches, text):
+            made = pa.array([value(t) for t in _encoded(some.column(at))], arrow)
+            yield pa.RecordBatch.from_arrays([*some.columns, made], [*some.schema.names, name])
 
     return documents.mapInArrow(run, added.schema)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, chunk_bpe, classifier, licenses, nn_descent, packing, quality, sharding, simhash, substrings
+from larder.llm import alignment, chat, chunk_bpe, classifier, licenses, nn_descent, packing, quality, sharding, simhash, substrings, variants, warc
 from larder.llm.common import table
 from larder.plans.registry import query
+from larder.session import scratch_path
 
 
 @query("op1_mixture_packing")
@@ -85,3 +86,35 @@ def prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.digest(chat.expand_prefix_targets(turns))
+
+
+WARC_SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hexadecimal,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages
+), parts AS (
+    SELECT *, list_transform([1, 11, 21, 31], lambda k: ('0x' || substr(hexadecimal, k, 10))::BIGINT) AS forty FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+    array_to_string(list_transform(forty, lambda v: array_to_string(
+        list_transform(range(8), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> (35 - 5 * k)::INT) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM parts
+"""
+
+
+@query("op11_warc_archive", WARC_SQL)
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.written_and_read(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), with_groups=False)
