@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from larder.llm.bpe import WordEncoder, encoder, vocabulary_path
-from larder.llm.common import only, utf8
+from larder.llm.common import PACKED_BYTES, only, slices, utf8
 from larder.session import cut
 
 #: A chunk ends where the hash of the last 8 bytes has so many zero bits, every 1024 bytes on average.
@@ -148,13 +148,13 @@ def _encoded(documents: DataFrame, doc_id: str, text: str, path: str, bits: int,
     names = StructType.fromDDL(result).names
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for some in slices(batches, "text"):
             keys, chunks = [], []
-            for data in batch.column(1).to_pylist():
+            for data in some.column(1).to_pylist():
                 ends = cuts(data, bits)
                 keys.append(_key(data))
                 chunks.append([_key(data[a:b]) for a, b in zip([0, *ends], ends, strict=False)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(chunks, pa.list_(pa.binary()))], ["doc_id", "text_key", "chunks"])
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array(chunks, pa.list_(pa.binary()))], ["doc_id", "text_key", "chunks"])
 
     marked = cut(docs.mapInArrow(chunked, f"doc_id {kind}, text_key binary, chunks array<binary>"))
     # One row for a text, and for a chunk in it.
@@ -170,8 +170,8 @@ def _encoded(documents: DataFrame, doc_id: str, text: str, path: str, bits: int,
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = batch.column(0).to_pylist()
+        for some in slices(batches, "text"):
+            data = some.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([_key(t) for t in data], pa.binary()), pa.array([_pack(t) for t in data], pa.binary())], ["text_key", "text"])
 
     schema = f"text_key binary, done boolean, {result}, {_SENT}"
@@ -179,29 +179,28 @@ def _encoded(documents: DataFrame, doc_id: str, text: str, path: str, bits: int,
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = encoder(path), set()
-        for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                rows = []
-                for r in batch.slice(first, 512).to_pylist():
-                    if r["text_key"] in seen:  # another copy of the text
-                        continue
-                    seen.add(r["text_key"])
-                    data, owned, borrowed = _unpack(r["text"]), set(r["owned"] or ()), set(r["borrowed"] or ())
-                    ends, parts, shared = cuts(data, bits), [], {}
-                    for a, b in zip([0, *ends], ends, strict=False):
-                        chunk = data[a:b]
-                        key = _key(chunk) if owned or borrowed else b""
-                        part = None if key in borrowed else shared.get(key) or encode_chunk(chunk, words)
-                        parts.append((key, part))
-                        if key in owned:
-                            shared[key] = part
-                    row = {"text_key": r["text_key"], "done": not borrowed}
-                    if borrowed:
-                        row["parts"] = [{"at": k, "chunk_key": key if part is None else None, "part": part and part._asdict()} for k, (key, part) in enumerate(parts)]
-                    else:
-                        row |= finish(stitch([part for _, part in parts], words))
-                    rows.append(row | {"shared": [{"chunk_key": key, "part": part._asdict()} for key, part in shared.items()]})
-                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+        for some in slices(batches, "text", max_bytes=PACKED_BYTES):
+            rows = []
+            for r in some.to_pylist():
+                if r["text_key"] in seen:  # another copy of the text
+                    continue
+                seen.add(r["text_key"])
+                data, owned, borrowed = _unpack(r["text"]), set(r["owned"] or ()), set(r["borrowed"] or ())
+                ends, parts, shared = cuts(data, bits), [], {}
+                for a, b in zip([0, *ends], ends, strict=False):
+                    chunk = data[a:b]
+                    key = _key(chunk) if owned or borrowed else b""
+                    part = None if key in borrowed else shared.get(key) or encode_chunk(chunk, words)
+                    parts.append((key, part))
+                    if key in owned:
+                        shared[key] = part
+                row = {"text_key": r["text_key"], "done": not borrowed}
+                if borrowed:
+                    row["parts"] = [{"at": k, "chunk_key": key if part is None else None, "part": part and part._asdict()} for k, (key, part) in enumerate(parts)]
+                else:
+                    row |= finish(stitch([part for _, part in parts], words))
+                rows.append(row | {"shared": [{"chunk_key": key, "part": part._asdict()} for key, part in shared.items()]})
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     sent = docs.select("text").mapInArrow(packed, "text_key binary, text binary").join(roles, "text_key", "left")
     first = cut(sent.select("text_key", "text", "owned", "borrowed").mapInArrow(encoded, schema))

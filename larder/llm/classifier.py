@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import filtered, only, utf8
+from larder.llm.common import filtered, only, slices, utf8
 from larder.llm.tokens import hashed_ngrams
 
 BITS, THRESHOLD = 18, 0.7
@@ -92,9 +92,9 @@ def score(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOL
     docs = only(documents, doc_id="doc_id", text="text").select("doc_id", utf8(F.col("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [probability(text, weights) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
+        for some in slices(batches, "text"):
+            out = [probability(text, weights) for text in some.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.mapInArrow(run, f"doc_id {kind}, score double")

@@ -63,6 +63,8 @@ def sequence_hashes(words: np.ndarray, n: int, multiplier: int = MULTIPLIERS[0])
 
 #: Bytes of text that a Python worker takes out of a batch at a time.
 SLICE_BYTES = 2 << 20
+#: The same of compressed text.
+PACKED_BYTES = 1 << 19
 
 
 def slices(batches: Iterator[pa.RecordBatch], *columns: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.bpe import encoder, vocabulary_path
-from larder.llm.common import only, utf8
+from larder.llm.common import PACKED_BYTES, only, slices, utf8
 from larder.session import cut
 
 SEQUENCE, PACKET, END_ID = 2048, 512, 1
@@ -31,10 +31,10 @@ def tokenized(documents: DataFrame, path: str, doc_id: str, text: str, source: s
         import zstandard
 
         words, pack = encoder(path), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            ids = [words.encode(t) for t in batch.column(3).to_pylist()]
+        for some in slices(batches, "text"):
+            ids = [words.encode(t) for t in some.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array([pack.compress(x.tobytes()) for x in ids], pa.binary())],
+                [*some.columns[:3], pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array([pack.compress(x.tobytes()) for x in ids], pa.binary())],
                 ["row", "doc_id", "queue", "tokens", "ids"],
             )
 
@@ -112,19 +112,17 @@ def pack(
         import zstandard
 
         unpack, width = zstandard.ZstdDecompressor(), encoder(path).width
-        for batch in batches:
-            for first in range(0, batch.num_rows, 512):  # so that the ids of a few hundred documents are held at a time
-                some = batch.slice(first, 512)
-                out: list[tuple] = []
-                for k, (tokens_, data, pieces_) in enumerate(zip(some.column(1).to_pylist(), some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)):
-                    ids = np.append(np.frombuffer(unpack.decompress(data), width), end_id).astype("<u4")
-                    for p in pieces_:
-                        a, n = p["start"], p["length"]
-                        out.append((k, a, n, tokens_, p["sequence_id"], p["offset"], ids[a : a + n].tobytes()))
-                if out:
-                    at, *rest = zip(*out, strict=True)
-                    columns = [pa.array(c, pa.int64()) for c in rest[:-1]] + [pa.array(rest[-1], pa.binary())]
-                    yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(at)), *columns], names)
+        for some in slices(batches, "ids", max_bytes=PACKED_BYTES):
+            out: list[tuple] = []
+            for k, (tokens_, data, pieces_) in enumerate(zip(some.column(1).to_pylist(), some.column(2).to_pylist(), some.column(3).to_pylist(), strict=True)):
+                ids = np.append(np.frombuffer(unpack.decompress(data), width), end_id).astype("<u4")
+                for p in pieces_:
+                    a, n = p["start"], p["length"]
+                    out.append((k, a, n, tokens_, p["sequence_id"], p["offset"], ids[a : a + n].tobytes()))
+            if out:
+                at, *rest = zip(*out, strict=True)
+                columns = [pa.array(c, pa.int64()) for c in rest[:-1]] + [pa.array(rest[-1], pa.binary())]
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(at)), *columns], names)
 
     return both.mapInArrow(run, f"doc_id {kind.simpleString()}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import filtered, only, sequence_hashes, utf8, word_hashes
+from larder.llm.common import PACKED_BYTES, filtered, only, sequence_hashes, slices, utf8, word_hashes
 from larder.llm.tokens import hashed_ngrams
 
 #: Buckets of the two multinomials (2 ** BITS), rows they are sent in, and pseudo-counts that pull rare buckets to a ratio of 1.
@@ -53,8 +53,8 @@ def base_counts(text: bytes) -> dict:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack.compress(t) for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "text"])
+    for some in slices(batches, "text"):
+        yield pa.RecordBatch.from_arrays([some.column(0), pa.array([pack.compress(t) for t in some.column(1).to_pylist()], pa.binary())], ["doc_id", "text"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,9 +70,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 grams.clear()
 
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for some in slices(batches, "text", max_bytes=PACKED_BYTES):
         held = 0
-        for data, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for data, trusted in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
             seen = True
             grams = hashed_ngrams(unpack.decompress(data), BITS)
             held += len(grams)
@@ -140,13 +140,13 @@ def score(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
     docs = only(documents, doc_id=doc_id, text=text).select("doc_id", utf8(F.col("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for some in slices(batches, "text"):
             rows = []
-            for data in batch.column(1).to_pylist():
+            for data in some.column(1).to_pylist():
                 rows.append(base_counts(data) | {"ratio": mean_ratio(data, ratio)})
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             columns = [pa.array([r[n] for r in rows], pa.int64()) for n in names] + [pa.array([r["ratio"] for r in rows], pa.float64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names, "ratio"])
+            yield pa.RecordBatch.from_arrays([some.column(0), *columns], ["doc_id", *names, "ratio"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.mapInArrow(run, _SCORED.format(id=kind))

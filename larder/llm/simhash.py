@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import only, unused, utf8, with_column
+from larder.llm.common import only, slices, unused, utf8, with_column
 from larder.operators.components import connected_components
 from larder.session import cut
 
@@ -54,9 +54,9 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     docs = only(documents, doc_id=doc_id, text=text).select("doc_id", utf8(F.col("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        for some in slices(batches, "text"):
+            found = np.array([fingerprint(t) for t in some.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
@@ -76,38 +76,49 @@ def _chained(fps: np.ndarray, nodes: np.ndarray, max_bits: int) -> tuple[np.ndar
     return nodes[order][:-1][same], nodes[order][1:][same]
 
 
+def _verified(mask: np.ndarray, key: np.ndarray, pair: np.ndarray, fp: np.ndarray, node: np.ndarray, max_bits: int) -> pa.RecordBatch:
+    """Edges of whole buckets (mask, key, tile pair), whose rows lie one after another."""
+    fp = fp.view(np.uint64)
+    new = np.ones(len(mask), bool)
+    new[1:] = (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(mask)))
+    us, vs = [], []
+    # Buckets of two to four: pairs at a distance of one, two and three rows, for all buckets at once.
+    bucket = np.repeat(np.arange(len(first)), size)
+    small = size <= 4
+    for d in (1, 2, 3):
+        at = np.flatnonzero((bucket[d:] == bucket[:-d]) & small[bucket[d:]])
+        at = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= max_bits]
+        us.append(node[at])
+        vs.append(node[at + d])
+    for k in np.flatnonzero(size > 4):
+        s = slice(first[k], first[k] + size[k])
+        u, v = _chained(fp[s], node[s], max_bits)
+        us.append(u)
+        vs.append(v)
+    u, v = np.concatenate(us), np.concatenate(vs)
+    edges = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(edges[:, 0], pa.int64()), pa.array(edges[:, 1], pa.int64())], ["u", "v"])
+
+
 def _link(max_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Verify the pairs inside the buckets of a task, whose rows come sorted by bucket (mask, key, tile pair)."""
-        columns = [[], [], [], [], []]
+        """Verify the pairs inside the buckets of a task, whose rows come sorted by bucket: a batch at a time, its last bucket, which may go on,
+        kept for the next."""
+        kept: list[np.ndarray] | None = None
         for batch in batches:
-            for k, column in enumerate(columns):
-                column.append(batch.column(k).to_numpy(zero_copy_only=False))
-        if not columns[0]:
-            return
-        mask, key, pair, fp, node = (np.concatenate(c) for c in columns)
-        fp = fp.view(np.uint64)
-        new = np.ones(len(mask), bool)
-        new[1:] = (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
-        first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(mask)))
-        us, vs = [], []
-        # Buckets of two to four: pairs at a distance of one, two and three rows, for all buckets at once.
-        bucket = np.repeat(np.arange(len(first)), size)
-        small = size <= 4
-        for d in (1, 2, 3):
-            at = np.flatnonzero((bucket[d:] == bucket[:-d]) & small[bucket[d:]])
-            at = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= max_bits]
-            us.append(node[at])
-            vs.append(node[at + d])
-        for k in np.flatnonzero(size > 4):
-            s = slice(first[k], first[k] + size[k])
-            u, v = _chained(fp[s], node[s], max_bits)
-            us.append(u)
-            vs.append(v)
-        u, v = np.concatenate(us), np.concatenate(vs)
-        edges = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0], pa.int64()), pa.array(edges[:, 1], pa.int64())], ["u", "v"])
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            if kept is not None:
+                columns = [np.concatenate(c) for c in zip(kept, columns, strict=True)]
+            mask, key, pair = columns[:3]
+            before = np.flatnonzero((mask != mask[-1]) | (key != key[-1]) | (pair != pair[-1]))
+            whole = int(before[-1]) + 1 if len(before) else 0
+            if whole:
+                yield _verified(*[c[:whole] for c in columns], max_bits)
+            kept = [c[whole:].copy() for c in columns]
+        if kept is not None:
+            yield _verified(*kept, max_bits)
 
     return run
 

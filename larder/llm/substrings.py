@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import MULTIPLIERS, mixed, only, sequence_hashes, unused, utf8, with_column, word_hashes
+from larder.llm.common import MULTIPLIERS, PACKED_BYTES, mixed, only, sequence_hashes, slices, unused, utf8, with_column, word_hashes
 from larder.llm.fm_index import FMIndex, matching_lengths
 from larder.session import cut
 
@@ -22,6 +22,8 @@ from larder.session import cut
 WINDOW, GRAM = 35, 8
 #: Words that a shard's index holds on average; an anchor with more distinct passages than HOT is dealt out by windows.
 SHARD_WORDS, HOT = 250_000, 8_192
+#: Bytes of cut out passages that a task holds before it passes them on.
+SENT_BYTES = 2 << 20
 
 
 def passages(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,22 +103,20 @@ def repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
-                keys, sizes, digests, lists = [], [], [], ([], [], [], [])
-                for data in some.column(2).to_pylist():
-                    words = data.split()
-                    keys.append(_key(data))
-                    sizes.append(len(words))
-                    digests.append(_kept_digest(words))
-                    for to, values in zip(lists, passages(words, window), strict=True):
-                        to.append(values)
-                columns = [pa.array(x, pa.list_(kind)) for x, kind in zip(lists, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns[:2], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), *columns],
-                    ["row", "doc_id", "text_key", "n_words", "whole_sha256", "anchor", "content", "start", "windows"],
-                )
+        for some in slices(batches, "text"):
+            keys, sizes, digests, lists = [], [], [], ([], [], [], [])
+            for data in some.column(2).to_pylist():
+                words = data.split()
+                keys.append(_key(data))
+                sizes.append(len(words))
+                digests.append(_kept_digest(words))
+                for to, values in zip(lists, passages(words, window), strict=True):
+                    to.append(values)
+            columns = [pa.array(x, pa.list_(kind)) for x, kind in zip(lists, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns[:2], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), *columns],
+                ["row", "doc_id", "text_key", "n_words", "whole_sha256", "anchor", "content", "start", "windows"],
+            )
 
     schema = f"row long, doc_id {kind}, text_key binary, n_words long, whole_sha256 string, anchor array<long>, content array<long>, start array<int>, windows array<int>"
     marked = cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(scan, schema))
@@ -143,10 +143,10 @@ def repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text: str = "
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            data = batch.column(1).to_pylist()
+        for some in slices(batches, "text"):
+            data = some.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(t) for t in data], pa.binary()), batch.column(0), pa.array([pack.compress(t) for t in data], pa.binary())], ["text_key", "id", "text"]
+                [pa.array([_key(t) for t in data], pa.binary()), some.column(0), pa.array([pack.compress(t) for t in data], pa.binary())], ["text_key", "id", "text"]
             )
 
     sent = docs.mapInArrow(packed, f"text_key binary, id {kind}, text binary")
@@ -157,21 +157,24 @@ def repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text: str = "
         unpack = zstandard.ZstdDecompressor()
         names = ["shard", "anchor", "content", "n", "shift", "words"]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for some in slices(batches, "text", max_bytes=PACKED_BYTES):
             rows: list[tuple] = []
-            for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held = 0
+            for data, wanted in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
                 words = unpack.decompress(data).split()
                 for p in wanted or ():
                     if not p["hot"]:
-                        piece = words[p["start"] : p["start"] + p["windows"] + window - 1]
-                        rows.append((p["anchor"] % shards, p["anchor"], p["content"], p["n"], 0, b" ".join(piece)))
+                        piece = b" ".join(words[p["start"] : p["start"] + p["windows"] + window - 1])
+                        rows.append((p["anchor"] % shards, p["anchor"], p["content"], p["n"], 0, piece))
+                        held += len(piece)
                         continue
                     for k in range(p["windows"]):
                         piece = b" ".join(words[p["start"] + k : p["start"] + k + window])
                         rows.append((xxhash.xxh64_intdigest(piece) % shards, p["anchor"], p["content"], p["n"], k, piece))
-                if len(rows) >= 50_000:
+                        held += len(piece)
+                if held > SENT_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
@@ -194,16 +197,16 @@ def _changed(texts: DataFrame, marks: DataFrame, window: int, with_text: bool) -
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for some in slices(batches, "text", max_bytes=PACKED_BYTES):
             removed, digests, kept = [], [], []
-            for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for data, found in zip(some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
                 words = unpack.decompress(data).split()
                 gone = _cover(len(words), [m["start"] for m in found], [m["mask"] for m in found], window)
                 left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 removed.append(len(words) - len(left))
                 digests.append(_kept_digest(left))
                 kept.append(b" ".join(left).decode() if with_text else None)
-            columns = [batch.column(0), pa.array(removed, pa.int64()), pa.array(digests, pa.string())] + [pa.array(kept, pa.string())] * with_text
+            columns = [some.column(0), pa.array(removed, pa.int64()), pa.array(digests, pa.string())] + [pa.array(kept, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(columns, ["text_key", "n_removed", "kept_sha256"] + ["kept"] * with_text)
 
     return cut(texts.join(marks, "text_key").select("text_key", "text", "marks").mapInArrow(keep, result).dropDuplicates(["text_key"]))
