@@ -59,7 +59,7 @@ def block_size(n: int, workers: int) -> int:
     return int(min(BLOCK_ROWS, max(MIN_BLOCK_ROWS, np.ceil(n / blocks))))
 
 
-PACKED = "block long, n int, ids binary, weights binary, coords binary, lo array<double>, hi array<double>"
+PACKED = "block long, n int, ids binary, weights binary, coords binary, lo array<double>, hi array<double>, crowd boolean, home long"
 
 
 def _pack(pdf: pd.DataFrame) -> dict:
@@ -73,11 +73,14 @@ def _pack(pdf: pd.DataFrame) -> dict:
         "coords": coords.tobytes(),
         "lo": coords.min(axis=0).tolist(),
         "hi": coords.max(axis=0).tolist(),
+        "crowd": bool(pdf["crowd"].iloc[0]),
+        "home": int(pdf["home"].iloc[0]),
     }
 
 
-def range_blocks(points: Points, cell: float, block_rows: int | None = None) -> DataFrame:
-    """Blocks of neighbouring points: sorted by grid cell on the leading axes, then by coordinates.
+def range_blocks(points: Points, cell: float, block_rows: int | None = None, homes: DataFrame | None = None) -> DataFrame:
+    """Blocks of neighbouring points: sorted by grid cell on the leading axes, then by coordinates; points with a ``home`` (pid, home) share
+    blocks only with those of the same.
 
     Range partitioning ends with the unique pid, so a crowded cell is spread over as many blocks as it needs.
     """
@@ -85,13 +88,16 @@ def range_blocks(points: Points, cell: float, block_rows: int | None = None) ->
     size = block_rows or block_size(points.n_distinct, parallelism(spark))
     n_parts = max(1, min(-(-points.n_distinct // size), 8 * parallelism(spark)))
     axes = [F.element_at("features", i + 1) for i in range(min(SORT_AXES, points.width))]
-    order = [F.floor(x / cell) for x in axes] + axes + [F.col("pid")]
-    ordered = points.distinct.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    order = [F.col("crowd"), F.col("home"), *[F.floor(x / cell) for x in axes], *axes, F.col("pid")]
+    placed = points.distinct.withColumn("home", F.lit(None).cast("long")) if homes is None else points.distinct.join(homes, "pid", "left")
+    placed = placed.withColumns({"crowd": F.col("home").isNotNull(), "home": F.coalesce("home", F.lit(0).cast("long"))})
+    ordered = placed.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
 
     def pack(batches):
         for pdf in batches:
-            for i in range(0, len(pdf), size):
-                yield pd.DataFrame([_pack(pdf.iloc[i : i + size])])
+            for _, part in pdf.groupby(["crowd", "home"], sort=False):
+                for i in range(0, len(part), size):
+                    yield pd.DataFrame([_pack(part.iloc[i : i + size])])
 
     return cut(ordered.mapInPandas(pack, PACKED))
 
@@ -105,12 +111,13 @@ def box_gap(lo_a, hi_a, lo_b, hi_b):
 
 
 def near_pairs(blocks: DataFrame, eps: float, width: int) -> DataFrame:
-    """(a, b), a <= b, of the blocks whose boxes are at most eps apart.
+    """(a, b), a <= b, of the blocks whose boxes are at most eps apart, and whether both belong to crowds; two blocks of one crowd are no pair.
 
     Each box, widened by eps at its upper end, is listed under the grid cells it covers on the first two axes; two
     boxes meet in the cell of their larger lower corner, so every pair is found once.
     """
-    meta = blocks.select("block", "lo", "hi")
+    no_crowds = [F.lit(False).alias("crowd"), F.lit(0).cast("long").alias("home")]
+    meta = blocks.select("block", "lo", "hi", *(["crowd", "home"] if "crowd" in blocks.columns else no_crowds))
     axes = list(range(1, min(2, width) + 1))
     spans = meta.agg(*[(F.max(F.element_at("hi", i)) - F.min(F.element_at("lo", i))).alias(f"s{i}") for i in axes]).first()
     steps = {i: max(eps, (spans[f"s{i}"] or 0.0) / n, 1e-9) for i, n in zip(axes, (256, 32))}
@@ -122,25 +129,25 @@ def near_pairs(blocks: DataFrame, eps: float, width: int) -> DataFrame:
     for i in axes:
         first, last = cell(F.element_at("lo", i), i), cell(F.element_at("hi", i) + F.lit(eps), i)
         listed = listed.withColumn(f"c{i}", F.explode(F.sequence(first, last)))
-    a = listed.select(*[F.col(c).alias(f"{c}_a") for c in ("block", "lo", "hi")], *[f"c{i}" for i in axes])
-    b = listed.select(*[F.col(c).alias(f"{c}_b") for c in ("block", "lo", "hi")], *[f"c{i}" for i in axes])
-    joined = a.join(b, [f"c{i}" for i in axes]).filter("block_a <= block_b")
+    a = listed.select(*[F.col(c).alias(f"{c}_a") for c in ("block", "lo", "hi", "crowd", "home")], *[f"c{i}" for i in axes])
+    b = listed.select(*[F.col(c).alias(f"{c}_b") for c in ("block", "lo", "hi", "crowd", "home")], *[f"c{i}" for i in axes])
+    joined = a.join(b, [f"c{i}" for i in axes]).filter("block_a <= block_b AND NOT (crowd_a AND crowd_b AND home_a = home_b)")
     for i in axes:
         corner = F.greatest(F.element_at("lo_a", i), F.element_at("lo_b", i))
         joined = joined.filter(cell(corner, i) == F.col(f"c{i}"))
     # A hair above eps, so that rounding never drops a pair that the kernel would accept.
     limit = (eps * (1 + 1e-9)) ** 2
     return joined.filter(box_gap("lo_a", "hi_a", "lo_b", "hi_b") <= limit).select(
-        F.col("block_a").alias("a"), F.col("block_b").alias("b")
+        F.col("block_a").alias("a"), F.col("block_b").alias("b"), (F.col("crowd_a") & F.col("crowd_b")).alias("crowds")
     )
 
 
-def join_blocks(pairs: DataFrame, blocks: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairs (a written table) with the packed columns of both blocks, spread over the tasks pair by pair."""
+def join_blocks(pairs: DataFrame, blocks: DataFrame, cols: list[str], by: list | None = None) -> DataFrame:
+    """Pairs (a written table) with the packed columns of both blocks, spread over the tasks pair by pair, or by the keys ``by``."""
     left = blocks.select(F.col("block").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
     right = blocks.select(F.col("block").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
     joined = pairs.join(right, "b").join(left, "a")
-    return joined.repartition(tasks_for(blocks.sparkSession, pairs.count()), "a", "b")
+    return joined.repartition(tasks_for(blocks.sparkSession, pairs.count()), *(by or ["a", "b"]))
 
 
 def spread(blocks: DataFrame, n_blocks: int) -> DataFrame:

@@ -1,21 +1,19 @@
-"""K-Means and Gaussian mixture sweeps on Spark ML, and assignment to given centres."""
+"""K-Means and Gaussian mixture sweeps, all fits of a sweep in the same scans, and assignment to given centres."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.evaluation import EUCLIDEAN, mean_silhouettes
+from larder.session import cut
 
 # Fixed values.
 SEED = 42
@@ -25,6 +23,10 @@ REFINED_KMEANS_GRID = range(10, 26)
 GMM_GRID = range(2, 11)
 MAX_ITER = 300
 TOLERANCE = 1e-4
+# Added to the variances of a mixture's components.
+REGULARISATION = 1e-6
+# Rows of a block, rows that starts are drawn from, and arrays that the driver adds up at most.
+PACKED_ROWS, SEED_ROWS, GROUPS = 4096, 4096, 32
 
 RESULT_SCHEMA = (
     "trial_no int, paradigm string, params string, silhouette double, metric double, n_clusters bigint, noise_ratio double, "
@@ -41,50 +43,172 @@ class Sweep:
     results: DataFrame
 
 
-def _vectors(df: DataFrame, features: str) -> DataFrame:
-    return df.select("row_id", F.col(features).alias("features"), array_to_vector(F.col(features)).alias("_v"))
+@dataclass
+class Centres:
+    """One K-Means fit: its centres and the sum of squared distances to the nearest of them."""
 
+    centres: np.ndarray
+    cost: float
+    iterations: int
 
-def _label_all(vectors: DataFrame, models: list) -> DataFrame:
-    """One scan adds the label of every model."""
-    out = vectors
-    for i, model in enumerate(models):
-        out = model.setPredictionCol(f"_l{i}").transform(out)
-    labels = F.array(*[F.col(f"_l{i}").cast("bigint") for i in range(len(models))])
-    return out.select("row_id", "features", labels.alias("labels"))
 
+@dataclass
+class Mixture:
+    """One Gaussian mixture: weights, means, covariances, and the log likelihood of all rows under them."""
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED):
-    """The best of several starts by inertia."""
-    fits = [
-        KMeans(featuresCol="_v", k=k, seed=seed + i, maxIter=MAX_ITER, tol=TOLERANCE).fit(vectors)
-        for i in range(restarts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray
+    log_likelihood: float
+    iterations: int
+
+
+class Rows:
+    """Rows packed into blocks that every step of a sweep reads; written once."""
+
+    def __init__(self, df: DataFrame, features: str) -> None:
+        self.spark = df.sparkSession
+        self.kind = df.schema["row_id"].dataType.simpleString()
+
+        def pack(batches):
+            for pdf in batches:
+                for at in range(0, len(pdf), PACKED_ROWS):
+                    part = pdf.iloc[at : at + PACKED_ROWS]
+                    coords = np.array(part["features"].tolist(), np.float64)
+                    yield pd.DataFrame([{"ids": part["row_id"].tolist(), "coords": coords.tobytes(), "n": len(part)}])
+
+        packed = df.select("row_id", F.col(features).alias("features")).mapInPandas(pack, f"ids array<{self.kind}>, coords binary, n int")
+        self.blocks = cut(packed)
+        known = self.blocks.agg(F.sum("n").alias("n"), F.max(F.octet_length("coords") / 8 / F.col("n")).alias("d")).first()
+        self.n, self.width = known["n"] or 0, int(known["d"] or 0)
+
+    def added_up(self, sums: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+        """The sum over all blocks of an array of ``size`` numbers that ``sums`` makes of a block's rows: added up in each task, then by groups of
+        tasks, so that the driver adds a few arrays however many tasks there are."""
+        width = self.width
+
+        def partial(batches):
+            total = None
+            for pdf in batches:
+                for data in pdf["coords"]:
+                    made = sums(np.frombuffer(data, np.float64).reshape(-1, width))
+                    total = made if total is None else total + made
+            if total is not None:
+                yield pd.DataFrame({"part": [total.tobytes()]})
+
+        def group(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"part": [sum(np.frombuffer(p, np.float64) for p in pdf["part"]).tobytes()]})
+
+        parts = self.blocks.select("coords").mapInPandas(partial, "part binary")
+        if self.blocks.rdd.getNumPartitions() > GROUPS:
+            parts = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).applyInPandas(group, "part binary")
+        out = np.zeros(size)
+        for row in parts.collect():  # GROUPS rows at most
+            out += np.frombuffer(bytes(row["part"]), np.float64)
+        return out
+
+    def labelled(self, label: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+        """(row_id, features, labels): every labelling of every row, in one scan."""
+        width = self.width
+
+        def run(batches):
+            for pdf in batches:
+                for r in pdf.itertuples(index=False):
+                    x = np.frombuffer(r.coords, np.float64).reshape(-1, width)
+                    yield pd.DataFrame({"row_id": list(r.ids), "features": list(x), "labels": list(label(x))})
+
+        return self.blocks.select("ids", "coords").mapInPandas(run, f"row_id {self.kind}, features array<double>, labels array<bigint>")
+
+
+def _spread_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Start of a fit: rows of the sample, each next one drawn by its squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    chosen = [sample[rng.integers(len(sample))]]
+    near = ((sample - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        total = near.sum()
+        at = rng.choice(len(sample), p=near / total) if total > 0 else rng.integers(len(sample))
+        chosen.append(sample[at])
+        near = np.minimum(near, ((sample - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _nearest(x: np.ndarray, fits: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Nearest centre (the first among equals) and squared distance under each fit, from one matrix product."""
+    every = np.concatenate(fits)
+    far = (every * every).sum(axis=1)[None, :] - 2.0 * (x @ every.T)
+    own, out, at = (x * x).sum(axis=1), [], 0
+    for centres in fits:
+        part = far[:, at : at + len(centres)]
+        label = part.argmin(axis=1)
+        out.append((label, np.maximum(part[np.arange(len(x)), label] + own, 0.0)))
+        at += len(centres)
+    return out
+
+
+def _moved_on(rows: Rows, fits: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
+    """Sums and counts of the rows nearest to each centre, and the cost, for all fits in one scan."""
+    width = rows.width
+
+    def sums(x: np.ndarray) -> np.ndarray:
+        out = []
+        for centres, (label, far) in zip(fits, _nearest(x, fits), strict=True):
+            one_hot = np.zeros((len(centres), len(x)))
+            one_hot[label, np.arange(len(x))] = 1.0
+            out += [[far.sum()], one_hot.sum(axis=1), (one_hot @ x).ravel()]
+        return np.concatenate(out)
+
+    flat = rows.added_up(sums, sum(1 + len(c) * (1 + width) for c in fits))
+    totals, counts, costs, at = [], [], [], 0
+    for centres in fits:
+        k = len(centres)
+        costs.append(float(flat[at]))
+        counts.append(flat[at + 1 : at + 1 + k])
+        totals.append(flat[at + 1 + k : at + 1 + k + k * width].reshape(k, width))
+        at += 1 + k * (1 + width)
+    return totals, counts, costs
+
+
+def fit_kmeans_all(rows: Rows, starts: Sequence[tuple[int, int]], max_iter: int = MAX_ITER, tolerance: float = TOLERANCE) -> list[Centres]:
+    """K-Means for every (k, seed) at the same time: a scan moves the centres of all fits that have not come to rest, so there are as many
+    scans as the longest fit has steps, and one for the costs.
+
+    Each start is drawn from the ``SEED_ROWS`` rows of the smallest hashes of their ids; all steps see all rows. A centre without rows stays where it is.
+    """
+    sample = rows.blocks.select(F.posexplode("ids").alias("at", "id"), "coords").select(
+        F.xxhash64("id").alias("hash"), "id", F.substring("coords", F.col("at") * (8 * rows.width) + 1, F.lit(8 * rows.width)).alias("x")
+    )
+    drawn = [np.frombuffer(bytes(r["x"]), np.float64) for r in sample.orderBy("hash", "id").limit(SEED_ROWS).collect()]
+    if not drawn:
+        raise ValueError("no rows to fit")
+    fits = [_spread_centres(np.array(drawn), k, seed) for k, seed in starts]
+    moving, steps = list(range(len(fits))), [0] * len(fits)
+    while moving:
+        totals, counts, _ = _moved_on(rows, [fits[i] for i in moving])
+        still = []
+        for i, total, count in zip(moving, totals, counts, strict=True):
+            moved = np.where(count[:, None] > 0, total / np.maximum(count, 1.0)[:, None], fits[i])
+            steps[i] += 1
+            if steps[i] < max_iter and (((moved - fits[i]) ** 2).sum(axis=1) > tolerance**2).any():
+                still.append(i)
+            fits[i] = moved
+        moving = still
+    return [Centres(c, cost, n) for c, cost, n in zip(fits, _moved_on(rows, fits)[2], steps, strict=True)]
 
 
 def kmeans_sweep(
-    df: DataFrame,
-    grid: Iterable[int] = KMEANS_GRID,
-    restarts: int = RESTARTS,
-    features: str = "features",
-    distance: str = EUCLIDEAN,
-    threads: int = 4,
+    df: DataFrame, grid: Iterable[int] = KMEANS_GRID, restarts: int = RESTARTS, features: str = "features", distance: str = EUCLIDEAN
 ) -> Sweep:
-    """K-Means for every k, scored by silhouette, with its inertia. The fits of a k share one cached input and are
-    submitted from a few driver threads."""
+    """K-Means for every k, the best of several starts by inertia, scored by silhouette."""
     grid = list(grid)
-    vectors = _vectors(df, features).persist()
-    with ThreadPoolExecutor(threads) as pool:
-        models = list(pool.map(lambda k: fit_kmeans(vectors, k, restarts), grid))
-    labelled = _label_all(vectors, models)
+    rows = Rows(df, features)
+    fits = fit_kmeans_all(rows, [(k, SEED + i) for k in grid for i in range(restarts)])
+    models = [min(fits[t * restarts : (t + 1) * restarts], key=lambda m: m.cost) for t in range(len(grid))]
+    centres = [m.centres for m in models]
+    labelled = rows.labelled(lambda x: np.stack([label for label, _ in _nearest(x, centres)], axis=1))
     scores = mean_silhouettes(labelled, len(grid), distance)
-    vectors.unpersist()
-    rows = [
-        (i, "K-Means", f"k={k}", s, float(m.summary.trainingCost), k, 0.0, distance)
-        for i, (k, m, s) in enumerate(zip(grid, models, scores))
-    ]
-    return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
+    found = [(i, "K-Means", f"k={k}", s, m.cost, k, 0.0, distance) for i, (k, m, s) in enumerate(zip(grid, models, scores, strict=True))]
+    return Sweep(models, labelled, df.sparkSession.createDataFrame(found, RESULT_SCHEMA))
 
 
 def mixture_bic(log_likelihood: float, k: int, d: int, n: int) -> float:
@@ -93,35 +217,107 @@ def mixture_bic(log_likelihood: float, k: int, d: int, n: int) -> float:
     return -2.0 * log_likelihood + p * math.log(n)
 
 
-def gmm_sweep(
-    df: DataFrame,
-    grid: Iterable[int] = GMM_GRID,
-    features: str = "features",
-    distance: str = EUCLIDEAN,
-    max_iter: int = 100,
-    threads: int = 4,
-) -> Sweep:
+def _log_densities(x: np.ndarray, mixture: tuple) -> np.ndarray:
+    """Log of weight times density of every row under each component."""
+    log_weights, means, factors, log_dets = mixture
+    out = np.empty((len(x), len(means)))
+    for j, (mean, factor) in enumerate(zip(means, factors, strict=True)):
+        y = (x - mean) @ factor
+        out[:, j] = (y * y).sum(axis=1)
+    return log_weights + log_dets - 0.5 * (x.shape[1] * math.log(2 * math.pi) + out)
+
+
+def _shares(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each component's share of each row, and the row's log likelihood."""
+    top = logs.max(axis=1, keepdims=True)
+    parts = np.exp(logs - top)
+    total = parts.sum(axis=1, keepdims=True)
+    return parts / total, (top + np.log(total))[:, 0]
+
+
+def _statistics(x: np.ndarray, shares: np.ndarray) -> list[np.ndarray]:
+    weighted = [(x * shares[:, j : j + 1]) for j in range(shares.shape[1])]
+    return [shares.sum(axis=0), (shares.T @ x).ravel(), *[(w.T @ x).ravel() for w in weighted]]
+
+
+def _from_statistics(flat: np.ndarray, k: int, d: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = flat[:k] + 10 * np.finfo(float).eps
+    means = flat[k : k + k * d].reshape(k, d) / sizes[:, None]
+    seconds = flat[k + k * d :].reshape(k, d, d) / sizes[:, None, None]
+    covariances = seconds - means[:, :, None] * means[:, None, :]
+    covariances[:, np.arange(d), np.arange(d)] += REGULARISATION
+    return sizes / n, means, covariances
+
+
+def _ready(weights: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> tuple:
+    """A mixture in the form that tasks work with: factors of the inverse covariances and logs of their determinants."""
+    factors, log_dets = [], []
+    for c in covariances:
+        values, vectors = np.linalg.eigh(c)
+        values = np.maximum(values, REGULARISATION)
+        factors.append(vectors / np.sqrt(values))
+        log_dets.append(-0.5 * np.log(values).sum())
+    return np.log(weights), means, factors, np.array(log_dets)
+
+
+def fit_mixtures(rows: Rows, grid: Sequence[int], max_iter: int = 100, tolerance: float = 1e-3) -> list[Mixture]:
+    """Gaussian mixtures with full covariance for every number of components at the same time: a scan gathers the sufficient statistics of all of them
+    that still gain ``tolerance`` in mean log likelihood. Each starts from the labels of a K-Means fit."""
+    d, n = rows.width, rows.n
+    middle = rows.added_up(lambda x: x.sum(axis=0), d) / n  # products are taken around the overall mean
+    starts = [m.centres for m in fit_kmeans_all(rows, [(k, SEED) for k in grid])]
+
+    def hard(x: np.ndarray) -> np.ndarray:
+        out = []
+        for k, (label, _) in zip(grid, _nearest(x, starts), strict=True):
+            out += _statistics(x - middle, np.eye(k)[label])
+        return np.concatenate(out)
+
+    sizes = [k * (1 + d + d * d) for k in grid]
+    state, at = [], 0
+    flat = rows.added_up(hard, sum(sizes))
+    for k, size in zip(grid, sizes, strict=True):
+        state.append(_from_statistics(flat[at : at + size], k, d, n))
+        at += size
+    before, found, steps = [-math.inf] * len(grid), [0.0] * len(grid), [0] * len(grid)
+    moving = list(range(len(grid)))
+    while moving:
+        ready = [_ready(*state[i]) for i in moving]
+
+        def soft(x: np.ndarray, ready=ready) -> np.ndarray:
+            out = []
+            for mixture in ready:
+                shares, logs = _shares(_log_densities(x - middle, mixture))
+                out += [[logs.sum()], *_statistics(x - middle, shares)]
+            return np.concatenate(out)
+
+        flat, at, still = rows.added_up(soft, sum(1 + sizes[i] for i in moving)), 0, []
+        for i in moving:
+            found[i] = float(flat[at])
+            steps[i] += 1
+            # At rest the parameters stay those of this scan, whose likelihood is known.
+            if steps[i] < max_iter and found[i] / n - before[i] >= tolerance:
+                before[i] = found[i] / n
+                state[i] = _from_statistics(flat[at + 1 : at + 1 + sizes[i]], grid[i], d, n)
+                still.append(i)
+            at += 1 + sizes[i]
+        moving = still
+    return [Mixture(w, m + middle, c, logs, s) for (w, m, c), logs, s in zip(state, found, steps, strict=True)]
+
+
+def gmm_sweep(df: DataFrame, grid: Iterable[int] = GMM_GRID, features: str = "features", distance: str = EUCLIDEAN, max_iter: int = 100) -> Sweep:
     """Gaussian mixtures with full covariance, scored by silhouette, with their BIC."""
     grid = list(grid)
-    vectors = _vectors(df, features).persist()
-    n = vectors.count()
-    d = len(vectors.select("features").first()[0])
-
-    def fit(k: int):
-        return GaussianMixture(
-            featuresCol="_v", probabilityCol=f"_p{k}", k=k, seed=SEED, maxIter=max_iter, tol=1e-3
-        ).fit(vectors)
-
-    with ThreadPoolExecutor(threads) as pool:
-        models = list(pool.map(fit, grid))
-    labelled = _label_all(vectors, models)
+    rows = Rows(df, features)
+    models = fit_mixtures(rows, grid, max_iter)
+    ready = [_ready(m.weights, m.means, m.covariances) for m in models]
+    labelled = rows.labelled(lambda x: np.stack([_log_densities(x, m).argmax(axis=1) for m in ready], axis=1))
     scores = mean_silhouettes(labelled, len(grid), distance)
-    vectors.unpersist()
-    rows = [
-        (i, "GMM", f"components={k}", s, mixture_bic(m.summary.logLikelihood, k, d, n), k, 0.0, distance)
-        for i, (k, m, s) in enumerate(zip(grid, models, scores))
+    found = [
+        (i, "GMM", f"components={k}", s, mixture_bic(m.log_likelihood, k, rows.width, rows.n), k, 0.0, distance)
+        for i, (k, m, s) in enumerate(zip(grid, models, scores, strict=True))
     ]
-    return Sweep(models, labelled, df.sparkSession.createDataFrame(rows, RESULT_SCHEMA))
+    return Sweep(models, labelled, df.sparkSession.createDataFrame(found, RESULT_SCHEMA))
 
 
 def assign_to_centres(df: DataFrame, centres: np.ndarray, features: str = "features") -> DataFrame:

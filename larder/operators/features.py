@@ -136,6 +136,13 @@ def target_prior(df: DataFrame, target: Column) -> Column:
     return df.agg(F.avg(target.cast("double"))).scalar()
 
 
+def target_profile(df: DataFrame, by: str, target: Column) -> tuple[float | None, tuple[int, int]]:
+    """The target's mean, and the rows of the largest level and of all, from one pass that adds up by level."""
+    levels = df.groupBy(by).agg(F.sum(target.cast("bigint")).alias("s"), F.count(F.lit(1)).alias("n"))
+    row = levels.agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    return (row["s"] / row["n"] if row["n"] else None), (row["most"] or 0, row["n"] or 0)
+
+
 def target_encode_ordered(
     df: DataFrame,
     by: str = "category",
@@ -151,7 +158,10 @@ def target_encode_ordered(
     ``prior`` and ``sizes`` (rows of the largest category and of all) are worked out unless they are known already.
     """
     target = S.out_indicator(F.col("event_type")) if target is None else target
-    prior = target_prior(df, target) if prior is None else prior
+    if prior is None or sizes is None:
+        mean, counted = target_profile(df, by, target)
+        prior = F.lit(mean).cast("double") if prior is None else prior
+        sizes = counted if sizes is None else sizes
     summed = running_sums(
         df,
         [by],
@@ -205,20 +215,22 @@ def raw_feature_matrix(
     inventory: DataFrame, max_features: int = MAX_FEATURES, hot_rows: int = HOT_ROWS
 ) -> tuple[DataFrame, list[str]]:
     """(row_id, features) before scaling, and the feature names in order."""
-    narrow = inventory.select("row_id", "event_type", "timestamp", "product_name", "category", *schemas.NUTRIENTS)
+    # Written once: the joins behind the inventory are not worked out for the profile and again for the rows.
+    narrow = cut(inventory.select("row_id", "event_type", "timestamp", "product_name", "category", *schemas.NUTRIENTS))
     # One pass adds the rows up by product; name frequencies, category means and sizes and the prior follow from that.
     profile = keep(
         narrow.groupBy("product_name", "category", *schemas.NUTRIENTS, "event_type").agg(F.count(F.lit(1)).alias("n"))
     )
     weights, vocabulary = name_weights(profile, max_features, F.col("n"))
     target = S.out_indicator(F.col("event_type"))
-    totals = profile.agg((F.sum(target * F.col("n")) / F.sum("n")).alias("prior")).first()
-    rows = profile.groupBy("category").agg(F.sum("n").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    levels = profile.groupBy("category").agg(F.sum(target * F.col("n")).alias("s"), F.sum("n").alias("n"))
+    totals = levels.agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    prior = totals["s"] / totals["n"] if totals["n"] else None
     imputed = impute_category_mean(
         narrow, means=category_means(profile, schemas.NUTRIENTS, "category", F.col("n"))
     )
     encoded = target_encode_ordered(
-        imputed, hot_rows=hot_rows, prior=F.lit(totals["prior"]).cast("double"), sizes=(rows[0] or 0, rows[1] or 0)
+        imputed, hot_rows=hot_rows, prior=F.lit(prior).cast("double"), sizes=(totals["most"] or 0, totals["n"] or 0)
     )
     named = encoded.withColumn("name", F.coalesce("product_name", F.lit("")))
     texted = named.join(broadcast_if_within(weights.select("name", "txt")), "name", "left")

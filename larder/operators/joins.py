@@ -26,11 +26,13 @@ def cast_key(df: DataFrame, key: str = "product_id") -> DataFrame:
 
 
 def one_per_key(dim: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """The looked-up columns by key; fails the job when a key stands twice, as the join would repeat rows."""
-    twice = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))
-    found = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.first(F.struct(*cols)).alias("_d"), F.count(F.lit(1)).alias("_n"))
-    # A key column that the check decides keeps the check in the plan.
-    return found.select(F.when(F.col("_n") == 1, F.col(key)).otherwise(twice.cast(dim.schema[key].dataType)).alias(key), "_d.*")
+    """The looked-up columns by key; fails the job when a key stands twice, as the join would repeat rows.
+
+    The check is a filter, which no column pruning removes and which keeps the partitioning by key: the join needs no exchange of its own.
+    """
+    twice = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))).cast("boolean")
+    found = dim.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("_n"))
+    return found.filter(F.when(F.col("_n") == 1, True).otherwise(twice)).drop("_n")
 
 
 def enrich(movements: DataFrame, catalog: DataFrame) -> DataFrame:

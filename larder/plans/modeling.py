@@ -443,12 +443,12 @@ def silhouette_fast(spark, d):
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, d):
-    return rounded(K.kmeans_sweep(B.blobs(spark, d)).results, 6, "silhouette", "metric")
+    return rounded(K.kmeans_sweep(B.vectors(spark, d)).results, 6, "silhouette", "metric")
 
 
 @query("gmm_sweep")
 def gmm_sweep(spark, d):
-    return rounded(K.gmm_sweep(B.blobs(spark, d)).results, 6, "silhouette", "metric")
+    return rounded(K.gmm_sweep(B.vectors(spark, d)).results, 6, "silhouette", "metric")
 
 
 @query(
@@ -469,27 +469,34 @@ def dbscan_core(spark, d):
     return D.dbscan_core(B.embeddings(spark, d), 1.19, 5)
 
 
+DISTANCES = """dist AS MATERIALIZED (SELECT a.row_id AS u, b.row_id AS v, list_distance(a.f, b.f) AS d FROM vectors a JOIN vectors b ON true)"""
+
+
+def _roots_sql(name: str, key: str) -> str:
+    """(key, u, root): the smallest u reachable over ``link`` (key, u, v) from each row of ``core`` (key, u), labels replaced in rounds."""
+    return f"""{name}({key}, u, root) USING KEY ({key}, u) AS (SELECT {key}, u, u FROM core UNION
+      SELECT link.{key}, link.v, min({name}.root) FROM {name} JOIN link ON link.{key} = {name}.{key} AND link.u = {name}.u
+        JOIN recurring.{name} r ON r.{key} = link.{key} AND r.u = link.v WHERE {name}.root < r.root GROUP BY 1, 2)"""
+
+
 def _dbscan_sql(grid: list[tuple[float, int]], tail: str) -> str:
     rows = ", ".join(f"({i}, CAST({e} AS DOUBLE), {m})" for i, (e, m) in enumerate(grid))
     return with_views(
-        "blobs",
-        f"""WITH RECURSIVE grid AS (SELECT * FROM (VALUES {rows}) g(trial, eps, min_samples)),
-          near AS MATERIALIZED (SELECT g.trial, a.row_id AS u, b.row_id AS v FROM blobs a JOIN blobs b ON true
-            JOIN grid g ON sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) <= g.eps),
-          core AS MATERIALIZED (SELECT trial, u FROM near JOIN grid USING (trial) GROUP BY trial, u, min_samples
-            HAVING count(*) >= min_samples),
-          link AS MATERIALIZED (SELECT n.trial, n.u, n.v FROM near n JOIN core a ON a.trial = n.trial AND a.u = n.u
-            JOIN core b ON b.trial = n.trial AND b.u = n.v),
-          reach(trial, root, u) AS (SELECT trial, u, u FROM core
-            UNION SELECT r.trial, r.root, l.v FROM reach r JOIN link l ON l.trial = r.trial AND l.u = r.u AND l.v > r.root),
-          comp AS (SELECT trial, u, min(root) AS root FROM reach GROUP BY 1, 2),
-          member AS (SELECT trial, u, root FROM comp
-            UNION ALL SELECT n.trial, n.u, min(c.root) FROM near n JOIN comp c ON c.trial = n.trial AND c.u = n.v
-              WHERE NOT EXISTS (SELECT 1 FROM core k WHERE k.trial = n.trial AND k.u = n.u) GROUP BY 1, 2),
+        "vectors",
+        f"""WITH RECURSIVE {DISTANCES}, grid AS (SELECT * FROM (VALUES {rows}) g(trial, eps, min_samples)),
+          near AS MATERIALIZED (SELECT eps, u, v FROM dist JOIN (SELECT DISTINCT eps FROM grid) ON d <= eps),
+          core AS MATERIALIZED (SELECT trial, eps, u FROM (SELECT eps, u, count(*) AS n FROM near GROUP BY 1, 2) JOIN grid USING (eps)
+            WHERE n >= min_samples),
+          link AS MATERIALIZED (SELECT a.trial, n.u, n.v FROM near n JOIN core a ON a.eps = n.eps AND a.u = n.u
+            JOIN core b ON b.trial = a.trial AND b.u = n.v),
+          {_roots_sql('comp', 'trial')},
+          border AS (SELECT c.trial, n.v AS u, min(c.root) AS root FROM near n JOIN grid USING (eps)
+            JOIN comp c ON c.trial = grid.trial AND c.u = n.u GROUP BY 1, 2),
+          member AS (SELECT trial, u, root FROM comp UNION ALL SELECT * FROM border ANTI JOIN comp USING (trial, u)),
           ranked AS (SELECT trial, root, dense_rank() OVER (PARTITION BY trial ORDER BY root) - 1 AS cluster_label
             FROM (SELECT DISTINCT trial, root FROM comp)),
           labelled AS (SELECT g.trial, g.eps, g.min_samples, b.row_id, coalesce(k.cluster_label, -1) AS cluster_label
-            FROM blobs b CROSS JOIN grid g LEFT JOIN member m ON m.trial = g.trial AND m.u = b.row_id
+            FROM vectors b CROSS JOIN grid g LEFT JOIN member m ON m.trial = g.trial AND m.u = b.row_id
             LEFT JOIN ranked k ON k.trial = m.trial AND k.root = m.root)
           {tail}""",
     )
@@ -497,63 +504,70 @@ def _dbscan_sql(grid: list[tuple[float, int]], tail: str) -> str:
 
 @query(
     "dbscan_labels",
-    _dbscan_sql([(0.8, 5)], "SELECT row_id, CAST(cluster_label AS BIGINT) AS cluster_label FROM labelled"),
+    _dbscan_sql([(2.5, 30)], "SELECT row_id, CAST(cluster_label AS BIGINT) AS cluster_label FROM labelled"),
 )
 def dbscan_labels(spark, d):
-    return big(D.dbscan(B.blobs(spark, d), 0.8, 5))
-
-
-DBSCAN_TRIALS = [(0.4, 5), (0.4, 10), (0.6, 5), (0.6, 10), (0.8, 5), (0.8, 10), (1.0, 10)]
+    return big(D.dbscan(B.vectors(spark, d), 2.5, 30))
 
 
 @query(
     "dbscan_sweep",
     _dbscan_sql(
-        DBSCAN_TRIALS,
+        D.DBSCAN_GRID,
         """SELECT CAST(trial AS BIGINT) AS trial, count(DISTINCT cluster_label) FILTER (WHERE cluster_label >= 0) AS n_clusters,
              round(avg(CASE WHEN cluster_label < 0 THEN 1.0e0 ELSE 0.0e0 END), 6) AS noise_ratio FROM labelled GROUP BY 1""",
     ),
 )
 def dbscan_sweep(spark, d):
-    labelled = D.dbscan_trials(B.blobs(spark, d), DBSCAN_TRIALS)
+    labelled = D.dbscan_trials(B.vectors(spark, d), D.DBSCAN_GRID)
     return rounded(big(E.cluster_quality(labelled, by=["trial"])), 6, "noise_ratio")
 
 
-CORE = """dist AS MATERIALIZED (SELECT a.row_id AS u, b.row_id AS v,
-    sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS d FROM blobs a JOIN blobs b ON true),
-  core AS (SELECT u, list_sort(list(d))[10] AS core FROM dist GROUP BY 1)"""
+CORE = f"{DISTANCES}, near AS (SELECT u, list_sort(list(d))[10] AS core FROM dist GROUP BY 1)"
 
 
-@query(
-    "core_distances",
-    with_views("blobs", f"WITH {CORE} SELECT u AS row_id, round(core, 6) AS core FROM core"),
-)
+@query("core_distances", with_views("vectors", f"WITH {CORE} SELECT u AS row_id, round(core, 6) AS core FROM near"))
 def core_distances(spark, d):
-    points = BL.distinct_points(B.blobs(spark, d))
+    points = BL.distinct_points(B.vectors(spark, d))
     cores, _, _ = H.core_distances(points, 10)
     return rounded(points.to_rows(cores.select("pid", "core")), 6, "core")
 
 
-LEVELS = [0.6, 0.8, 1.0, 1.5]
+@query(
+    "core_distance_grid",
+    with_views(
+        "vectors",
+        f"""WITH {DISTANCES}, sorted AS (SELECT u, list_sort(list(d)) AS l FROM dist GROUP BY 1)
+          SELECT u AS row_id, CAST(k AS BIGINT) AS min_cluster_size, round(l[k], 6) AS core FROM sorted
+          CROSS JOIN (VALUES {', '.join(f'({k})' for k in H.HDBSCAN_GRID)}) g(k)""",
+    ),
+)
+def core_distance_grid(spark, d):
+    """Core distances of every size of the grid, from one pass over the distances."""
+    points = BL.distinct_points(B.vectors(spark, d))
+    cores, _, _ = H.neighbour_distances(points, H.HDBSCAN_GRID)
+    sizes = F.array(*[F.lit(k) for k in H.HDBSCAN_GRID])
+    rows = points.to_rows(cores.select("pid", "cores")).select("row_id", F.inline(F.arrays_zip(sizes.alias("min_cluster_size"), "cores")))
+    return rounded(big(rows.withColumnRenamed("cores", "core")), 6, "core")
+
+
+LEVELS = [2.45, 2.5, 2.55, 2.7]
 
 
 @query(
     "reachability_components",
     with_views(
-        "blobs",
-        f"""WITH RECURSIVE {CORE},
-          lev AS (SELECT * FROM (VALUES {', '.join(f'(CAST({t} AS DOUBLE))' for t in LEVELS)}) t(level)),
-          link AS MATERIALIZED (SELECT level, dist.u, dist.v FROM dist JOIN core a ON a.u = dist.u JOIN core b ON b.u = dist.v
-            JOIN lev ON greatest(d, a.core, b.core) <= level WHERE dist.u <> dist.v),
-          reach(level, root, u) AS (SELECT level, row_id, row_id FROM blobs CROSS JOIN lev
-            UNION SELECT r.level, r.root, l.v FROM reach r JOIN link l ON l.level = r.level AND l.u = r.u AND l.v > r.root)
-          SELECT level, count(DISTINCT root) AS n_components
-          FROM (SELECT level, u, min(root) AS root FROM reach GROUP BY 1, 2) GROUP BY 1""",
+        "vectors",
+        f"""WITH RECURSIVE {CORE}, core AS (SELECT level, row_id AS u FROM vectors CROSS JOIN (VALUES {', '.join(f'(CAST({t} AS DOUBLE))' for t in LEVELS)}) t(level)),
+          link AS MATERIALIZED (SELECT level, dist.u, dist.v FROM dist JOIN near a ON a.u = dist.u JOIN near b ON b.u = dist.v
+            JOIN (SELECT DISTINCT level FROM core) ON greatest(d, a.core, b.core) <= level WHERE dist.u <> dist.v),
+          {_roots_sql('comp', 'level')}
+          SELECT level, count(DISTINCT root) AS n_components FROM comp GROUP BY 1""",
     ),
 )
 def reachability_components(spark, d):
     """Parts left at a level of mutual reachability: rows minus the spanning tree edges up to that level."""
-    points = BL.distinct_points(B.blobs(spark, d))
+    points = BL.distinct_points(B.vectors(spark, d))
     cores, packed, diameter = H.core_distances(points, 10)
     tree = H.spanning_tree(points, cores, packed, diameter)
     counts = tree.agg(*[F.count_if(F.col("w") <= t).alias(f"c{i}") for i, t in enumerate(LEVELS)])
@@ -563,7 +577,7 @@ def reachability_components(spark, d):
 
 @query("hdbscan_labels")
 def hdbscan_labels(spark, d):
-    return big(H.hdbscan(B.blobs(spark, d), 10))
+    return big(H.hdbscan(B.vectors(spark, d), 10))
 
 
 # --- model choice --------------------------------------------------------------------------------------------------
@@ -697,14 +711,14 @@ RESULT_COLS = ["paradigm", "trial_no", "params", "silhouette", "metric", "n_clus
 @query("model_selection")
 def model_selection(spark, d):
     """Phase 1 end to end: three sweeps, gates, comparison."""
-    choice = P.choose_model(B.blobs(spark, d), 1)
+    choice = P.choose_model(B.vectors(spark, d), 1)
     return rounded(big(choice.comparison.select(*RESULT_COLS)), 6, "silhouette", "metric", "noise_ratio")
 
 
 @query("model_selection_refined")
 def model_selection_refined(spark, d):
     """Phase 2 end to end, down to the rows per label of the winner."""
-    choice = P.choose_model(B.blobs(spark, d), 2)
+    choice = P.choose_model(B.vectors(spark, d), 2)
     winner = choice.comparison.filter("winner").first()
     rows = choice.labels.groupBy("cluster_label").agg(F.count(F.lit(1)).alias("n_rows"))
     return big(rows.withColumns({"paradigm": F.lit(winner["paradigm"]), "params": F.lit(winner["params"])}))

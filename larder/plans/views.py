@@ -53,14 +53,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
         """SELECT m.*, c.nutriscore, c.calories_100g, c.proteins_100g, c.carbs_100g, c.category
            FROM movements m LEFT JOIN catalog c ON c.product_id = m.product_id""",
     ),
-    "blobs": (
-        [],
-        """SELECT vec_id AS row_id,
-              label * 10.0e0 + CAST(embedding[1] AS DOUBLE) * 4.0e0
-                + CASE WHEN vec_id % 50 = 0 THEN vec_id + 500.0e0 ELSE 0.0e0 END AS x,
-              (label % 3) * 10.0e0 + CAST(embedding[2] AS DOUBLE) * 4.0e0 AS y,
-              CAST(embedding[3] AS DOUBLE) * 4.0e0 AS z FROM embeddings""",
-    ),
+    "vectors": ([], "SELECT vec_id AS row_id, list_transform(embedding, lambda x: x::DOUBLE * 2) AS f FROM embeddings"),
     "nutrition": (
         ["products"],
         """SELECT trim(replace(product_name, 'Organic', '')) AS name_key, product_id AS rank, size FROM products

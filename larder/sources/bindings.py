@@ -134,19 +134,9 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """row_id and three coordinates: ten separable groups plus isolated points."""
-    e = table(spark, sf_dir, "embeddings")
-    value = lambda i: F.element_at("embedding", i).cast("double")
-    outlier = F.when(F.col("vec_id") % 50 == 0, F.col("vec_id") + 500.0).otherwise(F.lit(0.0))
-    return e.select(
-        F.col("vec_id").alias("row_id"),
-        F.array(
-            F.col("label") * 10.0 + value(1) * 4.0 + outlier,
-            (F.col("label") % 3) * 10.0 + value(2) * 4.0,
-            value(3) * 4.0,
-        ).alias("features"),
-    )
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_id and all 64 coordinates, doubled: the density grids then reach from no neighbour to nearly all rows."""
+    return embeddings(spark, sf_dir).select("row_id", F.transform("features", lambda x: x * 2.0).alias("features"))
 
 
 def nutrition_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
