@@ -181,7 +181,12 @@ def fit_kmeans_all(rows: Rows, starts: Sequence[tuple[int, int]], max_iter: int
     drawn = [np.frombuffer(bytes(r["x"]), np.float64) for r in sample.orderBy("hash", "id").limit(SEED_ROWS).collect()]
     if not drawn:
         raise ValueError("no rows to fit")
-    fits = [_spread_centres(np.array(drawn), k, seed) for k, seed in starts]
+    return lloyd(rows, [_spread_centres(np.array(drawn), k, seed) for k, seed in starts], max_iter, tolerance)
+
+
+def lloyd(rows: Rows, starts: Sequence[np.ndarray], max_iter: int = MAX_ITER, tolerance: float = TOLERANCE) -> list[Centres]:
+    """K-Means from the given centres, all fits in the same scans; one whose centres all move by ``tolerance`` at most is at rest."""
+    fits = [np.asarray(c, np.float64) for c in starts]
     moving, steps = list(range(len(fits))), [0] * len(fits)
     while moving:
         totals, counts, _ = _moved_on(rows, [fits[i] for i in moving])
@@ -196,6 +201,12 @@ def fit_kmeans_all(rows: Rows, starts: Sequence[tuple[int, int]], max_iter: int
     return [Centres(c, cost, n) for c, cost, n in zip(fits, _moved_on(rows, fits)[2], steps, strict=True)]
 
 
+def nearest_labels(rows: Rows, models: Sequence[Centres]) -> DataFrame:
+    """(row_id, features, labels): the number of the nearest centre in every fit."""
+    centres = [m.centres for m in models]
+    return rows.labelled(lambda x: np.stack([label for label, _ in _nearest(x, centres)], axis=1))
+
+
 def kmeans_sweep(
     df: DataFrame, grid: Iterable[int] = KMEANS_GRID, restarts: int = RESTARTS, features: str = "features", distance: str = EUCLIDEAN
 ) -> Sweep:
@@ -204,8 +215,7 @@ def kmeans_sweep(
     rows = Rows(df, features)
     fits = fit_kmeans_all(rows, [(k, SEED + i) for k in grid for i in range(restarts)])
     models = [min(fits[t * restarts : (t + 1) * restarts], key=lambda m: m.cost) for t in range(len(grid))]
-    centres = [m.centres for m in models]
-    labelled = rows.labelled(lambda x: np.stack([label for label, _ in _nearest(x, centres)], axis=1))
+    labelled = nearest_labels(rows, models)
     scores = mean_silhouettes(labelled, len(grid), distance)
     found = [(i, "K-Means", f"k={k}", s, m.cost, k, 0.0, distance) for i, (k, m, s) in enumerate(zip(grid, models, scores, strict=True))]
     return Sweep(models, labelled, df.sparkSession.createDataFrame(found, RESULT_SCHEMA))

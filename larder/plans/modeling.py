@@ -21,7 +21,7 @@ from larder.plans import pipeline as P
 from larder.plans.registry import query
 from larder.plans.relational import big, inventory, rounded
 from larder.plans.views import tokens_sql, with_views
-from larder.session import scratch_path, spread_scan
+from larder.session import cut, scratch_path, spread_scan
 from larder.sources import bindings as B
 from larder.sources import tables as T
 
@@ -653,23 +653,49 @@ def cluster_quality(spark, d):
     return rounded(E.cluster_quality(rows), 6, "noise_ratio")
 
 
-SEGMENTED = """segmented AS (SELECT i.*, CASE WHEN event_type = 'OUT' THEN CAST(hour(timestamp) // 6 AS BIGINT) - 1 END
-  AS cluster_label FROM inventory i)"""
+# Moves of the centres before the labels of the segments are read off.
+SEGMENT_STEPS = 5
+
+
+def _segmented_sql() -> str:
+    """K-Means on the whole feature matrix, from the mean of each category: centres are moved ``SEGMENT_STEPS`` times."""
+
+    def nearest(i: int) -> str:
+        return f"""l{i} AS MATERIALIZED (SELECT row_id, arg_min(k, (far, k)) AS k FROM (
+          SELECT m.row_id, c.k, sum((m.x - c.x) ** 2) AS far FROM fm m JOIN c{i} c USING (pos) GROUP BY 1, 2) GROUP BY 1)"""
+
+    def moved(i: int) -> str:
+        return f"c{i + 1} AS MATERIALIZED (SELECT l.k, m.pos, avg(m.x) AS x FROM fm m JOIN l{i} l USING (row_id) GROUP BY 1, 2)"
+
+    moves = ",\n".join(f"{nearest(i)},\n{moved(i)}" for i in range(SEGMENT_STEPS))
+    return MATRIX + f""", started AS (SELECT row_id, dense_rank() OVER (ORDER BY coalesce(category, -1)) - 1 AS k FROM inventory),
+      c0 AS MATERIALIZED (SELECT s.k, m.pos, avg(m.x) AS x FROM fm m JOIN started s USING (row_id) GROUP BY 1, 2),
+      {moves}, {nearest(SEGMENT_STEPS)},
+      segmented AS (SELECT i.*, l.k AS cluster_label FROM inventory i JOIN l{SEGMENT_STEPS} l USING (row_id))"""
+
+
+SEGMENTED = _segmented_sql()
 
 
 def segmented(spark: SparkSession, d: str) -> DataFrame:
-    """Inventory with a label by quarter of the day for the OUT rows only."""
-    inv = inventory(spark, d)
-    quarter = F.floor(F.hour("timestamp") / 6).cast("bigint") - 1
-    labels = inv.filter("event_type = 'OUT'").select("row_id", quarter.alias("cluster_label"))
-    return E.segment(inv, labels)
+    """Inventory with the label of a K-Means model on its feature matrix; labels are stored and read back."""
+    stock = cut(inventory(spark, d))
+    matrix, names = FT.feature_matrix(stock, FT.MAX_FEATURES)
+    rows = K.Rows(matrix, "features")
+    means = [F.avg(F.element_at("features", i + 1)).alias(f"m{i}") for i in range(len(names))]
+    started = matrix.join(stock.select("row_id", F.coalesce("category", F.lit(-1)).alias("k")), "row_id").groupBy("k").agg(*means)
+    starts = np.array([list(r)[1:] for r in started.orderBy("k").collect()])  # a row for each category
+    fits = K.lloyd(rows, [starts], SEGMENT_STEPS, 0.0)
+    path = scratch_path(spark, "labels")
+    T.write_matrix(K.nearest_labels(rows, fits).select("row_id", F.col("labels")[0].alias("cluster_label")), path)
+    return E.segment(stock, T.read_matrix(spark, path))
 
 
 @query(
     "segmented_inventory",
     with_views(
         "inventory",
-        f"WITH {SEGMENTED} SELECT row_id, product_id, event_type, CAST(category AS BIGINT) AS category, nutriscore, cluster_label FROM segmented",
+        f"{SEGMENTED} SELECT row_id, product_id, event_type, CAST(category AS BIGINT) AS category, nutriscore, CAST(cluster_label AS BIGINT) AS cluster_label FROM segmented",
     ),
 )
 def segmented_inventory(spark, d):
@@ -678,7 +704,7 @@ def segmented_inventory(spark, d):
 
 @query(
     "cluster_event_distribution",
-    with_views("inventory", f"WITH {SEGMENTED} SELECT cluster_label, event_type, count(*) AS n FROM segmented GROUP BY 1, 2"),
+    with_views("inventory", f"{SEGMENTED} SELECT CAST(cluster_label AS BIGINT) AS cluster_label, event_type, count(*) AS n FROM segmented GROUP BY 1, 2"),
 )
 def cluster_event_distribution(spark, d):
     return E.event_distribution(segmented(spark, d))
@@ -693,7 +719,7 @@ def _top(col: str, expr: str) -> str:
     "cluster_profile",
     with_views(
         "inventory",
-        f"""WITH {SEGMENTED}, {_top('h', 'hour(timestamp)')}, {_top('c', 'category')}, {_top('k', 'classification')},
+        f"""{SEGMENTED}, {_top('h', 'hour(timestamp)')}, {_top('c', 'category')}, {_top('k', 'classification')},
           s AS (SELECT cluster_label, count(*) AS n_rows, {', '.join(f'round(avg({c}), 6) AS mean_{c}' for c in schemas.NUTRIENTS)}
             FROM segmented WHERE cluster_label IS NOT NULL GROUP BY 1)
           SELECT s.*, CAST(h_top.v AS BIGINT) AS top_hour, CAST(c_top.v AS BIGINT) AS top_category, k_top.v AS top_classification
@@ -701,7 +727,7 @@ def _top(col: str, expr: str) -> str:
     ),
 )
 def cluster_profile(spark, d):
-    profile = E.cluster_profile(segmented(spark, d).filter("cluster_label IS NOT NULL"))
+    profile = E.cluster_profile(cut(segmented(spark, d)))
     return rounded(big(profile), 6, *[f"mean_{c}" for c in schemas.NUTRIENTS])
 
 
