@@ -6,13 +6,12 @@ import math
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import lookup_constant
 from larder.operators.sessions import SESSION_GAP, micros, whole_bins
-from larder.session import broadcast_if_within, cut
+from larder.session import broadcast_if_within, cut, drop_cut
 
 TILE_ITEMS = 1000
 HOT_PAIRS = 1_000_000
@@ -175,29 +174,87 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_count: int = 1) -
     )
 
 
+# Baskets of a slice: the baskets of an itemset are kept as one sorted list of 32-bit numbers for each slice.
+SLICE_BASKETS = 1 << 16
+
+
+def _grown(sets: DataFrame, size: int, least: int) -> DataFrame:
+    """(items, slice, tids, n) of the frequent itemsets of ``size`` items, from those with one item less.
+
+    Two sets that agree in all but their last item give one of ``size``: its baskets are those of both, met slice by slice. A set all of whose subsets
+    are frequent is the only candidate; equal prefixes meet in the join, and hot ones are split by slices.
+    """
+    head = F.slice("items", 1, size - 2)
+    x = sets.select(head.alias("head"), "slice", F.element_at("items", -1).alias("last_x"), F.col("tids").alias("tids_x"))
+    y = sets.select(head.alias("head"), "slice", F.element_at("items", -1).alias("last_y"), F.col("tids").alias("tids_y"))
+    met = x.join(y, ["head", "slice"]).filter("last_x < last_y")
+    made = met.select(F.concat("head", F.array("last_x", "last_y")).alias("items"), "slice", F.array_intersect("tids_x", "tids_y").alias("tids")).filter(F.size("tids") > 0)
+    made = cut(made)
+    kept = made.groupBy("items").agg(F.sum(F.size("tids")).alias("n")).filter(F.col("n") >= least)
+    return cut(made.join(kept, "items").select("items", "slice", "tids", "n"))
+
+
+def frequent_itemsets(baskets: DataFrame, basket: str, item: str, least: int) -> tuple[DataFrame, int]:
+    """(items, n) of every itemset that ``least`` baskets hold, items in order, and the number of baskets.
+
+    Pairs are counted where their baskets are (large baskets in tiles); larger sets by meeting the lists of baskets of two smaller ones, so that no basket
+    is ever gathered. Lists cover a slice of the baskets each, so none grows with the input.
+    """
+    rows = baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
+    n_baskets = rows.select("basket").distinct().count()
+    items = frequent_items(rows, "item", least)
+    kept = rows.join(items.select("item"), "item", "left_semi") if least > 1 else rows
+    # A basket's number within its slice, and the slice: dense, whatever the baskets' names are.
+    pairs = pairs_within(kept, ["basket"], "item")
+    counted = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    found = [items.select(F.array("item").alias("items"), F.col("n_item").alias("n"))]
+    counted = cut(counted)
+    if counted.isEmpty():
+        return found[0], n_baskets
+    found.append(counted.select(F.array("item_a", "item_b").alias("items"), "n"))
+    # Larger sets only hold baskets of frequent pairs that share an item with another one.
+    ends = counted.groupBy(F.col("item_a").alias("item_a")).agg(F.count(F.lit(1)).alias("shared")).filter("shared > 1").select("item_a")
+    useful = cut(counted.join(ends, "item_a").select("item_a", "item_b", "n"))
+    if useful.isEmpty():
+        return found[0].unionByName(found[1]), n_baskets
+    held = pairs.join(useful, ["item_a", "item_b"])
+    slices = max(1, -(-n_baskets // SLICE_BASKETS))
+    place = F.pmod(F.xxhash64("basket"), F.lit(slices)).cast("int")
+    sets = cut(held.groupBy("item_a", "item_b", "n", place.alias("slice")).agg(F.collect_list("basket").alias("tids")).select(F.array("item_a", "item_b").alias("items"), "slice", "tids", "n"))
+    size = 3
+    while True:
+        grown = _grown(sets, size, least)
+        drop_cut(sets)
+        sets = grown
+        level = cut(sets.groupBy("items").agg(F.first("n").alias("n")))
+        if level.isEmpty():
+            break
+        found.append(level)
+        size += 1
+    return reduce(DataFrame.unionByName, found), n_baskets
+
+
 def itemset_rules(
     baskets: DataFrame, basket: str, item: str, min_confidence: float, min_support: float = 0.0, min_count: int = 1
 ) -> DataFrame:
-    """Rules over itemsets of any size, in at least ``min_count`` baskets and ``min_support`` of all baskets.
-
-    Infrequent items leave first, so a basket keeps at most as many items as reach that count.
-    """
-    rows = baskets.select(basket, item).distinct()
-    n_baskets = rows.select(basket).distinct().count()
-    least = max(1, min_count, math.ceil(min_support * n_baskets - 1e-9))
-    items = frequent_items(rows, item, least)
-    sets = rows.join(items.select(item), item, "left_semi").groupBy(basket).agg(F.collect_list(item).alias("items"))
-    # Baskets that lost all their items still count in the denominator.
-    n_kept = sets.count()
-    model = FPGrowth(
-        itemsCol="items", minSupport=min(1.0, (least - 0.5) / max(1, n_kept)), minConfidence=min_confidence
-    ).fit(sets)
-    joined = lambda c: F.concat_ws(",", F.transform(F.array_sort(c), lambda x: x.cast("string")))
-    kept = F.lit(n_kept / max(1, n_baskets))
-    return model.associationRules.select(
-        joined("antecedent").alias("antecedent"),
-        joined("consequent").alias("consequent"),
-        "confidence",
-        (F.col("lift") / kept).alias("lift"),
-        (F.col("support") * kept).alias("support"),
+    """Rules with one consequent over itemsets of any size, in at least ``min_count`` baskets and ``min_support`` of all baskets."""
+    least = min_count
+    if min_support > 0:
+        n_all = baskets.select(basket).distinct().count()
+        least = max(min_count, math.ceil(min_support * n_all - 1e-9))
+    sets, n_baskets = frequent_itemsets(baskets, basket, item, max(1, least))
+    sets = cut(sets)
+    n = F.lit(float(max(1, n_baskets)))
+    each = sets.filter(F.size("items") > 1).select(F.col("items").alias("all"), F.col("n").alias("n_all"), F.explode("items").alias("one"))
+    rules = each.select(F.array_remove("all", F.col("one")).alias("left"), "one", "n_all")
+    left = sets.select(F.col("items").alias("left"), F.col("n").alias("n_left"))
+    one = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("one"), F.col("n").alias("n_one"))
+    joined = rules.join(left, "left").join(one, "one")
+    share = F.col("n_all").cast("double") / F.col("n_left")
+    return joined.filter(share >= min_confidence).select(
+        F.concat_ws(",", F.transform("left", lambda x: x.cast("string"))).alias("antecedent"),
+        F.col("one").cast("string").alias("consequent"),
+        share.alias("confidence"),
+        (F.col("n_all") * n / (F.col("n_left").cast("double") * F.col("n_one"))).alias("lift"),
+        (F.col("n_all") / n).alias("support"),
     )
