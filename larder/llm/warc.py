@@ -8,10 +8,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from larder.llm.common import only, utf8
+from larder.llm.common import PACKED_BYTES, only, slices, utf8
 from larder.session import cut
 
 VERSION, END = "WARC/1.1", "\r\n\r\n"
@@ -23,8 +25,8 @@ _BASE16, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWX
 
 
 class Archive(NamedTuple):
-    """``records``: record_id, page_id, record_type, refers_to (a page_id), digest, header and http (exact bytes). ``payloads``: digest (SHA-256)
-    and payload, one row for each distinct payload. Both are written tables."""
+    """``records``: record_id, page_id, record_type, refers_to (a page_id), digest, header and http (exact bytes). ``payloads``: digest (SHA-256 of
+    the payload) and packed (its bytes, compressed), one row for each distinct payload. Both are written tables."""
 
     records: DataFrame
     payloads: DataFrame
@@ -98,26 +100,47 @@ def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         "record_id", "page_id", F.when(F.col("response"), "response").otherwise("revisit").alias("record_type"),
         F.when(~F.col("response"), F.col("original_page")).alias("refers_to"), "digest", header.cast("binary").alias("header"), F.col("http").cast("binary").alias("http"),
     )
-    # The copies of a payload become one inside each task before any of them is shuffled.
-    payloads = rows.groupBy("digest").agg(F.first("payload").alias("payload"))
+    # Packed first; the copies of a payload become one inside each task before any of them is shuffled.
+    payloads = rows.select("payload").mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
     return Archive(cut(records), cut(payloads))
 
 
-def verified(payloads: DataFrame) -> DataFrame:
-    """``payloads``, each proven to have the digest it is stored under; another one is an error."""
-    good = F.unhex(F.sha2("payload", 256)) == F.col("digest")
-    return payloads.select("digest", F.when(good, F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest"))).alias("payload"))
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3)
+    for some in slices(batches, "payload"):
+        data = some.column(0).to_pylist()
+        digests = pa.array([hashlib.sha256(x).digest() for x in data], pa.binary())
+        yield pa.RecordBatch.from_arrays([digests, pa.array([pack.compress(x) for x in data], pa.binary())], ["digest", "packed"])
+
+
+def verified(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``payload`` in place of ``packed``, proven to have the digest it is stored under; another one is an error."""
+    kept = [c for c in rows.columns if c != "packed"]
+    rows = rows.select(*kept, "packed")
+    at, schema = kept.index("digest"), StructType([*[rows.schema[c] for c in kept], StructField("payload", BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for some in slices(batches, "packed", max_bytes=PACKED_BYTES):
+            data = [unpack.decompress(x) for x in some.column(len(kept)).to_pylist()]
+            for digest, payload in zip(some.column(at).to_pylist(), data, strict=True):
+                if hashlib.sha256(payload).digest() != digest:
+                    raise ValueError("a stored payload does not have its digest")
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(data, pa.binary())], [*kept, "payload"])
+
+    return rows.mapInArrow(run, schema)
 
 
 def captures(stored: Archive) -> DataFrame:
     """record_id, page_id, record_type, refers_to, header, http and the full payload of every record, revisits included."""
     names = ["record_id", "page_id", "record_type", "refers_to", "header", "http", "payload"]
-    return stored.records.join(verified(stored.payloads), "digest").select(*names)
+    return verified(stored.records.join(stored.payloads, "digest")).select(*names)
 
 
 def write_files(stored: Archive, folder: str, records_per_file: int = RECORDS_PER_FILE) -> None:
     """The archive as WARC files, compressed by gzip: of a response header, HTTP header and payload, of a revisit the headers alone."""
-    both = stored.records.filter("record_type = 'response'").join(verified(stored.payloads), "digest").select(F.concat("header", "http", "payload").alias("record"))
+    responses = stored.records.filter("record_type = 'response'").select("digest", F.concat("header", "http").alias("head"))
+    both = verified(responses.join(stored.payloads, "digest")).select(F.concat("head", "payload").alias("record"))
     both = both.unionByName(stored.records.filter("record_type = 'revisit'").select(F.concat("header", "http").alias("record")))
     # A record's end is what the writer puts after each line, so the files hold the records' bytes and nothing else.
     both.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", records_per_file).text(folder, compression="gzip", lineSep=END)

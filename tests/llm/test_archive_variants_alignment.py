@@ -10,6 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from larder.llm import alignment, variants, warc
@@ -63,7 +64,7 @@ def test_archive_is_read_back(spark, pages, tmp_path, least):
 def test_payloads_are_stored_once_and_captures_are_whole(spark, pages, tmp_path):
     stored = warc.archive(pages)
     bodies = [(r[2] or "").encode() for r in page_rows()]
-    assert sorted(bytes(r.payload) for r in stored.payloads.collect()) == sorted(set(bodies))
+    assert sorted(bytes(r.payload) for r in warc.verified(stored.payloads).collect()) == sorted(set(bodies))
     found = warc.captures(stored).collect()
     assert Counter((r.page_id, bytes(r.payload)) for r in found) == Counter((r[0], (r[2] or "").encode()) for r in page_rows())
     # The files hold the same records, byte for byte, and each header tells the length of its block.
@@ -87,7 +88,8 @@ def test_same_input_gives_the_same_records(pages):
 
 def test_damaged_archives_are_errors(spark, pages, tmp_path):
     stored = warc.archive(pages)
-    broken = warc.Archive(stored.records, stored.payloads.withColumn("payload", F.when(F.col("payload") == b"x", F.lit(b"y")).otherwise(F.col("payload"))))
+    x = F.col("digest") == hashlib.sha256(b"x").digest()
+    broken = warc.Archive(stored.records, stored.payloads.withColumn("packed", F.when(x, F.lit(zstandard.compress(b"y"))).otherwise(F.col("packed"))))
     with pytest.raises(Exception, match="does not have its digest"):
         warc.captures(broken).collect()
     with pytest.raises(ValueError, match="ends inside"):
