@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +18,8 @@ from larder.session import broadcast_if_within, cut, keep
 
 # Fixed value.
 MAX_FEATURES = 50
+# Terms that a sketch follows, candidates taken from it for each term wanted, and groups in which the tasks' sketches are merged.
+TRACKED, CANDIDATES, SKETCH_GROUPS = 50_000, 4, 64
 
 
 def category_means(df: DataFrame, cols: Sequence[str], by: str, weight: Column | None = None) -> DataFrame:
@@ -55,6 +57,7 @@ class Vocabulary:
 
     terms: list[str]
     idf: list[float]
+    totals: list[int] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
@@ -78,13 +81,64 @@ def fit_vocabulary(
     """
     weight = F.lit(1) if weight is None else weight
     top = term_totals(docs, text, weight).orderBy(F.desc("total"), "term").limit(max_features).collect()
-    terms = sorted(r["term"] for r in top)
+    total = {r["term"]: r["total"] for r in top}
+    terms = sorted(total)
     counted = term_counts(docs.withColumn("_weight", weight.cast("bigint")), text, terms, "_counts")
     seen = [F.sum(F.when(F.col("_counts")[i] > 0, F.col("_weight"))).alias(f"d{i}") for i in range(len(terms))]
     row = counted.agg(F.sum("_weight").alias("n"), *seen).first()
     n = row["n"] or 0
     idf = [math.log((1 + n) / (1 + row[f"d{i}"])) + 1.0 for i in range(len(terms))]
-    return Vocabulary(terms, idf)
+    return Vocabulary(terms, idf, [total[t] for t in terms])
+
+
+def heavy_terms(docs: DataFrame, text: str, k: int, tracked: int = TRACKED) -> tuple[list[str], int]:
+    """Candidates for the most frequent terms, and a bound that no other term's count exceeds, from one pass.
+
+    Each task follows a bounded number of terms in a mergeable frequent-items sketch; sketches are merged by groups of tasks and then as a whole, so no table
+    of all terms is shuffled. A term that a sketch does not report has at most twice its error or the least estimate reported.
+    """
+    spread = docs.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"), F.explode(S.tokens(F.col(text))).alias("term"))
+    parts = spread.groupBy("g").agg(F.call_function("approx_top_k_accumulate", F.col("term"), F.lit(tracked)).alias("s"), F.count(F.lit(1)).alias("n"))
+    parts = cut(parts)
+    if parts.isEmpty():
+        return [], 0
+    k = min(k, tracked)
+    whole = parts.agg(F.call_function("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s"), F.sum("n").alias("n"))
+    row = whole.select(F.call_function("approx_top_k_estimate", F.col("s"), F.lit(k)).alias("top"), "n").first()
+    # The sketch holds up to three quarters of a power of two of terms; its error is 3.5 of all occurrences in that power.
+    size = 1 << math.ceil(math.log2(tracked / 0.75))
+    bound = int(2 * 3.5 * row["n"] / size)
+    return [r["item"] for r in row["top"]], max(bound, row["top"][-1]["count"] if len(row["top"]) == k else 0)
+
+
+def weigh_terms(
+    docs: DataFrame, keys: list[str], text: str, max_features: int = MAX_FEATURES, out: str = "txt", tracked: int = TRACKED
+) -> tuple[DataFrame, Vocabulary]:
+    """(keys, weights) of every text in the vocabulary of the most frequent terms, and that vocabulary, from two passes over the texts.
+
+    The first finds candidates, the second counts them exactly and keeps their counts, from which totals, document counts and weights follow. Where the
+    bound of the first pass does not rule out all other terms, all terms are counted after all.
+    """
+    terms, bound = heavy_terms(docs, text, CANDIDATES * max_features, tracked)
+    vocabulary, counted = None, None
+    if terms:
+        counter = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="_tf")
+        counted = cut(counter.transform(docs.select(*keys, S.tokens(F.col(text)).alias("_tokens"))).select(*keys, "_tf"))
+        cells = counted.select(F.posexplode(vector_to_array("_tf")).alias("i", "n")).filter("n > 0")
+        seen = {r["i"]: r for r in cells.groupBy("i").agg(F.sum(F.col("n").cast("long")).alias("total"), F.count(F.lit(1)).alias("texts")).collect()}
+        totals, holding = ([seen[i][c] if i in seen else 0 for i in range(len(terms))] for c in ("total", "texts"))
+        n_texts = counted.count()
+        order = sorted(range(len(terms)), key=lambda i: (-totals[i], terms[i]))[:max_features]
+        if totals[order[-1]] > bound or (bound == 0 and len(order) < max_features):
+            chosen = sorted(order, key=lambda i: terms[i])
+            idf = [math.log((1 + n_texts) / (1 + holding[i])) + 1.0 for i in chosen]
+            vocabulary = Vocabulary([terms[i] for i in chosen], idf, [totals[i] for i in chosen])
+    if vocabulary is None:
+        vocabulary = fit_vocabulary(docs, text, max_features=max_features)
+        return add_tfidf(docs, text, vocabulary, out).select(*keys, out), vocabulary
+    dense = vector_to_array("_tf")
+    picked = bind(dense, lambda v: F.array(*[F.element_at(v, i + 1) * F.lit(w) for i, w in zip(chosen, vocabulary.idf, strict=True)]))
+    return counted.select(*keys, bind(picked, scaled_to_unit).alias(out)), vocabulary
 
 
 def term_counts(docs: DataFrame, text: str, terms: list[str], out: str) -> DataFrame:

@@ -1,14 +1,13 @@
-"""Linear reduction: full PCA, variance curve, projection, loadings, and the same variances by SVD."""
+"""Linear reduction: full PCA, variance curve, projection, loadings, and the same variances from a QR factorisation in a tree."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -106,11 +105,50 @@ def top_loadings(table: DataFrame, k: int = 6) -> DataFrame:
     return table.orderBy(F.desc("norm"), "feature").limit(k)
 
 
+# Rows of a block that one factorisation takes, and factors that the driver puts together at most.
+QR_ROWS, QR_GROUPS = 4096, 32
+
+
+def triangular_factor(df: DataFrame, features: str = "features") -> tuple[np.ndarray, int]:
+    """R of the QR factorisation of the whole matrix, and its number of rows, in one scan by a tree: of each block in a task, of what the task has so far
+    stacked on the next block, of groups of tasks, and of these few on the driver.
+
+    R has the singular values of the matrix. They are found without the product of the matrix with itself, in which the small ones drown.
+    """
+
+    def factor(batches):
+        r, n = None, 0
+        for pdf in batches:
+            for at in range(0, len(pdf), QR_ROWS):
+                x = np.array(pdf[features].iloc[at : at + QR_ROWS].tolist(), np.float64)
+                n += len(x)
+                r = np.linalg.qr(x if r is None else np.vstack([r, x]), mode="r")
+        if r is not None:
+            yield pd.DataFrame([{"r": r.tobytes(), "width": r.shape[1], "n": n}])
+
+    def stacked(parts) -> np.ndarray:
+        return np.linalg.qr(np.vstack([np.frombuffer(bytes(p), np.float64).reshape(-1, w) for p, w in parts]), mode="r")
+
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = stacked(zip(pdf["r"], pdf["width"], strict=True))
+        return pd.DataFrame([{"r": r.tobytes(), "width": r.shape[1], "n": pdf["n"].sum()}])
+
+    schema = "r binary, width int, n long"
+    rows = df.select(F.col(features).alias(features))
+    parts = rows.mapInPandas(factor, schema)
+    if df.rdd.getNumPartitions() > QR_GROUPS:
+        parts = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(QR_GROUPS)).alias("g")).applyInPandas(group, schema)
+    found = parts.collect()  # QR_GROUPS rows at most, each of a factor
+    if not found:
+        raise ValueError("no rows to factorise")
+    return stacked((p["r"], p["width"]) for p in found), sum(p["n"] for p in found)
+
+
 def svd_variances(df: DataFrame, k: int, features: str = "features") -> DataFrame:
-    """Squared singular values / (n - 1) of the centred matrix: the component variances by another route."""
-    vectors = MLUtils.convertVectorColumnsFromML(df.select(array_to_vector(F.col(features)).alias("v")), "v")
-    matrix = RowMatrix(vectors)
-    n = matrix.numRows()
-    values = matrix.computeSVD(k).s.toArray()
-    rows = [(i + 1, float(s), float(s * s / (n - 1))) for i, s in enumerate(values)]
+    """Singular values of the centred matrix and squared / (n - 1): the component variances by another route than the covariance."""
+    r, n = triangular_factor(df, features)
+    values = np.zeros(r.shape[1])
+    found = np.linalg.svd(r, compute_uv=False)
+    values[: len(found)] = found
+    rows = [(i + 1, float(s), float(s * s / (n - 1))) for i, s in enumerate(values[:k])]
     return df.sparkSession.createDataFrame(rows, "pc int, singular_value double, variance double")

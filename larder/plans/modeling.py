@@ -64,11 +64,8 @@ def _vocab_sql(source: str, key: str, text: str, weight: str, k: int) -> str:
         FROM (SELECT k, term, pos, tf * idf AS x FROM tf JOIN vocab USING (term)))"""
 
 
-def _vocabulary_rows(docs: DataFrame, text: str, weight, k: int) -> DataFrame:
-    v = FT.fit_vocabulary(docs, text, weight, k)
-    idf = docs.sparkSession.createDataFrame(list(zip(v.terms, v.idf)), "term string, idf double")
-    totals = FT.term_totals(docs, text, weight)
-    return rounded(totals.join(F.broadcast(idf), "term"), 6, "idf")
+def _vocabulary_rows(spark: SparkSession, v: FT.Vocabulary) -> DataFrame:
+    return rounded(spark.createDataFrame(list(zip(v.terms, v.totals, v.idf, strict=True)), "term string, total long, idf double"), 6, "idf")
 
 
 @query(
@@ -83,7 +80,7 @@ def tfidf_vocab(spark, d):
     names = inventory(spark, d).groupBy(F.coalesce("product_name", F.lit("")).alias("name")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    return _vocabulary_rows(names, "name", F.col("n"), FT.MAX_FEATURES)
+    return _vocabulary_rows(spark, FT.fit_vocabulary(names, "name", F.col("n"), FT.MAX_FEATURES))
 
 
 @query(
@@ -92,7 +89,7 @@ def tfidf_vocab(spark, d):
         SELECT term, CAST(total AS BIGINT) AS total, round(idf, 6) AS idf FROM vocab""",
 )
 def tfidf_vocab_documents(spark, d):
-    return _vocabulary_rows(_documents(spark, d), "text", F.lit(1), 50)
+    return _vocabulary_rows(spark, FT.weigh_terms(_documents(spark, d), ["doc_id"], "text", 50)[1])
 
 
 @query(
@@ -114,9 +111,8 @@ def tfidf_weights(spark, d):
         SELECT k AS doc_id, term, round(weight, 6) AS weight FROM tfidf""",
 )
 def tfidf_weights_documents(spark, d):
-    docs = _documents(spark, d)
-    vocabulary = FT.fit_vocabulary(docs, "text")
-    return rounded(FT.long_weights(FT.add_tfidf(docs, "text", vocabulary, "txt"), ["doc_id"], "txt", vocabulary), 6, "weight")
+    weights, vocabulary = FT.weigh_terms(_documents(spark, d), ["doc_id"], "text")
+    return rounded(FT.long_weights(weights, ["doc_id"], "txt", vocabulary), 6, "weight")
 
 
 # --- numeric features ----------------------------------------------------------------------------------------------
