@@ -312,6 +312,58 @@ def variance_threshold(spark, d):
     return big(R.first_reaching(shares, "hour", "share", R.VARIANCE_KEPT))
 
 
+POWERS = 8
+
+
+def _power_sums_sql() -> str:
+    """Traces of the powers of the correlation matrix, divided by its trace: the sums of the powers of the components' shares."""
+    steps = ",\n".join(
+        f"p{k} AS MATERIALIZED (SELECT a.i, b.j, sum(a.c * b.c) AS c FROM p{k - 1} a JOIN p1 b ON a.j = b.i GROUP BY 1, 2)" for k in range(2, POWERS + 1)
+    )
+    traces = " UNION ALL ".join(f"SELECT CAST({k} AS BIGINT) AS power, round(sum(c), 9) AS power_sum FROM p{k} WHERE i = j" for k in range(1, POWERS + 1))
+    return with_views(
+        "inventory",
+        f"""{MATRIX}, cov AS MATERIALIZED (SELECT a.pos AS i, b.pos AS j, covar_samp(a.x, b.x) AS c FROM fm a JOIN fm b USING (row_id) GROUP BY 1, 2),
+          p1 AS MATERIALIZED (SELECT i, j, c / (SELECT sum(c) FROM cov WHERE i = j) AS c FROM cov), {steps} {traces}""",
+    )
+
+
+@query("pca_power_sums", _power_sums_sql())
+def pca_power_sums(spark, d):
+    """Sums of the first powers of the shares of variance, which fix the shares themselves."""
+    ratio = np.asarray(reduced(spark, d)[1].ratio)
+    rows = [(k, float((ratio**k).sum())) for k in range(1, POWERS + 1)]
+    return rounded(spark.createDataFrame(rows, "power long, power_sum double"), 9, "power_sum")
+
+
+@query(
+    "pca_row_norms",
+    with_views("inventory", MATRIX + " SELECT row_id, round(sum(x * x), 6) AS squared_norm FROM fm GROUP BY 1"),
+)
+def pca_row_norms(spark, d):
+    """All coordinates of a row together are as long as the row: nothing is lost or stretched by the projection."""
+    matrix, c, names = reduced(spark, d)
+    scored = R.project(matrix, c, len(names))
+    norm = F.aggregate("pca", F.lit(0.0), lambda acc, x: acc + x * x)
+    return rounded(scored.select("row_id", norm.alias("squared_norm")), 6, "squared_norm")
+
+
+@query(
+    "pca_loading_norms",
+    with_views(
+        "inventory",
+        MATRIX + """, cov AS (SELECT a.pos AS i, b.pos AS j, min(a.name) AS a, min(b.name) AS b, covar_samp(a.x, b.x) AS c
+            FROM fm a JOIN fm b USING (row_id) WHERE a.pos <= b.pos GROUP BY 1, 2) SELECT a AS feature_a, b AS feature_b, round(c, 6) + 0.0e0 AS covariance FROM cov""",
+    ),
+)
+def pca_loading_norms(spark, d):
+    """Products of the loadings of every two features over all components: their covariance."""
+    _, c, names = reduced(spark, d)
+    table = {r["feature"]: np.array([r[f"l{i + 1}"] for i in range(len(names))]) for r in R.loadings(spark, c, names, len(names)).collect()}
+    rows = [(a, b, float(table[a] @ table[b])) for i, a in enumerate(names) for b in names[i:]]
+    return spark.createDataFrame(rows, "feature_a string, feature_b string, covariance double").withColumn("covariance", F.round("covariance", 6) + 0.0)
+
+
 @query("pca_reduced")
 def pca_reduced(spark, d):
     matrix, c, _ = reduced(spark, d)
