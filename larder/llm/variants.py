@@ -23,6 +23,8 @@ LETTERS = "A-Za-zÀ-ÿ"
 HELD_WORDS = 200_000
 #: A partition of more words than this is dealt out as pairs of tiles of half the size.
 TILE = 40_000
+#: Words of partitions that a task is given, on average.
+TASK_WORDS = 20_000
 
 
 def vocabulary(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, error_rate: int = ERROR_RATE) -> DataFrame:
@@ -268,7 +270,9 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, tile: int = TILE)
         yield from closed()
 
     by = ["side", "start", "low", "high"]
-    found = usual.unionByName(large).repartition(*by).sortWithinPartitions(*by, "form").mapInArrow(run, "word string, near long, n long, name string")
+    # The work on a word is far more than its bytes tell, so the tasks follow the number of words.
+    tasks = max(1, -(-sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] // TASK_WORDS))
+    found = usual.unionByName(large).repartition(tasks, *by).sortWithinPartitions(*by, "form").mapInArrow(run, "word string, near long, n long, name string")
     return found.groupBy("word").agg(F.sum("near").alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), F.col("name").alias("word"))).alias("best"))
 
 

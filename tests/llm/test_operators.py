@@ -522,6 +522,39 @@ def test_classifier_learns_on_rows_it_did_not_see(spark):
     assert all(r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for r in found)
 
 
+def plain_ftrl(examples):
+    """FTRL-proximal as published, one coordinate after another."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= classifier.L1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * classifier.L1) / ((classifier.BETA + n[i] ** 0.5) / classifier.ALPHA + classifier.L2)
+
+    rows = [(dict(zip(at.tolist(), x.tolist(), strict=True)), label) for (at, x), label in ((classifier.features(t), y) for t, y in examples)]
+    for _ in range(classifier.EPOCHS):
+        for x, label in rows:
+            w = {i: weight(i) for i in x}
+            p = 1.0 / (1.0 + np.exp(-max(-35.0, min(35.0, sum(w[i] * v for i, v in x.items())))))
+            for i, v in x.items():
+                g = (p - label) * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / classifier.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_equals_plain_updates():
+    rng = random.Random(12)
+    names = ["alpha", "beta", "gamma", "delta", "eps", "%%%", "###"]
+    examples = [(" ".join(rng.choices(names, weights=[4, 3, 2, 2, 1, 1 + 3 * (k % 2), 1], k=rng.randint(0, 15))).encode(), (k + 1) % 2) for k in range(60)]
+    found, want = classifier.train(examples), plain_ftrl(examples)
+    assert sum(w != 0 for w in want.values()) > 10 and sum(w == 0 for w in want.values()) > 0
+    assert np.flatnonzero(found).tolist() == sorted(i for i, w in want.items() if w != 0)
+    assert all(found[i] == pytest.approx(w, abs=1e-12) for i, w in want.items())
+
+
 def test_held_out_labels_are_never_used(spark):
     docs = spark.createDataFrame([(k, f"word{k} text", "en", "s", 0) for k in range(40)], DOCS)
     def fit(flip):
