@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from larder.session import cut
+
 # Longest pause inside a session, in seconds, by event type.
 SESSION_GAP = {"IN": 3600, "OUT": 900}
 
@@ -37,6 +39,10 @@ def session_bins(events: DataFrame, gap: int, key: str = "household_id") -> Data
         F.count(F.lit(1)).alias("n_events"),
         F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
     )
+    return _numbered(bins, gap, key)
+
+
+def _numbered(bins: DataFrame, gap: int, key: str) -> DataFrame:
     w = W.partitionBy(key).orderBy("bin")
     pause = micros(F.col("first_ts")) - micros(F.lag("last_ts").over(w))
     flagged = bins.withColumn("_new", F.when(pause <= gap * 1_000_000, 0).otherwise(1))
@@ -44,21 +50,30 @@ def session_bins(events: DataFrame, gap: int, key: str = "household_id") -> Data
 
 
 def sessions(movements: DataFrame, event_type: str, gap: int | None = None) -> DataFrame:
-    """One row per session: start, last event, events, quantity and distinct products."""
+    """One row per session: start, last event, events, quantity and distinct products.
+
+    The log is read once, into rows of a bin and a product; the bins' borders and the sessions' products both follow from these.
+    """
     gap = SESSION_GAP[event_type] if gap is None else gap
     events = movements.filter(F.col("event_type") == event_type)
-    bins = session_bins(events, gap)
+    cells = cut(
+        events.groupBy("household_id", time_bin(F.col("timestamp"), gap).alias("bin"), "product_id").agg(
+            F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
+            F.count(F.lit(1)).alias("n_events"), F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
+        )
+    )
+    whole = cells.groupBy("household_id", "bin").agg(
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_events").alias("n_events"), F.sum("quantity").alias("quantity")
+    )
+    bins = _numbered(whole, gap, "household_id")
     spans = bins.groupBy("household_id", "session_no").agg(
         F.min("first_ts").alias("session_start"),
         F.max("last_ts").alias("session_end"),
         F.sum("n_events").alias("n_events"),
         F.sum("quantity").alias("quantity"),
     )
-    kinds = (
-        session_products(movements, event_type, gap)
-        .groupBy("household_id", "session_no")
-        .agg(F.count("product_id").alias("n_products"))
-    )
+    seen = _same(cells.select("household_id", "bin", "product_id"), bins.select("household_id", "bin", "session_no"), ["household_id", "bin"])
+    kinds = seen.select("household_id", "session_no", "product_id").distinct().groupBy("household_id", "session_no").agg(F.count("product_id").alias("n_products"))
     return _same(spans, kinds, ["household_id", "session_no"])
 
 
