@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from larder.functions.scalars import STOP_WORDS
+from larder.functions.scalars import DEFAULT_SHELF_LIFE, LAST_SCORE, MISSING_SCORE, SCORE_UPPER_BOUNDS, SHELF_LIFE_DAYS, STOP_WORDS
+from larder.sources.bindings import DEPARTMENT_BY_TYPE, NOT_FOUND, NOT_LISTED, OTHER_DEPARTMENT
 
 SCORE = (
-    "CASE WHEN {0} IS NULL THEN 'Falta Dato' WHEN {0} < 50 THEN 'A' WHEN {0} < 150 THEN 'B' "
-    "WHEN {0} < 300 THEN 'C' ELSE 'D' END"
-)
-SHELF = "CASE {0} WHEN 4 THEN 7 WHEN 16 THEN 12 WHEN 7 THEN 30 WHEN 13 THEN 120 WHEN 19 THEN 45 ELSE 14 END"
-DEPARTMENT = (
-    "CASE p_type WHEN 'STANDARD' THEN 4 WHEN 'ECONOMY' THEN 16 WHEN 'MEDIUM' THEN 7 WHEN 'PROMO' THEN 13 "
-    "WHEN 'SMALL' THEN 19 ELSE 20 END"
+    f"CASE WHEN {{0}} IS NULL THEN '{MISSING_SCORE}' " + " ".join(f"WHEN {{0}} < {bound:g} THEN '{grade}'" for grade, bound in SCORE_UPPER_BOUNDS) + f" ELSE '{LAST_SCORE}' END"
 )
+SHELF = "CASE {0} " + " ".join(f"WHEN {k} THEN {days}" for k, days in SHELF_LIFE_DAYS.items()) + f" ELSE {DEFAULT_SHELF_LIFE} END"
+DEPARTMENT = "CASE p_type " + " ".join(f"WHEN '{t}' THEN {k}" for t, k in DEPARTMENT_BY_TYPE.items()) + f" ELSE {OTHER_DEPARTMENT} END"
 
 _VIEWS: dict[str, tuple[list[str], str]] = {
     "products": (
@@ -27,7 +24,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
                     CAST(product_id % 90 AS DOUBLE) AS carbs_100g,
                     CASE WHEN product_id % 10 = 3 THEN NULL ELSE product_id * 5.0e0 END AS calories_100g,
                     product_id, product_name, department_id AS category
-                  FROM products WHERE brand <> 'Brand#3')""",
+                  FROM products WHERE brand <> '{NOT_LISTED}')""",
     ),
     "raw_movements": (
         [],
@@ -56,8 +53,8 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
     "vectors": ([], "SELECT vec_id AS row_id, list_transform(embedding, lambda x: x::DOUBLE * 2) AS f FROM embeddings"),
     "nutrition": (
         ["products"],
-        """SELECT trim(replace(product_name, 'Organic', '')) AS name_key, product_id AS rank, size FROM products
-           WHERE brand <> 'Brand#8'""",
+        f"""SELECT trim(replace(product_name, 'Organic', '')) AS name_key, product_id AS rank, size FROM products
+           WHERE brand <> '{NOT_FOUND}'""",
     ),
     "baskets": ([], "SELECT DISTINCT l_orderkey AS basket, l_partkey AS item FROM lineitem"),
 }
