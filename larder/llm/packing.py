@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.bpe import encoder, vocabulary_path
@@ -23,7 +23,7 @@ def tokenized(documents: DataFrame, path: str, doc_id: str, text: str, source: s
     """row, doc_id, queue, tokens and ids (packed, compressed, the end id left out), written once so that ``row`` stays what it is."""
     docs = only(documents, doc_id=doc_id, text=text, source=source).select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string"))).alias("queue"),
+        _queue(F.col("source")).alias("queue"),
         utf8(F.col("text")).alias("text"),
     )
 
@@ -41,13 +41,48 @@ def tokenized(documents: DataFrame, path: str, doc_id: str, text: str, source: s
     return cut(docs.mapInArrow(run, f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, queue string, tokens long, ids binary"))
 
 
-def layout(lengths: DataFrame, sequence: int = SEQUENCE, packet: int = PACKET) -> DataFrame:
+def _queue(source: Column) -> Column:
+    """The queue's name; that of a null source is empty."""
+    return F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source.cast("string")))
+
+
+def _served(targets: Mapping[str | None, float], bases: DataFrame, whole: int) -> Callable[[Column, Column, Column], Column]:
+    """Share of all tokens that is out when token ``done`` of a queue's ``total`` is, under target proportions.
+
+    While a queue has tokens, it is served at the rate of its target, all at the same virtual time v: a queue with target w and t tokens has
+    had min(t, w v), and it is dry at v = t / w, after which the others go on in proportion. Sources without a target share what the targets leave of 1 in the
+    proportion of their tokens, like one queue; where nothing is left, they come when all others are dry.
+    """
+    named = {"" if k is None else f"={k}": float(w) for k, w in targets.items()}
+    if any(not math.isfinite(w) or w <= 0 for w in named.values()) or sum(named.values()) > 1 + 1e-9:
+        raise ValueError("targets are positive and add up to 1 at most")
+    known = bases.filter(F.col("queue").isin(list(named))).select("queue", "total").distinct().collect()  # a row for each target at most
+    had = {r.queue: r.total for r in known}
+    left = max(0.0, 1.0 - sum(named.values()))
+    others = whole - sum(had.values())
+    lanes = [(had[q], w) for q, w in named.items() if q in had] + ([(others, left)] if others and left > 1e-9 else [])
+
+    def share(queue: Column, done: Column, total: Column) -> Column:
+        rate = F.lit(None).cast("double")
+        for q, w in named.items():
+            rate = F.when(queue == q, F.lit(w)).otherwise(rate)
+        at = F.when(rate.isNotNull(), done / rate)
+        if left > 1e-9:
+            at = F.coalesce(at, done / total * (others / left))
+        out = sum((F.least(F.lit(float(t)), at * w) for t, w in lanes), F.lit(0.0))
+        # Without a rate of its own: behind all that has one.
+        return F.coalesce(out, whole - others + done / total * float(others)) / float(whole)
+
+    return share
+
+
+def layout(lengths: DataFrame, sequence: int = SEQUENCE, packet: int = PACKET, targets: Mapping[str | None, float] | None = None) -> DataFrame:
     """Pieces (row, start, length, sequence_id, offset) of rows with (row, queue, tokens).
 
     A round gives each queue its share of one sequence, its quantum; a queue sends its head packet (at most ``packet`` tokens of
     a document) once the quanta so far cover what it has sent and half of that packet, and carries the rest as its deficit. So the round of
     a packet whose middle is token c of its queue's t is ceil(c * rounds / t) - 1: no queue needs to know another one's state, and
-    running totals by part of the input carry every deficit across windows and partitions.
+    running totals by part of the input carry every deficit across windows and partitions. With ``targets`` the quanta follow these instead of the queues' shares of the input.
     """
     spark = lengths.sparkSession
     # Running totals in each queue, in two steps: a hot queue is spread over all parts of the input.
@@ -66,7 +101,8 @@ def layout(lengths: DataFrame, sequence: int = SEQUENCE, packet: int = PACKET) -
     starts = F.sequence(F.lit(0).cast("long"), F.col("tokens") - 1, F.lit(packet).cast("long"))
     packets = queued.select("row", "queue", "tokens", (F.col("base") + F.col("upto") - F.col("tokens")).alias("before"), "total", F.explode(starts).alias("start"))
     packets = packets.withColumn("length", F.least(F.lit(packet).cast("long"), F.col("tokens") - F.col("start")))
-    share = (F.col("before") + F.col("start") + F.col("length") / 2.0) / F.col("total")
+    middle = F.col("before") + F.col("start") + F.col("length") / 2.0
+    share = middle / F.col("total") if targets is None else _served(targets, bases, whole.tokens)(F.col("queue"), middle, F.col("total"))
     packets = packets.withColumn("round", F.ceil(share * float(rounds)) - 1).withColumn("group", F.floor(F.col("round") * groups / float(rounds)).cast("int"))
     packets = cut(packets.select("row", "queue", "start", "length", "round", "group"))
     # Places in the one stream of tokens, in two steps again.
@@ -91,18 +127,19 @@ def layout(lengths: DataFrame, sequence: int = SEQUENCE, packet: int = PACKET) -
 
 def pack(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", path: str | None = None,
-    sequence: int = SEQUENCE, packet: int = PACKET, end_id: int = END_ID,
+    sequence: int = SEQUENCE, packet: int = PACKET, end_id: int = END_ID, targets: Mapping[str | None, float] | None = None,
 ) -> DataFrame:
     """Pieces of token sequences: doc_id, start, length, doc_tokens, sequence_id, offset and ids (little-endian unsigned 32-bit).
 
     Each document is its ids and then ``end_id``; it is cut freely, and every id lies in exactly one piece. All sequences but the last
-    are full. After every round each source has had its share of all tokens, up to half a packet. A null source is a queue of its
+    are full. After every round each source has had its share of all tokens, up to half a packet; with ``targets`` (proportions by source, null included, of 1 together at
+    most) its target share of them, as long as it has tokens: what a dry source leaves goes to the others in proportion. A null source is a queue of its
     own; a null or empty text is the end id alone; repeated rows are documents of their own, and a null doc_id is kept. An empty table
     gives no rows, and other columns are ignored.
     """
     path = path or vocabulary_path()
     tokens = tokenized(documents, path, doc_id, text, source)
-    pieces = layout(tokens.select("row", "queue", "tokens"), sequence, packet)
+    pieces = layout(tokens.select("row", "queue", "tokens"), sequence, packet, targets)
     lists = pieces.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("pieces"))
     both = tokens.select("row", "doc_id", "tokens", "ids").join(lists, "row").select("doc_id", "tokens", "ids", "pieces")
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]

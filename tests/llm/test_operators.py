@@ -116,6 +116,78 @@ def test_packing_holds_the_mixture(spark):
         assert np.abs(np.cumsum(each)[:-1] - share * 128 * np.arange(1, sequences)).max() <= allowed
 
 
+def round_robin(queues, sequence, packet, targets=None):
+    """Pieces of a plainly run deficit round-robin: in each round every queue that has tokens gets its quantum, sends head packets while its
+    credit covers half of the next one, and carries the rest. ``queues`` are lists of (row, tokens) by name."""
+    packets = {q: [(row, a, min(packet, n - a)) for row, n in rows for a in range(0, n, packet)] for q, rows in queues.items()}
+    left = {q: sum(p[2] for p in ps) for q, ps in packets.items()}
+    whole = sum(left.values())
+    rounds = max(1, -(-whole // sequence))
+    rate = {q: (left[q] if targets is None else targets[q]) for q in queues}
+    credit, sent, stream = dict.fromkeys(queues, 0.0), dict.fromkeys(queues, 0.0), []
+    for _ in range(rounds):
+        budget = whole / rounds
+        # What a queue cannot use goes to the others in proportion.
+        while budget > 1e-9:
+            live = [q for q in queues if left[q] > 1e-9]
+            if not live:
+                break
+            step = min(budget, *[left[q] * sum(rate[x] for x in live) / rate[q] for q in live])
+            for q in live:
+                part = step * rate[q] / sum(rate[x] for x in live)
+                credit[q] += part
+                left[q] -= part
+            budget -= step
+        for q in sorted(queues):
+            while packets[q] and credit[q] - sent[q] >= packets[q][0][2] / 2 - 1e-6:
+                stream.append(packets[q].pop(0))
+                sent[q] += stream[-1][2]
+    assert not any(packets.values())
+    pieces, at = [], 0
+    for row, start, n in stream:
+        while n:
+            room = min(n, sequence - at % sequence)
+            pieces.append((row, start, room, at // sequence, at % sequence))
+            start, n, at = start + room, n - room, at + room
+    return sorted(pieces)
+
+
+@pytest.mark.parametrize("targets", [None, {"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 0.1, "b": 0.1, "c": 0.8}])
+def test_packing_is_a_plain_deficit_round_robin(spark, targets):
+    """Also under targets that let queues run dry one after another."""
+    rng = random.Random(3)
+    rows = [(k, rng.choices("abc", weights=[6, 3, 1])[0], rng.randint(1, 90)) for k in range(300)]
+    table = spark.createDataFrame([(k, f"={q}", n) for k, q, n in rows], "row long, queue string, tokens long").repartition(4)
+    found = packing.layout(table, 64, 16, targets).select("row", "start", "length", "sequence_id", "offset").collect()
+    queues = {q: [(k, n) for k, x, n in rows if x == q] for q in "abc"}
+    assert sorted(map(tuple, found)) == round_robin(queues, 64, 16, targets)
+
+
+def test_packing_follows_targets(spark):
+    """A scarce source is used up first; sources without a target share the rest, or wait where there is none."""
+    rows = [(k, "word " * 30, "en", ["scarce", "big", None, "other"][min(3, k % 8)], 0) for k in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    source = {r[0]: r[3] for r in rows}
+
+    def mixture(targets):
+        found = packing.pack(docs, sequence=128, packet=16, targets=targets).collect()
+        assert sum(r.length for r in found) == 400 * 31
+        by = defaultdict(Counter)
+        for r in found:
+            by[r.sequence_id][source[r.doc_id]] += r.length
+        return by
+
+    half = mixture({"scarce": 0.5, None: 0.25})
+    first = sum((half[k] for k in range(20)), Counter())
+    assert first["scarce"] / 2560 == pytest.approx(0.5, abs=0.02) and first[None] / 2560 == pytest.approx(0.25, abs=0.02)
+    assert first["other"] / first["big"] == pytest.approx(5, rel=0.15)
+    whole = mixture({"scarce": 0.6, "big": 0.4, "absent": 1e-9})
+    assert sum((whole[k] for k in range(20)), Counter()).keys() == {"scarce", "big"}
+    assert not set(whole[max(whole)]) & {"scarce", "big"}
+    with pytest.raises(ValueError, match="targets"):
+        packing.pack(docs, targets={"scarce": 0.7, "big": 0.6})
+
+
 def test_packing_does_not_depend_on_groups(spark, docs, monkeypatch):
     columns = ["row", "start", "length", "sequence_id", "offset"]
     lengths = spark.range(300).select((F.col("id") + (F.col("id") % 3) * 2**33).alias("row"), F.concat(F.lit("q"), F.col("id") % 7).alias("queue"), (F.col("id") % 90 + 1).alias("tokens"))
