@@ -115,6 +115,14 @@ def daily_ledger(movements: DataFrame, as_of: Column | None = None) -> DataFrame
     return balances.unionByName(written)
 
 
+def lot_state(movements: DataFrame, as_of: Column) -> DataFrame:
+    """What a stream has to know of each lot to go on behind the day ``as_of``: its balance after that day's write-offs, and the latest expiry that is
+    still to be written off (NULL without one)."""
+    last = F.max_by(F.struct("balance", "due_day", "expiry_date"), "term").alias("last")
+    state = lot_terms(movements, as_of).groupBy(*LOT).agg(last)
+    return state.select(*LOT, F.col("last.balance").alias("balance"), F.when(F.col("last.due_day") > as_of, F.col("last.expiry_date")).alias("expiry"))
+
+
 def movements_with_writeoffs(purchases: DataFrame, consumption: DataFrame, writeoffs: DataFrame) -> DataFrame:
     """One log from the three kinds of rows."""
     cols = [c for c in purchases.columns if c in writeoffs.columns]

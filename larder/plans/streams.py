@@ -8,8 +8,9 @@ from larder.operators import ledger as L
 from larder.plans.registry import query
 from larder.plans.relational import LOT_STATES, _numbered, big
 from larder.plans.views import with_views
+from larder.session import cut
 from larder.sources import bindings as B
-from larder.streaming.ledger import STATE_STORE, ledger_stream
+from larder.streaming.ledger import STATE_STORE, ledger_stream, on_time_and_late
 from larder.streaming.run import drain
 from larder.streaming.sessions import session_stream
 
@@ -43,6 +44,19 @@ def stream_ledger(spark, d):
     return big(rows.filter((F.col("kind") == "balance") | (F.col("day") <= last)))
 
 
+@query("ledger_handover", LEDGER_ROWS)
+def ledger_handover(spark, d):
+    """The first half of the log as a batch, the rest as a stream that starts from the state the batch has left: together the rows of the whole log."""
+    log = B.movements(spark, d)
+    days = log.agg(F.min(F.to_date("timestamp")).alias("first"), F.max(F.to_date("timestamp")).alias("last")).first()
+    closed, last = F.lit(days["first"] + (days["last"] - days["first"]) // 2), F.lit(days["last"])
+    early = cut(on_time_and_late(log, closed)[1])
+    stream = on_time_and_late(B.movement_stream(spark, d), closed)[0]
+    later = B.without_closing(drain(ledger_stream(stream, start=cut(L.lot_state(early, closed))), "handover", STATE_STORE))
+    later = later.filter((F.col("kind") == "balance") | (F.col("day") <= last))
+    return big(L.daily_ledger(early, closed).unionByName(later))
+
+
 @query("daily_ledger", LEDGER_ROWS)
 def daily_ledger(spark, d):
     """The same rows from the table."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -52,6 +52,14 @@ class LotLedger(StatefulProcessor):
         self.handle = handle
         self.lot = handle.getValueState("lot", STATE)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """A lot as the batch left it."""
+        row = initialState.iloc[0]
+        expiry = int(row["expiry"])
+        self.lot.update((int(row["balance"]), expiry))
+        if expiry != NO_EXPIRY:
+            self.handle.registerTimer(_closes(expiry))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         balance, expiry = self.lot.get() if self.lot.exists() else (0, NO_EXPIRY)
         before, out = expiry, []
@@ -85,10 +93,18 @@ class LotLedger(StatefulProcessor):
         pass
 
 
-def ledger_stream(movements: DataFrame, lateness: str = "1 day") -> DataFrame:
+def on_time_and_late(movements: DataFrame, closed: Column) -> tuple[DataFrame, DataFrame]:
+    """Movements behind the day up to which a batch has closed the books, and those of closed days, which belong in a table of their own: the
+    balances that they would change are given out already."""
+    day = F.to_date("timestamp")
+    return movements.filter(day > closed), movements.filter(day <= closed)
+
+
+def ledger_stream(movements: DataFrame, lateness: str = "1 day", start: DataFrame | None = None) -> DataFrame:
     """(household_id, stock_id, kind, day, quantity): the balance after each day with movements, and write-offs.
 
-    The query has to run with the RocksDB state store (``STATE_STORE``).
+    ``start`` is the state a batch has left (``operators.ledger.lot_state``); the stream then takes up movements behind that day. The query has to run with the
+    RocksDB state store (``STATE_STORE``).
     """
     days = lambda c: F.unix_date(c).cast("bigint")
     events = movements.select(
@@ -107,4 +123,5 @@ def ledger_stream(movements: DataFrame, lateness: str = "1 day") -> DataFrame:
         "net",
         "expiry",
     )
-    return rows.groupBy(*LOT).transformWithStateInPandas(LotLedger(), OUTPUT, "Append", "EventTime")
+    opening = None if start is None else start.select(*LOT, "balance", F.coalesce(days(F.col("expiry")), F.lit(NO_EXPIRY)).alias("expiry")).groupBy(*LOT)
+    return rows.groupBy(*LOT).transformWithStateInPandas(LotLedger(), OUTPUT, "Append", "EventTime", opening)
