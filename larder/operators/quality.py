@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.ledger import LOT, signed_quantity
@@ -23,6 +23,27 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def observed_write(df: DataFrame, path: str, measures: Mapping[str, Column]) -> dict[str, object]:
+    """Write a table and return what the aggregates ``measures`` of its rows are, taken in the tasks of that write: no scan of their own."""
+    seen = Observation()
+    df.observe(seen, *[c.alias(name) for name, c in measures.items()]).write.parquet(path)
+    return seen.get
+
+
+def profile_measures(df: DataFrame, domains: Mapping[str, Sequence[str]] = DOMAINS) -> dict[str, Column]:
+    """Rows, nulls of every column and values outside the domains, as aggregates of one pass."""
+    rows = {"rows": F.count(F.lit(1))}
+    nulls = {f"nulls {c}": F.count_if(F.col(c).isNull()) for c in df.columns}
+    return rows | nulls | {f"bad {c}": F.count_if(~F.col(c).isin(*values)) for c, values in domains.items()}
+
+
+def profile_rows(spark: SparkSession, df: DataFrame, seen: Mapping[str, object], domains: Mapping[str, Sequence[str]] = DOMAINS) -> DataFrame:
+    """(column, n_rows, nulls, null_share, bad) from observed measures; ``bad`` is NULL for a column without a domain. A row for each column."""
+    n = seen["rows"]
+    rows = [(c, n, seen[f"nulls {c}"], seen[f"nulls {c}"] / n if n else None, seen[f"bad {c}"] if c in domains else None) for c in df.columns]
+    return spark.createDataFrame(rows, "column string, n_rows long, nulls long, null_share double, bad long")
+
+
 def domain_checks(df: DataFrame, domains: Mapping[str, Sequence[str]] = DOMAINS) -> DataFrame:
     """Per column: values outside the domain and nulls, in one pass."""
     cols = list(domains)
@@ -65,6 +86,11 @@ def check_row(component: str, check: str, severity: str, df: DataFrame, passed:
     )
 
 
+def known_row(spark: SparkSession, component: str, check: str, severity: str, passed: bool) -> DataFrame:
+    """One check result from a measure that is known already."""
+    return spark.createDataFrame([(component, check, severity, passed)], "component string, check string, severity string, passed boolean")
+
+
 def union_checks(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
