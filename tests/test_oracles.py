@@ -31,7 +31,7 @@ def test_every_oracle_has_its_query():
 
 
 # Minutes each, so only on demand (LARDER_SLOW=1); check_oracles.py runs them too.
-SLOW = {"hdbscan_checks", "kmeans_checks", "gmm_checks", "segmentation"}
+SLOW = {"hdbscan_checks", "kmeans_checks", "gmm_checks", "segmentation", "segmentation_refined"}
 CHOSEN = [q for q in sorted(entry.oracle_sql()) if q not in SLOW or os.environ.get("LARDER_SLOW")]
 
 
