@@ -230,7 +230,7 @@ def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and text of the rows of ``encode``, as the library decodes them, special tokens kept."""
+    """doc_id and text of the rows of ``encode``, as the library decodes them, special tokens kept; no ids give an empty text."""
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +242,8 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def digests(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, bits: int = CHUNK_BITS) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text: ``encode`` and ``decode`` with only digests kept, made in the same tasks."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text: ``encode`` and ``decode`` with only digests kept, made in the same tasks. Rows are
+    those of ``encode``: null texts are empty, repeated rows give repeated rows, an empty table gives none."""
     path = path or vocabulary_path()
     result = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _encoded(documents, doc_id, text, path, bits, lambda ids: _digests(path).row(ids), result)

@@ -104,13 +104,16 @@ def score(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOL
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``score`` of every row of ``documents`` with the weights that ``fit`` learns from ``labels``: repeated rows give repeated rows, an empty table gives none, and
+    without any usable label every score is 0.5."""
     return score(documents, fit(documents, labels))
 
 
 def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, training: DataFrame | None = None) -> DataFrame:
     """The rows of ``documents`` that score at least ``threshold``, with all their columns.
 
-    The fit uses ``training``, or ``documents`` themselves without it. Rows that an earlier rule has filtered hold few examples of label 0.
+    The fit uses ``training``, or ``documents`` themselves without it. Rows that an earlier rule has filtered hold few examples of label 0. Repeated rows stay or go
+    together, null and empty texts are scored by the bias, an empty table stays empty; without any usable label nothing reaches 0.7, and no row is kept.
     """
     weights = fit(documents if training is None else training, labels)
     return filtered(documents, lambda text: probability(text, weights) >= threshold)

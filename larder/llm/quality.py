@@ -155,11 +155,13 @@ def score(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
 
 
 def quality_rules(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``score`` of every row of ``documents`` with the ratio of its own corpus: repeated rows give repeated rows (and count each time), an empty table gives none."""
     return score(documents, fit_ratio(documents, labels), threshold)
 
 
 def kept_documents(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """The rows of ``documents`` that the rules keep, with all their columns and without a shuffle of them."""
+    """The rows of ``documents`` that the rules keep, with all their columns and without a shuffle of them. Repeated rows stay or go together, null and empty
+    texts go, an empty table stays empty; without a document labelled 1 only the base rule decides."""
     ratio = fit_ratio(documents, labels)
 
     def good(data: bytes) -> bool:

@@ -15,7 +15,7 @@ from larder.llm.bpe import WordEncoder, encoder, vocabulary_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.
-CLASHES = ["row", "node", "fp", "text_key", "kept", "size", "shard", "slot", "ids", "tokens", "queue", "anchor", "mask", "u", "v", "n", "key", "cell", "component", "record"]
+CLASHES = ["row", "node", "fp", "text_key", "kept", "size", "shard", "slot", "ids", "tokens", "queue", "anchor", "mask", "u", "v", "n", "key", "cell", "component", "record", "shift", "start", "pair", "label", "order"]
 SPACE = "\t\n\x0b\x0c\r "
 
 
