@@ -25,7 +25,7 @@ MAX_ITER = 300
 TOLERANCE = 1e-4
 # Added to the variances of a mixture's components.
 REGULARISATION = 1e-6
-# Rows of a block, rows that starts are drawn from, and arrays that the driver adds up at most.
+# Rows of a block, rows that starts are drawn from, and arrays that one task adds up at most.
 PACKED_ROWS, SEED_ROWS, GROUPS = 4096, 4096, 32
 
 RESULT_SCHEMA = (
@@ -81,10 +81,11 @@ class Rows:
         self.blocks = cut(packed)
         known = self.blocks.agg(F.sum("n").alias("n"), F.max(F.octet_length("coords") / 8 / F.col("n")).alias("d")).first()
         self.n, self.width = known["n"] or 0, int(known["d"] or 0)
+        self.n_parts = self.blocks.rdd.getNumPartitions()
 
     def added_up(self, sums: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
         """The sum over all blocks of an array of ``size`` numbers that ``sums`` makes of a block's rows: added up in each task, then by groups of
-        tasks, so that the driver adds a few arrays however many tasks there are."""
+        tasks, then those groups in one, so that one array comes to the driver however many tasks there are."""
         width = self.width
 
         def partial(batches):
@@ -99,11 +100,21 @@ class Rows:
         def group(pdf: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"part": [sum(np.frombuffer(p, np.float64) for p in pdf["part"]).tobytes()]})
 
+        def last(batches):
+            total = None
+            for pdf in batches:
+                made = sum(np.frombuffer(p, np.float64) for p in pdf["part"])
+                total = made if total is None else total + made
+            if total is not None:
+                yield pd.DataFrame({"part": [total.tobytes()]})
+
         parts = self.blocks.select("coords").mapInPandas(partial, "part binary")
-        if self.blocks.rdd.getNumPartitions() > GROUPS:
+        if self.n_parts > GROUPS:
             parts = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).applyInPandas(group, "part binary")
+        if self.n_parts > 1:
+            parts = parts.repartition(1).mapInPandas(last, "part binary")  # GROUPS rows at most
         out = np.zeros(size)
-        for row in parts.collect():  # GROUPS rows at most
+        for row in parts.collect():
             out += np.frombuffer(bytes(row["part"]), np.float64)
         return out
 

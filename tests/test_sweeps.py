@@ -166,3 +166,13 @@ def test_all_sizes_share_their_distances(spark):
     want = np.sort(brute.distances(x), axis=1)
     for r in points_.to_rows(cores.select("pid", "cores")).collect():
         assert np.allclose(r.cores, want[r.row_id][[2, 9, 24]], atol=1e-9)
+
+
+def test_one_array_comes_to_the_driver(spark, monkeypatch):
+    x = points(3)
+    rows = K.Rows(frame(spark, x).repartition(7), "features")
+    kind, seen = type(rows.blocks), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    assert np.allclose(rows.added_up(lambda y: y.sum(axis=0), 3), x.sum(axis=0))
+    assert rows.n_parts > 1 and [len(s) for s in seen] == [1]
