@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import blocks as BL
 from larder.operators import density as D
+from larder.operators import evaluation as E
 from larder.operators import hierarchy as H
 from larder.session import cut, parallelism
 from tests import brute
@@ -70,3 +71,28 @@ def test_equal_distances_are_equal_in_every_block(spark):
     near = brute.distances(x).argsort(axis=1)[:, 1]
     mutual = [i for i in core.index if near[near[i]] == i]
     assert mutual and all(lightest[i] == core[i] for i in mutual)
+
+
+def test_scores_by_array_and_by_row_are_the_same(spark, monkeypatch):
+    """Three labellings with copies, a cluster of one row and one label alone; distances of a pair of blocks are worked out once."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(c, 1, (60, 3)) for c in (0, 4, 9)])
+    x[100:110] = x[100]
+    labels = [[int(i // 60), int(i == 7), 3] for i in range(len(x))]
+    labels[100:110] = [labels[100]] * 10
+    df = frame(spark, x).join(spark.createDataFrame(list(enumerate(labels)), "row_id long, labels array<long>"), "row_id")
+    got = {r["trial"]: (r["silhouette"], r["n_rows"]) for r in E.silhouette_exact(df, block_rows=25).collect()}
+    monkeypatch.setattr(E, "ARRAY_CLUSTERS", 0)
+    want = {r["trial"]: (r["silhouette"], r["n_rows"]) for r in E.silhouette_exact(df, block_rows=25).collect()}
+    assert got[2] == want[2] == (None, len(x))
+    for t in (0, 1):
+        assert got[t][0] == pytest.approx(want[t][0], abs=1e-12) and got[t][1] == want[t][1] == len(x)
+
+
+def test_a_distance_is_worked_out_once(monkeypatch):
+    made, squared = [], E.squared_distances
+    monkeypatch.setattr(E, "squared_distances", lambda a, b: made.append(1) or squared(a, b))
+    rng = np.random.default_rng(6)
+    rows = [dict(block=i, own_group=i % 2, weights=np.ones(5).tobytes(), coords=rng.normal(size=(5, 2)).tobytes(), labels=np.zeros(5, np.int64).tobytes()) for i in range(6)]
+    E._group_arrays(2, 1, [np.array([0])])((0, 1), E.pd.DataFrame(rows))
+    assert len(made) == 9
