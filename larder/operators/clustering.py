@@ -27,6 +27,8 @@ TOLERANCE = 1e-4
 REGULARISATION = 1e-6
 # Rows of a block, rows that starts are drawn from, and arrays that one task adds up at most.
 PACKED_ROWS, SEED_ROWS, GROUPS = 4096, 4096, 32
+# Rows whose densities are worked out together, so that they stay in the cache.
+STRIP = 512
 
 RESULT_SCHEMA = (
     "trial_no int, paradigm string, params string, silhouette double, metric double, n_clusters bigint, noise_ratio double, "
@@ -242,9 +244,11 @@ def _log_densities(x: np.ndarray, mixture: tuple) -> np.ndarray:
     """Log of weight times density of every row under each component."""
     log_weights, means, factors, log_dets = mixture
     out = np.empty((len(x), len(means)))
-    for j, (mean, factor) in enumerate(zip(means, factors, strict=True)):
-        y = (x - mean) @ factor
-        out[:, j] = (y * y).sum(axis=1)
+    for at in range(0, len(x), STRIP):
+        part = x[at : at + STRIP]
+        for j, (mean, factor) in enumerate(zip(means, factors, strict=True)):
+            y = (part - mean) @ factor
+            out[at : at + STRIP, j] = np.einsum("ij,ij->i", y, y)
     return log_weights + log_dets - 0.5 * (x.shape[1] * math.log(2 * math.pi) + out)
 
 
@@ -257,8 +261,12 @@ def _shares(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _statistics(x: np.ndarray, shares: np.ndarray) -> list[np.ndarray]:
-    weighted = [(x * shares[:, j : j + 1]) for j in range(shares.shape[1])]
-    return [shares.sum(axis=0), (shares.T @ x).ravel(), *[(w.T @ x).ravel() for w in weighted]]
+    roots, seconds = np.sqrt(shares), []
+    for j in range(shares.shape[1]):
+        some = np.flatnonzero(shares[:, j])
+        part = (x if len(some) == len(x) else x[some]) * roots[some, j : j + 1]
+        seconds.append((part.T @ part).ravel())  # one half of a symmetric product
+    return [shares.sum(axis=0), (shares.T @ x).ravel(), *seconds]
 
 
 def _from_statistics(flat: np.ndarray, k: int, d: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -306,10 +314,10 @@ def fit_mixtures(rows: Rows, grid: Sequence[int], max_iter: int = 100, tolerance
         ready = [_ready(*state[i]) for i in moving]
 
         def soft(x: np.ndarray, ready=ready) -> np.ndarray:
-            out = []
+            out, x = [], x - middle
             for mixture in ready:
-                shares, logs = _shares(_log_densities(x - middle, mixture))
-                out += [[logs.sum()], *_statistics(x - middle, shares)]
+                shares, logs = _shares(_log_densities(x, mixture))
+                out += [[logs.sum()], *_statistics(x, shares)]
             return np.concatenate(out)
 
         flat, at, still = rows.added_up(soft, sum(1 + sizes[i] for i in moving)), 0, []
