@@ -96,3 +96,16 @@ def test_a_distance_is_worked_out_once(monkeypatch):
     rows = [dict(block=i, own_group=i % 2, weights=np.ones(5).tobytes(), coords=rng.normal(size=(5, 2)).tobytes(), labels=np.zeros(5, np.int64).tobytes()) for i in range(6)]
     E._group_arrays(2, 1, [np.array([0])])((0, 1), E.pd.DataFrame(rows))
     assert len(made) == 9
+
+
+def test_checks_of_the_hierarchy_look_at_distances_once(spark, monkeypatch, tmp_path):
+    from larder.plans import checked as C
+    from larder.plans.registry import QUERIES
+
+    seen, near, trees = [], H.neighbour_distances, H.spanning_trees
+    monkeypatch.setattr(H, "neighbour_distances", lambda *a, **b: seen.append("near") or near(*a, **b))
+    monkeypatch.setattr(H, "spanning_trees", lambda *a, **b: seen.append("trees") or trees(*a, **b))
+    x = np.concatenate([np.random.default_rng(7).normal(c, 0.5, (60, 2)) for c in (0, 6)])
+    monkeypatch.setattr(C.B, "vectors", lambda *_: frame(spark, x))
+    assert all(r.passed for r in QUERIES["hdbscan_checks"](spark, str(tmp_path)).collect())
+    assert sorted(seen) == ["near", "trees"]
