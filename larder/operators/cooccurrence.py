@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.scalars import lookup_constant
 from larder.operators.sessions import SESSION_GAP, micros, whole_bins
-from larder.session import broadcast_if_within, cut, drop_cut
+from larder.session import PART_ROWS, broadcast_if_within, cut, drop_cut, tasks_of
 
 TILE_ITEMS = 1000
 HOT_PAIRS = 1_000_000
@@ -139,38 +139,57 @@ def frequent_items(rows: DataFrame, item: str, min_count: int) -> DataFrame:
     return rows.groupBy(item).agg(F.count(F.lit(1)).alias("n_item")).filter(F.col("n_item") >= min_count)
 
 
-def pair_rules(baskets: DataFrame, basket: str, item: str, min_count: int = 1) -> DataFrame:
+def _basket_rows(baskets: DataFrame, basket: str, item: str, part_rows: int) -> tuple[DataFrame, int, int]:
+    """Each (basket, item) once, written; the number of baskets; and the rows of the table."""
+    rows = baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
+    n_rows = rows.count()
+    with tasks_of(rows.sparkSession, n_rows, part_rows):
+        rows = cut(rows.distinct())
+        return rows, rows.select("basket").distinct().count(), n_rows
+
+
+def _kept_rows(rows: DataFrame, n_rows: int, least: int, part_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """The frequent items; the rows that hold them, written; and the rows that tasks are cut by: those of the table or a quarter of the item pairs in what
+    is left of its baskets, whichever are more."""
+    with tasks_of(rows.sparkSession, n_rows, part_rows):
+        items = cut(frequent_items(rows, "item", least))
+        kept = cut(rows.join(items.select("item"), "item", "left_semi")) if least > 1 else rows
+        sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        quarter = sizes.agg(F.sum(F.col("n") * (F.col("n") - 1) / 8)).first()[0]
+    return items, kept, max(n_rows, int(quarter or 0))
+
+
+def pair_rules(baskets: DataFrame, basket: str, item: str, min_count: int = 1, part_rows: int = PART_ROWS) -> DataFrame:
     """Rules a -> b from item pairs in at least ``min_count`` baskets, with support, confidence and lift.
 
-    A pair is never more frequent than its rarer item, so rare items leave before any pair is formed.
+    A pair is never more frequent than its rarer item, so rare items leave before any pair is formed. A task takes about ``part_rows`` rows, so that its
+    memory does not grow with the baskets.
     """
-    rows = baskets.select(basket, item).distinct()
-    n_baskets = rows.select(basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
-    items = frequent_items(rows, item, min_count)
-    kept = rows.join(items.select(item), item, "left_semi") if min_count > 1 else rows
-    pairs = (
-        pairs_within(kept, [basket], item)
-        .groupBy(f"{item}_a", f"{item}_b")
-        .agg(F.count(F.lit(1)).alias("n_pair"))
-        .filter(F.col("n_pair") >= min_count)
-    )
-    a, b = f"{item}_a", f"{item}_b"
-    both = pairs.select(
-        F.explode(F.array(F.struct(F.col(a).alias("antecedent"), F.col(b).alias("consequent")),
-                          F.struct(F.col(b).alias("antecedent"), F.col(a).alias("consequent")))).alias("rule"),
-        "n_pair",
-    ).select("rule.*", "n_pair")
-    count_a = items.select(F.col(item).alias("antecedent"), F.col("n_item").alias("n_a"))
-    count_b = items.select(F.col(item).alias("consequent"), F.col("n_item").alias("n_b"))
-    joined = both.join(count_a, "antecedent").join(count_b, "consequent")
-    n = F.col("n_pair").cast("double")
+    rows, n_baskets, n_rows = _basket_rows(baskets, basket, item, part_rows)
+    items, kept, weight = _kept_rows(rows, n_rows, min_count, part_rows)
+    with tasks_of(rows.sparkSession, weight, part_rows):
+        pairs = (
+            pairs_within(kept, ["basket"], "item")
+            .groupBy("item_a", "item_b")
+            .agg(F.count(F.lit(1)).alias("n_pair"))
+            .filter(F.col("n_pair") >= min_count)
+        )
+        both = cut(pairs).select(
+            F.explode(F.array(F.struct(F.col("item_a").alias("antecedent"), F.col("item_b").alias("consequent")),
+                              F.struct(F.col("item_b").alias("antecedent"), F.col("item_a").alias("consequent")))).alias("rule"),
+            "n_pair",
+        ).select("rule.*", "n_pair")
+        count_a = items.select(F.col("item").alias("antecedent"), F.col("n_item").alias("n_a"))
+        count_b = items.select(F.col("item").alias("consequent"), F.col("n_item").alias("n_b"))
+        joined = cut(both.join(count_a, "antecedent").join(count_b, "consequent"))
+    n, total = F.col("n_pair").cast("double"), F.lit(float(n_baskets))
     return joined.select(
         "antecedent",
         "consequent",
         "n_pair",
-        (n / n_baskets).alias("support"),
+        (n / total).alias("support"),
         (n / F.col("n_a")).alias("confidence"),
-        (n * n_baskets / (F.col("n_a").cast("double") * F.col("n_b"))).alias("lift"),
+        (n * total / (F.col("n_a").cast("double") * F.col("n_b"))).alias("lift"),
     )
 
 
@@ -194,30 +213,33 @@ def _grown(sets: DataFrame, size: int, least: int) -> DataFrame:
     return cut(made.join(kept, "items").select("items", "slice", "tids", "n"))
 
 
-def frequent_itemsets(baskets: DataFrame, basket: str, item: str, least: int) -> tuple[DataFrame, int]:
+def frequent_itemsets(baskets: DataFrame, basket: str, item: str, least: int, part_rows: int = PART_ROWS) -> tuple[DataFrame, int]:
     """(items, n) of every itemset that ``least`` baskets hold, items in order, and the number of baskets.
 
     Pairs are counted where their baskets are (large baskets in tiles); larger sets by meeting the lists of baskets of two smaller ones, so that no basket
-    is ever gathered. Lists cover a slice of the baskets each, so none grows with the input.
+    is ever gathered. Lists cover a slice of the baskets each, and a task takes about ``part_rows`` rows, so neither grows with the input.
     """
-    rows = baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item")).distinct()
-    n_baskets = rows.select("basket").distinct().count()
-    items = frequent_items(rows, "item", least)
-    kept = rows.join(items.select("item"), "item", "left_semi") if least > 1 else rows
-    # A basket's number within its slice, and the slice: dense, whatever the baskets' names are.
+    rows, n_baskets, n_rows = _basket_rows(baskets, basket, item, part_rows)
+    items, kept, weight = _kept_rows(rows, n_rows, least, part_rows)
+    with tasks_of(rows.sparkSession, weight, part_rows):
+        return _itemsets(items, kept, least, n_baskets), n_baskets
+
+
+def _itemsets(items: DataFrame, kept: DataFrame, least: int, n_baskets: int) -> DataFrame:
     pairs = pairs_within(kept, ["basket"], "item")
     counted = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     found = [items.select(F.array("item").alias("items"), F.col("n_item").alias("n"))]
     counted = cut(counted)
     if counted.isEmpty():
-        return found[0], n_baskets
+        return found[0]
     found.append(counted.select(F.array("item_a", "item_b").alias("items"), "n"))
     # Larger sets only hold baskets of frequent pairs that share an item with another one.
     ends = counted.groupBy(F.col("item_a").alias("item_a")).agg(F.count(F.lit(1)).alias("shared")).filter("shared > 1").select("item_a")
     useful = cut(counted.join(ends, "item_a").select("item_a", "item_b", "n"))
     if useful.isEmpty():
-        return found[0].unionByName(found[1]), n_baskets
+        return found[0].unionByName(found[1])
     held = pairs.join(useful, ["item_a", "item_b"])
+    # A basket's slice, whatever the baskets' names are.
     slices = max(1, -(-n_baskets // SLICE_BASKETS))
     place = F.pmod(F.xxhash64("basket"), F.lit(slices)).cast("int")
     sets = cut(held.groupBy("item_a", "item_b", "n", place.alias("slice")).agg(F.collect_list("basket").alias("tids")).select(F.array("item_a", "item_b").alias("items"), "slice", "tids", "n"))
@@ -231,27 +253,27 @@ def frequent_itemsets(baskets: DataFrame, basket: str, item: str, least: int) ->
             break
         found.append(level)
         size += 1
-    return reduce(DataFrame.unionByName, found), n_baskets
+    return reduce(DataFrame.unionByName, found)
 
 
 def itemset_rules(
-    baskets: DataFrame, basket: str, item: str, min_confidence: float, min_support: float = 0.0, min_count: int = 1
+    baskets: DataFrame, basket: str, item: str, min_confidence: float, min_support: float = 0.0, min_count: int = 1,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Rules with one consequent over itemsets of any size, in at least ``min_count`` baskets and ``min_support`` of all baskets."""
-    least = min_count
-    if min_support > 0:
-        n_all = baskets.select(basket).distinct().count()
-        least = max(min_count, math.ceil(min_support * n_all - 1e-9))
-    sets, n_baskets = frequent_itemsets(baskets, basket, item, max(1, least))
-    sets = cut(sets)
+    rows, n_baskets, n_rows = _basket_rows(baskets, basket, item, part_rows)
+    least = max(1, min_count, math.ceil(min_support * n_baskets - 1e-9))
     n = F.lit(float(max(1, n_baskets)))
-    each = sets.filter(F.size("items") > 1).select(F.col("items").alias("all"), F.col("n").alias("n_all"), F.explode("items").alias("one"))
-    rules = each.select(F.array_remove("all", F.col("one")).alias("left"), "one", "n_all")
-    left = sets.select(F.col("items").alias("left"), F.col("n").alias("n_left"))
-    one = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("one"), F.col("n").alias("n_one"))
-    joined = rules.join(left, "left").join(one, "one")
-    share = F.col("n_all").cast("double") / F.col("n_left")
-    return joined.filter(share >= min_confidence).select(
+    items, kept, weight = _kept_rows(rows, n_rows, least, part_rows)
+    with tasks_of(rows.sparkSession, weight, part_rows):
+        sets = cut(_itemsets(items, kept, least, n_baskets))
+        each = sets.filter(F.size("items") > 1).select(F.col("items").alias("all"), F.col("n").alias("n_all"), F.explode("items").alias("one"))
+        rules = each.select(F.array_remove("all", F.col("one")).alias("left"), "one", "n_all")
+        left = sets.select(F.col("items").alias("left"), F.col("n").alias("n_left"))
+        one = sets.filter(F.size("items") == 1).select(F.col("items")[0].alias("one"), F.col("n").alias("n_one"))
+        share = F.col("n_all").cast("double") / F.col("n_left")
+        joined = cut(rules.join(left, "left").filter(share >= min_confidence).join(one, "one"))
+    return joined.select(
         F.concat_ws(",", F.transform("left", lambda x: x.cast("string"))).alias("antecedent"),
         F.col("one").cast("string").alias("consequent"),
         share.alias("confidence"),

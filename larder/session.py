@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -91,3 +93,27 @@ def parallelism(spark: SparkSession) -> int:
 def tasks_for(spark: SparkSession, pieces: int) -> int:
     """Tasks for so many pieces of work: no more than there are pieces, a few per slot at most."""
     return max(1, min(4 * parallelism(spark), pieces))
+
+
+# Rows that a task sorts, joins or adds up at a time, and bytes of a file that it reads, where a job's tasks are cut to size.
+PART_ROWS, PART_BYTES = 250_000, 16 << 20
+
+
+@contextmanager
+def tasks_of(spark: SparkSession, rows: int, part_rows: int = PART_ROWS) -> Iterator[int]:
+    """What is worked out inside is dealt out by the rows, about ``part_rows`` to a task, and not into a fixed number of parts: a task's memory then stays
+    as it is when the input grows. Only what ends inside (``cut``, ``first``) is held to it; the session's settings come back after that."""
+    parts = max(spark.sparkContext.defaultParallelism, -(-rows // part_rows))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": str(PART_BYTES),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield parts
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
