@@ -15,6 +15,8 @@ from larder.session import PART_ROWS, broadcast_if_within, cut, drop_cut, tasks_
 
 TILE_ITEMS = 1000
 HOT_PAIRS = 1_000_000
+# Row pairs of a leaf that are formed; above that its rows are compared by digits.
+LEAF_PAIRS = 4096
 BIN = ["event_type", "household_id", "bin"]
 
 
@@ -65,58 +67,89 @@ def proximity_pairs(movements: DataFrame, deltas: Mapping[str, int] = SESSION_GA
     """
     widths = {kind: delta * 1_000_000 for kind, delta in deltas.items()}
     time, width = micros(F.col("timestamp")), lookup_constant(F.col("event_type"), widths)
-    events = movements.filter(F.col("event_type").isin(list(deltas)) & F.col("product_id").isNotNull()).select(
-        "event_type",
-        "household_id",
-        whole_bins(time, width).alias("bin"),
-        F.pmod(time, width).cast("bigint").alias("offset"),
-        F.col("product_id").alias("product"),
+    # Written once: every part below reads it. Events of one product at one time are one row with their number.
+    events = cut(
+        movements.filter(F.col("event_type").isin(list(deltas)) & F.col("product_id").isNotNull())
+        .groupBy(
+            "event_type",
+            "household_id",
+            whole_bins(time, width).alias("bin"),
+            F.pmod(time, width).cast("bigint").alias("offset"),
+            F.col("product_id").alias("product"),
+        )
+        .agg(F.count(F.lit(1)).alias("w"))
     )
     same = (
-        pairs_within(events.groupBy(*BIN, "product").agg(F.count(F.lit(1)).alias("n")), BIN, "product", ["n"])
+        pairs_within(events.groupBy(*BIN, "product").agg(F.sum("w").alias("n")), BIN, "product", ["n"])
         .groupBy("event_type", *_ordered("product_a", "product_b"))
         .agg(F.sum(F.col("n_a") * F.col("n_b")).alias("n"))
     )
 
     sizes = events.groupBy(*BIN).agg(F.count(F.lit(1)).alias("n"))
     after = sizes.withColumn("bin", F.col("bin") - 1).withColumnRenamed("n", "n_after")
-    hot = sizes.join(after, BIN).filter(F.col("n") * F.col("n_after") > hot_pairs).select(*BIN)
+    hot = cut(sizes.join(after, BIN).filter(F.col("n") * F.col("n_after") > hot_pairs))
     left, right = events, events.withColumn("bin", F.col("bin") - 1)
     parts = [same]
-    if not hot.isEmpty():
-        marked = broadcast_if_within(cut(hot))
+    largest = hot.agg(F.max(F.greatest("n", "n_after"))).first()[0]
+    if largest:
+        marked = broadcast_if_within(hot.select(*BIN))
         bits = (max(widths.values()) - 1).bit_length()
-        parts.append(_digit_pairs(left.join(marked, BIN, "left_semi"), right.join(marked, BIN, "left_semi"), bits))
+        parts += _digit_pairs(left.join(marked, BIN, "left_semi"), right.join(marked, BIN, "left_semi"), bits, largest)
         left, right = left.join(marked, BIN, "left_anti"), right.join(marked, BIN, "left_anti")
-    parts.append(
+    parts.append(_met(left, right, BIN))
+    totals = reduce(DataFrame.unionByName, parts).groupBy("event_type", "product_a", "product_b")
+    return totals.agg(F.sum("n").alias("n_pairs"))
+
+
+def _met(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
+    """Counts of right.offset <= left.offset by product pair, from the rows of each group."""
+    return (
         left.alias("l")
-        .join(right.alias("r"), BIN)
+        .join(right.alias("r"), group)
         .filter(F.col("r.offset") <= F.col("l.offset"))
         .filter(F.col("l.product") != F.col("r.product"))
         .groupBy("event_type", *_ordered("l.product", "r.product"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(F.col("l.w") * F.col("r.w")).alias("n"))
     )
-    totals = reduce(DataFrame.unionByName, parts).groupBy("event_type", "product_a", "product_b")
-    return totals.agg(F.sum("n").alias("n_pairs"))
 
 
-def _digit_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
-    """Counts of right.offset <= left.offset by product pair, from product totals.
+def _digit_pairs(left: DataFrame, right: DataFrame, bits: int, largest: int, leaf_pairs: int = LEAF_PAIRS) -> list[DataFrame]:
+    """Counts of right.offset <= left.offset by product pair, in parts to be added up.
+
+    Only as many leading digits are compared as tell the rows of the ``largest`` bin apart on average. What shares all of them is a leaf of a few rows,
+    which are joined directly; in leaves that would make more than ``leaf_pairs`` the other digits are compared too.
+    """
+    depth = min(bits, max(1, largest.bit_length()))
+    parts = [_digit_totals(left, right, bits, range(depth))]
+    leaf = F.expr(f"shiftright(offset, CAST({bits - depth} AS INT))").alias("leaf")
+    group = [*BIN, "leaf"]
+    left, right = left.select("*", leaf), right.select("*", leaf)
+    n_left = left.groupBy(*group).agg(F.count(F.lit(1)).alias("n_left"))
+    n_right = right.groupBy(*group).agg(F.count(F.lit(1)).alias("n_right"))
+    crowded = cut(n_left.join(n_right, group).filter(F.col("n_left") * F.col("n_right") > leaf_pairs).select(*group))
+    if not crowded.isEmpty():
+        marked = broadcast_if_within(crowded)
+        parts.append(_digit_totals(left.join(marked, group, "left_semi"), right.join(marked, group, "left_semi"), bits, range(depth, bits + 1)))
+        left, right = left.join(marked, group, "left_anti"), right.join(marked, group, "left_anti")
+    return [*parts, _met(left, right, group)]
+
+
+def _digit_totals(left: DataFrame, right: DataFrame, bits: int, levels: range) -> DataFrame:
+    """Counts by product pair of right.offset < left.offset where the first binary digit that differs is one of ``levels``, and of equal offsets for the
+    level ``bits``; from product totals.
 
     Of two different offsets the smaller one has a 0 at the first binary digit where they differ, so each pair meets
     under exactly one common prefix; equal offsets meet under the full number.
     """
-    levels = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("level")
+    spread_levels = F.explode(F.sequence(F.lit(levels[0]), F.lit(levels[-1]))).alias("level")
     group = [*BIN, "level", "prefix"]
 
     def totals(side: DataFrame, digit: int, name: str) -> DataFrame:
-        spread = side.select("*", levels)
+        spread = side.select("*", spread_levels)
         own = F.expr(f"shiftright(offset, CAST({bits - 1} - level AS INT)) & 1")
         kept = spread.filter((F.col("level") == bits) | (F.when(F.col("level") < bits, own) == digit))
         prefix = F.expr(f"shiftright(offset, CAST({bits} - level AS INT))")
-        return kept.groupBy(*BIN, "level", prefix.alias("prefix"), F.col("product").alias(name)).agg(
-            F.count(F.lit(1)).alias(f"n_{name}")
-        )
+        return kept.groupBy(*BIN, "level", prefix.alias("prefix"), F.col("product").alias(name)).agg(F.sum("w").alias(f"n_{name}"))
 
     return (
         totals(left, 1, "p")

@@ -1,5 +1,9 @@
 """What a task takes stays as it is when the input grows."""
 
+import datetime as dt
+import random
+from collections import Counter
+
 import pytest
 
 from larder.operators import cooccurrence as C
@@ -14,6 +18,22 @@ def parts(spark, monkeypatch):
     return seen
 
 
+@pytest.mark.parametrize("leaf_pairs", [0, 4, 4096])
+def test_leaves_and_digits_count_the_same(spark, monkeypatch, leaf_pairs):
+    """Repeated times, and few digits before the leaves: rows compared by digits stay a few times the events."""
+    monkeypatch.setattr(C._digit_pairs, "__defaults__", (leaf_pairs,))
+    levels, totals = [], C._digit_totals
+    monkeypatch.setattr(C, "_digit_totals", lambda a, b, bits, some: levels.append(some) or totals(a, b, bits, some))
+    rng, start = random.Random(leaf_pairs), dt.datetime(2024, 1, 1)
+    rows = [(rng.choice(["IN", "OUT"]), rng.randint(0, 1), rng.randint(1, 5), start + dt.timedelta(seconds=rng.randrange(0, 14400, rng.choice([1, 600])))) for _ in range(160)]
+    rows += rows[:40]
+    found = C.proximity_pairs(spark.createDataFrame(rows, "event_type string, household_id int, product_id long, timestamp timestamp_ntz"), hot_pairs=0)
+    got = {(r.event_type, r.product_a, r.product_b): r.n_pairs for r in found.collect()}
+    want = Counter((a[0], a[2], b[2]) for a in rows for b in rows if a[:2] == b[:2] and a[2] < b[2] and abs((a[3] - b[3]).total_seconds()) <= C.SESSION_GAP[a[0]])
+    assert got == want
+    assert len(levels[0]) <= 7 < 32
+
+
 def lines(spark, n):
     """Baskets of three items each, every set of three in two baskets."""
     return spark.range(n).selectExpr("id DIV 3 AS basket", "(id DIV 6) * 3 + id % 3 AS item")
