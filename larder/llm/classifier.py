@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import filtered, only, slices, utf8
+from larder.llm.common import filtered, give_back, only, slices, utf8
 from larder.llm.tokens import hashed_ngrams
 
 BITS, THRESHOLD = 18, 0.7
@@ -73,6 +73,7 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> np
     def run(_: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["order", "doc_id", "text"]).drop_duplicates("doc_id").head(fit_rows)
         w = train(list(zip(frame["text"], frame["label"], strict=True)))
+        give_back()  # the examples' features
         return pd.DataFrame({"w": [w.astype(np.float32).tobytes()]})
 
     found = sample.groupBy("all").applyInPandas(run, "w binary").collect()

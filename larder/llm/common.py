@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -67,9 +68,17 @@ SLICE_BYTES = 2 << 20
 PACKED_BYTES = 1 << 19
 
 
+def give_back() -> None:
+    """Return what Arrow's pool and the allocator keep free to the system: Python workers are reused, and an idle one would hold on to the most it ever needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], *columns: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in stretches of rows whose ``columns`` (text, bytes) hold ``max_bytes`` at most, or of one row; what Arrow's pool
-    keeps free is given back when a task ends."""
+    """The batches in stretches of rows whose ``columns`` (text, bytes) hold ``max_bytes`` at most, or of one row; what is
+    kept free is given back when a task ends."""
     for batch in batches:
         sizes = np.full(batch.num_rows, 64, np.int64)
         for name in columns:
@@ -81,7 +90,8 @@ def slices(batches: Iterator[pa.RecordBatch], *columns: str, max_bytes: int = SL
             stop = max(start + 1, int(np.searchsorted(upto, before + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()
+        del batch
+    give_back()
 
 
 def _encoded(text: pa.Array) -> list[bytes]:

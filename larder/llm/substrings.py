@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import MULTIPLIERS, PACKED_BYTES, mixed, only, sequence_hashes, slices, unused, utf8, with_column, word_hashes
+from larder.llm.common import MULTIPLIERS, PACKED_BYTES, give_back, mixed, only, sequence_hashes, slices, unused, utf8, with_column, word_hashes
 from larder.llm.fm_index import FMIndex, matching_lengths
 from larder.session import cut
 
@@ -182,6 +182,7 @@ def repeated_windows(documents: DataFrame, doc_id: str = "doc_id", text: str = "
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         masks = search_shard(frame["words"].tolist(), frame["n"].to_numpy(np.int64), window)
+        give_back()  # the shard's words and index
         out = frame[["anchor", "content"]].assign(mask=np.array(masks, np.int64) << frame["shift"].to_numpy(np.int64))
         return out[out["mask"] != 0]
 
