@@ -9,6 +9,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,11 @@ class Mixture:
     iterations: int
 
 
+def _lists(values: pa.Array, size: int) -> pa.Array:
+    """``values`` in lists of ``size``."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, max(1, size), dtype=np.int32)), values)
+
+
 class Rows:
     """Rows packed into blocks that every step of a sweep reads; written once."""
 
@@ -73,13 +80,17 @@ class Rows:
         self.kind = df.schema["row_id"].dataType.simpleString()
 
         def pack(batches):
-            for pdf in batches:
-                for at in range(0, len(pdf), PACKED_ROWS):
-                    part = pdf.iloc[at : at + PACKED_ROWS]
-                    coords = np.array(part["features"].tolist(), np.float64)
-                    yield pd.DataFrame([{"ids": part["row_id"].tolist(), "coords": coords.tobytes(), "n": len(part)}])
-
-        packed = df.select("row_id", F.col(features).alias("features")).mapInPandas(pack, f"ids array<{self.kind}>, coords binary, n int")
+            for batch in batches:
+                for at in range(0, batch.num_rows, PACKED_ROWS):
+                    part = batch.slice(at, PACKED_ROWS)
+                    if part.column(1).null_count or len(pc.unique(pc.list_value_length(part.column(1)))) > 1:
+                        raise ValueError("rows without features or of several widths")
+                    coords = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                    made = [_lists(part.column(0), part.num_rows), pa.array([coords.tobytes()], pa.binary()), pa.array([part.num_rows], pa.int32())]
+                    yield pa.RecordBatch.from_arrays(made, ["ids", "coords", "n"])
+
+        doubles = F.col(features).cast("array<double>").alias("features")
+        packed = df.select("row_id", doubles).mapInArrow(pack, f"ids array<{self.kind}>, coords binary, n int")
         self.blocks = cut(packed)
         known = self.blocks.agg(F.sum("n").alias("n"), F.max(F.octet_length("coords") / 8 / F.col("n")).alias("d")).first()
         self.n, self.width = known["n"] or 0, int(known["d"] or 0)
@@ -92,12 +103,12 @@ class Rows:
 
         def partial(batches):
             total = None
-            for pdf in batches:
-                for data in pdf["coords"]:
-                    made = sums(np.frombuffer(data, np.float64).reshape(-1, width))
+            for batch in batches:
+                for data in batch.column(0):
+                    made = sums(np.frombuffer(data.as_buffer(), np.float64).reshape(-1, width))
                     total = made if total is None else total + made
             if total is not None:
-                yield pd.DataFrame({"part": [total.tobytes()]})
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
         def group(pdf: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"part": [sum(np.frombuffer(p, np.float64) for p in pdf["part"]).tobytes()]})
@@ -110,7 +121,7 @@ class Rows:
             if total is not None:
                 yield pd.DataFrame({"part": [total.tobytes()]})
 
-        parts = self.blocks.select("coords").mapInPandas(partial, "part binary")
+        parts = self.blocks.select("coords").mapInArrow(partial, "part binary")
         if self.n_parts > GROUPS:
             parts = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("g")).applyInPandas(group, "part binary")
         if self.n_parts > 1:
@@ -120,17 +131,21 @@ class Rows:
             out += np.frombuffer(bytes(row["part"]), np.float64)
         return out
 
-    def labelled(self, label: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-        """(row_id, features, labels): every labelling of every row, in one scan."""
+    def labelled(self, label: Callable[[np.ndarray], np.ndarray], with_features: bool = True) -> DataFrame:
+        """(row_id, features, labels): every labelling of every row, in one scan. Without features they do not leave the task."""
         width = self.width
 
         def run(batches):
-            for pdf in batches:
-                for r in pdf.itertuples(index=False):
-                    x = np.frombuffer(r.coords, np.float64).reshape(-1, width)
-                    yield pd.DataFrame({"row_id": list(r.ids), "features": list(x), "labels": list(label(x))})
+            for batch in batches:
+                for ids, data in zip(batch.column(0), batch.column(1), strict=True):
+                    x = np.frombuffer(data.as_buffer(), np.float64).reshape(-1, width)
+                    labels = np.asarray(label(x), np.int64)
+                    made = {"row_id": ids.values, "features": _lists(pa.array(x.ravel()), width), "labels": _lists(pa.array(labels.ravel()), labels.shape[1])}
+                    names = [name for name in made if with_features or name != "features"]
+                    yield pa.RecordBatch.from_arrays([made[name] for name in names], names)
 
-        return self.blocks.select("ids", "coords").mapInPandas(run, f"row_id {self.kind}, features array<double>, labels array<bigint>")
+        schema = f"row_id {self.kind}, {'features array<double>, ' if with_features else ''}labels array<bigint>"
+        return self.blocks.select("ids", "coords").mapInArrow(run, schema)
 
 
 def _spread_centres(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -214,10 +229,10 @@ def lloyd(rows: Rows, starts: Sequence[np.ndarray], max_iter: int = MAX_ITER, to
     return [Centres(c, cost, n) for c, cost, n in zip(fits, _moved_on(rows, fits)[2], steps, strict=True)]
 
 
-def nearest_labels(rows: Rows, models: Sequence[Centres]) -> DataFrame:
+def nearest_labels(rows: Rows, models: Sequence[Centres], with_features: bool = True) -> DataFrame:
     """(row_id, features, labels): the number of the nearest centre in every fit."""
     centres = [m.centres for m in models]
-    return rows.labelled(lambda x: np.stack([label for label, _ in _nearest(x, centres)], axis=1))
+    return rows.labelled(lambda x: np.stack([label for label, _ in _nearest(x, centres)], axis=1), with_features)
 
 
 def kmeans_sweep(

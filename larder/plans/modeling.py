@@ -735,7 +735,7 @@ def segmented(spark: SparkSession, d: str) -> DataFrame:
     starts = np.array([list(r)[1:] for r in started.orderBy("k").collect()])  # a row for each category
     fits = K.lloyd(rows, [starts], SEGMENT_STEPS, 0.0)
     path = scratch_path(spark, "labels")
-    T.write_matrix(K.nearest_labels(rows, fits).select("row_id", F.col("labels")[0].alias("cluster_label")), path)
+    T.write_matrix(K.nearest_labels(rows, fits, with_features=False).select("row_id", F.col("labels")[0].alias("cluster_label")), path)
     return E.segment(stock, T.read_matrix(spark, path))
 
 
