@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from larder.operators import blocks as BL
+from larder.operators import clustering as K
 from larder.operators import evaluation as E
 from tests import brute
 from tests.test_density import frame, groups
@@ -56,3 +58,27 @@ def test_neighbours_within_several_distances(apart):
                 assert (close == want).all()
                 of_a, of_b = BL.close_sums(close, weights, weights[:300])
                 assert (of_a == want @ weights[:300]).all() and (of_b == weights @ want).all()
+
+
+def test_steps_of_kmeans_use_all_slots(spark):
+    x = np.random.default_rng(2).normal(size=(500, 3))
+    rows = K.Rows(frame(spark, x).coalesce(1), "features")
+    parts = rows.blocks.agg(F.count(F.lit(1)).alias("blocks"), F.max("n").alias("most")).first()
+    assert rows.n == 500 and parts["blocks"] >= 4 and parts["most"] < 250
+
+
+def test_sums_of_all_fits_go_to_the_first_nearest_centre():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 4, (300, 2)).astype(float)
+    fits = [x[:5].copy(), np.array([[1.0, 1.0], [1.0, 1.0], [3.0, 0.0]]), np.array([[0.0, 0.0], [2.0, 0.0]])]
+    every = np.concatenate(fits)
+    turned = np.concatenate([-2.0 * every, (every * every).sum(axis=1)[:, None]], axis=1)
+    got = K._nearest_sums(x, turned, np.array([0, 5, 8]), [5, 3, 2])
+    sums, at = got[3:].reshape(-1, 3), 0
+    for f, centres in enumerate(fits):
+        far = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        label = far.argmin(axis=1)
+        assert got[f] == pytest.approx(far.min(axis=1).sum())
+        for k in range(len(centres)):
+            assert sums[at + k] == pytest.approx([*x[label == k].sum(axis=0), (label == k).sum()])
+        at += len(centres)
